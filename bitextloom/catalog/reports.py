@@ -26,7 +26,13 @@ from bitextloom.operators.profile import (
     token_min_max_mean,
     token_percentiles,
 )
-from bitextloom.operators.rates import rate_window_usage, request_totals, round_robin_assign, tier_plan
+from bitextloom.operators.rates import (
+    endpoint_of,
+    rate_window_usage,
+    request_totals,
+    round_robin_assign,
+    tier_plan,
+)
 
 COUNTERS = f"""count(*) AS processed, count(*) FILTER (WHERE text IS NULL) AS skipped,
   count(*) FILTER (WHERE text IS NOT NULL AND {SPECIAL}) AS skipped_special,
@@ -167,10 +173,15 @@ def rate_window_usage_dense_query(spark, sf_dir):
     return rate_window_usage(log, AUDIT_LIMITS).drop("ts", "tokens")
 
 
+SERVERS = ["http://localhost:8000/v1", "http://localhost:8001/v1", "http://localhost:8002/v1"]
+
+
 @query(
     "round_robin_assign",
-    """SELECT doc_id, CASE WHEN doc_id % 104 < 100 THEN 'gpt-oss' ELSE 'openai-api' END AS backend FROM documents""",
+    """SELECT doc_id, CASE WHEN doc_id % 104 < 100 THEN 'gpt-oss' ELSE 'openai-api' END AS backend,
+              'http://localhost:800' || (doc_id % 3) || '/v1' AS endpoint FROM documents""",
 )
 def round_robin_assign_query(spark, sf_dir):
     weights = {"gpt-oss": 100, "openai-api": 4}
-    return round_robin_assign(documents(spark, sf_dir), weights, "doc_id").select("doc_id", "backend")
+    assigned = round_robin_assign(documents(spark, sf_dir), weights, "doc_id")
+    return assigned.select("doc_id", "backend", endpoint_of(F.col("doc_id"), SERVERS).alias("endpoint"))

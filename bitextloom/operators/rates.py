@@ -59,6 +59,8 @@ def rate_window_usage(
     An entry of age 60 s has expired: the window is (t-60s, t]. Added columns:
     `requests_60s`, `tokens_60s`, `over_budget`.
 
+    Rows without a backend form one of their own; without a time, usage is null.
+
     A sliding window per backend would sort a whole backend in one task and
     re-add its frame at every row. Instead the log is first summed per
     (backend, instant); then time is cut into minutes, and inside a minute a
@@ -70,10 +72,10 @@ def rate_window_usage(
     micros = epoch_micros(F.col(time), dict(log.dtypes)[time])
     size = F.greatest(F.lit(1).cast("bigint"), F.least(F.col(tokens).cast("bigint"), F.lit(limits.tpm)))
     rows = log.withColumns({"_at": micros, "_tokens": size})
-    instants = rows.groupBy(backend, "_at").agg(
+    instants = rows.where("_at IS NOT NULL").groupBy(backend, "_at").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_tokens").alias("tok")
     )
-    minute = F.floor(F.col("_at") / F.lit(MICROS))
+    minute = int_div(F.col("_at") - F.pmod(F.col("_at"), F.lit(MICROS)), MICROS)
     next_start = (minute + 1) * MICROS
 
     def delta(in_minute: Column, at: Column, sign: int, entry: bool) -> Column:
@@ -101,10 +103,12 @@ def rate_window_usage(
     usage = (
         deltas.withColumns({"requests_60s": F.sum("n").over(running), "tokens_60s": F.sum("tok").over(running)})
         .where("entry")
-        .select(backend, F.col("at").alias("_at"), "requests_60s", "tokens_60s")
+        .select(F.col(backend).alias("_backend"), F.col("at").alias("_instant"), "requests_60s", "tokens_60s")
     )
+    same = F.col(backend).eqNullSafe(F.col("_backend")) & (F.col("_at") == F.col("_instant"))
     over = (F.col("requests_60s") > limits.rpm) | (F.col("tokens_60s") > limits.tpm)
-    return rows.join(usage, [backend, "_at"]).drop("_at", "_tokens").withColumn("over_budget", over)
+    audited = rows.join(usage, same, "left").withColumn("over_budget", over)
+    return audited.drop("_at", "_tokens", "_backend", "_instant")
 
 
 def round_robin_assign(

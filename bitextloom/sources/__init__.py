@@ -10,9 +10,9 @@ from bitextloom.sources.counts import (
 from bitextloom.sources.paths import (
     expand_paths,
     include_patterns,
-    is_directory,
     infer_format,
     infer_format_column,
+    is_directory,
     list_files,
 )
 from bitextloom.sources.positions import (

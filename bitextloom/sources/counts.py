@@ -37,7 +37,9 @@ def parquet_footers(files: DataFrame) -> DataFrame:
                 [footer(path) for path in batch["path"]], columns=["path", "rows", "columns", "error"]
             ).astype({"rows": "Int64"})
 
-    return files.select("path").mapInPandas(
+    # A listing has one partition per large file; a footer does not need a task of its own.
+    tasks = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path").coalesce(tasks).mapInPandas(
         read, "path string, rows bigint, columns array<string>, error string"
     )
 

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from bitextloom.session import scratch_path
 
-# Files up to this number are joined by broadcast (under 30 MB of paths and counts).
-BROADCAST_FILES = 100_000
-
+# Per-file tables up to this many rows are broadcast: at some 200 bytes a row, under 100 MB.
+BROADCAST_FILES = 500_000
 
 
 def file_path() -> Column:
@@ -24,6 +23,11 @@ def row_index() -> Column:
     return F.col("_metadata.row_index")
 
 
+def file_count(df: DataFrame) -> int:
+    """Files of a scan; only the length of the JVM's list crosses to Python."""
+    return len(df._jdf.inputFiles())
+
+
 def file_offsets(df: DataFrame) -> DataFrame:
     """Per file of a parquet scan: rows, and `start`, the rows in files before it."""
     per_file = df.select(file_path().alias("file_path")).groupBy("file_path").agg(F.count("*").alias("rows"))
@@ -38,7 +42,7 @@ def global_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     that Spark joins by file and splits a file that dominates.
     """
     offsets = file_offsets(df).select(F.col("file_path").alias("_file"), "start")
-    if len(df.inputFiles()) <= BROADCAST_FILES:
+    if file_count(df) <= BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     rows = df.select("*", file_path().alias("_file"), row_index().alias("_index"))
     numbered = rows.join(offsets, "_file", "left")

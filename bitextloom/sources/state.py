@@ -15,10 +15,13 @@ PROGRESS = "processed bigint, written bigint, shard_id bigint"
 
 
 class StateLog:
+    """One writer at a time; it reads the stored saves once and then remembers its own."""
+
     def __init__(self, spark: SparkSession, path: str, fields: str = PROGRESS):
         self.spark = spark
         self.path = path
         self.schema = f"version bigint, updated_at bigint, {fields}"
+        self._newest: Row | None = None
 
     def read(self) -> DataFrame:
         """All saves; unreadable files of the table are skipped."""
@@ -28,16 +31,19 @@ class StateLog:
 
     def latest(self) -> Row | None:
         """The newest save, or None."""
-        return self.read().orderBy(F.desc("version")).limit(1).first()
+        if self._newest is None:
+            self._newest = self.read().orderBy(F.desc("version")).limit(1).first()
+        return self._newest
 
     def append(self, **fields) -> None:
         """Save one row, with the time in epoch seconds."""
         last = self.latest()
-        version = last["version"] + 1 if last else 0
-        empty = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"),
+        row = self.spark.range(1).select(
+            F.lit(last["version"] + 1 if last else 0).cast("bigint").alias("version"),
             F.unix_timestamp(F.current_timestamp()).alias("updated_at"),
             *(F.lit(value).alias(name) for name, value in fields.items()),
         )
-        typed = empty.to(self.spark.createDataFrame([], self.schema).schema)
-        typed.coalesce(1).write.mode("append").parquet(self.path)
+        typed = row.to(self.spark.createDataFrame([], self.schema).schema)
+        saved = typed.first()
+        self.spark.createDataFrame([saved], self.schema).coalesce(1).write.mode("append").parquet(self.path)
+        self._newest = saved
