@@ -130,9 +130,9 @@ def token_histogram_query(spark, sf_dir):
         total AS (SELECT count(*) AS requests, CAST(sum(n) AS BIGINT) AS tokens FROM sized),
         tiers(tier, rpm, tpm) AS (VALUES ('1', 500::BIGINT, 200000::BIGINT), ('2', 5000, 2000000), ('3', 5000, 4000000),
           ('4', 10000, 10000000), ('5', 30000, 180000000))
-        SELECT tier, requests, tokens,
-          CAST(least(rpm, floor(tpm / (tokens / requests))) AS BIGINT) AS requests_per_minute,
-          round(greatest(requests / rpm, tokens / tpm), 6) AS min_minutes FROM total, tiers""",
+        rated AS (SELECT tier, requests, tokens,
+          CAST(greatest(1, least(rpm, floor(tpm / (tokens / requests)))) AS BIGINT) AS requests_per_minute FROM total, tiers)
+        SELECT *, round(requests / requests_per_minute, 6) AS min_minutes FROM rated""",
 )
 def tier_plan_query(spark, sf_dir):
     return tier_plan(request_totals(edge_documents(spark, sf_dir)))

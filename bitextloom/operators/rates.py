@@ -38,17 +38,13 @@ def tier_plan(totals: DataFrame) -> DataFrame:
         )
     )
     plan = totals.select("requests", "tokens", tier.alias("t")).select("requests", "tokens", "t.*")
-    mean_size = F.col("tokens") / F.col("requests")
-    by_tokens = F.floor(F.col("tpm") / mean_size)
-    minutes = F.greatest(F.col("requests") / F.col("rpm"), F.col("tokens") / F.col("tpm"))
-    none = F.col("requests") == 0
-    return plan.select(
-        "tier",
-        "requests",
-        "tokens",
-        F.when(none, F.col("rpm")).otherwise(F.least(F.col("rpm"), by_tokens)).alias("requests_per_minute"),
-        F.round(F.when(none, F.lit(0.0)).otherwise(minutes), 6).alias("min_minutes"),
-    )
+    # A request larger than the limit is booked at the limit: one a minute always passes.
+    by_tokens = F.floor(F.col("tpm") / (F.col("tokens") / F.col("requests")))
+    rate = F.greatest(F.lit(1).cast("bigint"), F.least(F.col("rpm"), by_tokens))
+    rate = F.when(F.col("requests") == 0, F.col("rpm")).otherwise(rate)
+    sized = plan.withColumn("requests_per_minute", rate)
+    minutes = F.round(F.col("requests") / F.col("requests_per_minute"), 6).alias("min_minutes")
+    return sized.select("tier", "requests", "tokens", "requests_per_minute", minutes)
 
 
 def rate_window_usage(

@@ -16,7 +16,6 @@ from bitextloom.defaults import (
     LOCAL_MODEL,
     SOURCE_COLUMN,
     TARGET_COLUMN,
-    TEXT_FIELD,
 )
 from bitextloom.functions.rates import Limits
 from bitextloom.operators.backends import Backend, api_chat, local_chat
@@ -24,7 +23,7 @@ from bitextloom.operators.enrich import enrich_text, hybrid_enrich, rate_budgete
 from bitextloom.operators.resume import existing_rows, resume_pending
 from bitextloom.session import scratch_path
 from bitextloom.sinks.parquet import write_ordered
-from bitextloom.sources.paths import expand_paths, infer_format, path_exists
+from bitextloom.sources.paths import expand_paths, path_exists
 from bitextloom.sources.positions import file_offsets, rows_between, stage_jsonl
 from bitextloom.sources.readers import parse_jsonl
 from bitextloom.sources.state import StateLog
@@ -77,18 +76,23 @@ def translate_corpus(
     target_name: str = TARGET_COLUMN,
     max_samples: int = -1,
     slice_rows: int = SLICE_ROWS,
+    source_format: str = "parquet",
 ) -> int:
     """Translate rows the output does not hold yet, in input order; returns rows written in all.
 
     Resumes at the number of rows already stored, which wins over the saved
     progress. Each slice is one job that commits as a whole into
     `out/slice=<first position>/`; sorted paths follow the input order. Names of
-    the two output columns are free.
+    the two output columns are free. For `source_format="json"`, `input_column`
+    is the field of the records.
     """
-    paths = expand_paths(spark, data_files, ".parquet" if infer_format(data_files) == "parquet" else ".json*")
+    paths = expand_paths(spark, data_files, {"parquet": ".parquet", "json": ".json*"}[source_format])
     if not paths:
         raise FileNotFoundError(f"no files matched: {data_files}")
-    df, column = _positioned(spark, data_files, paths, input_column)
+    if source_format == "json":
+        df, input_column = _jsonl_in_order(spark, paths, input_column), "text"
+    else:
+        df = spark.read.parquet(*paths)
     offsets = _stored_offsets(df)
     total = offsets.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     end = min(total, max_samples) if max_samples >= 0 else total
@@ -96,7 +100,7 @@ def translate_corpus(
     progress = StateLog(spark, state_path)
     while done < end:
         last = min(end, done + slice_rows)
-        rows = rows_between(df, done, last, offsets).select("ordinal", F.col(column).alias("text"))
+        rows = rows_between(df, done, last, offsets).select("ordinal", F.col(input_column).alias("text"))
         pair = translate(rows)
         named = pair.select("ordinal", F.col(SOURCE_COLUMN).alias(source_name), F.col(TARGET_COLUMN).alias(target_name))
         shifted = named.withColumn("ordinal", F.col("ordinal") - done)
@@ -106,14 +110,11 @@ def translate_corpus(
     return done
 
 
-def _positioned(spark: SparkSession, spec: str, paths: list[str], column: str) -> tuple[DataFrame, str]:
-    """A parquet scan with positions; JSON lines are laid out as parquet in input order first."""
-    if infer_format(spec) == "parquet":
-        return spark.read.parquet(*paths), column
-    lines = parse_jsonl(stage_jsonl(spark, paths), TEXT_FIELD)
+def _jsonl_in_order(spark: SparkSession, paths: list[str], field: str) -> DataFrame:
+    """JSON lines laid out as parquet in input order, so that they have positions."""
     staged = scratch_path(spark, "ordered")
-    write_ordered(lines, staged)
-    return spark.read.parquet(staged), "text"
+    write_ordered(parse_jsonl(stage_jsonl(spark, paths), field), staged)
+    return spark.read.parquet(staged)
 
 
 def _stored_offsets(df: DataFrame) -> DataFrame:
