@@ -129,7 +129,7 @@ def token_histogram_query(spark, sf_dir):
     f"""WITH {EDGE}, sized AS (SELECT {REQUEST_FIXED} + {TOKENS} AS n FROM edge WHERE coalesce(text, '') <> ''),
         total AS (SELECT count(*) AS requests, CAST(sum(n) AS BIGINT) AS tokens FROM sized),
         tiers(tier, rpm, tpm) AS (VALUES ('1', 500::BIGINT, 200000::BIGINT), ('2', 5000, 2000000), ('3', 5000, 4000000),
-          ('4', 10000, 10000000), ('5', 30000, 180000000))
+          ('4', 10000, 10000000), ('5', 30000, 180000000)),
         rated AS (SELECT tier, requests, tokens,
           CAST(greatest(1, least(rpm, floor(tpm / (tokens / requests)))) AS BIGINT) AS requests_per_minute FROM total, tiers)
         SELECT *, round(requests / requests_per_minute, 6) AS min_minutes FROM rated""",

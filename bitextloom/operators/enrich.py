@@ -182,15 +182,23 @@ def _enrich(
 
 
 def enrich_text(
-    df: DataFrame, backend: Backend, key: str = "row_id", text: str = "text", **options
+    df: DataFrame,
+    backend: Backend,
+    key: str = "row_id",
+    text: str = "text",
+    tasks: int | None = None,
+    **options,
 ) -> DataFrame:
     """Translate each row: `key, text_en, text_ja, status, error, attempts`.
 
     Blank texts are not sent. A row that still fails after its retries gets
     status `error` and the run goes on; `on_error="keep_source"` keeps its text.
-    The stage is narrow: rows are neither moved nor gathered.
+    The stage is narrow: rows are neither moved nor gathered. At most
+    `tasks * max_in_flight` calls are open at a time; `tasks` merges partitions
+    to bound that, where the servers and not the cluster set the pace.
     """
-    return _enrich(df, {backend.name: backend}, key, text, **options)
+    source = df.coalesce(tasks) if tasks else df
+    return _enrich(source, {backend.name: backend}, key, text, **options)
 
 
 def hybrid_enrich(

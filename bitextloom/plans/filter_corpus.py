@@ -28,7 +28,7 @@ def filter_corpus(
 
     The cap counts scanned rows, dropped ones included.
     """
-    texts = scan_corpus(spark, data_files, text_field=text_field, cap=max_samples)
+    texts = scan_corpus(spark, data_files, text_field=text_field, cap=max_samples, fall_back=False)
     counters = Observation("filter")
     marked = texts.withColumn("fate", fate(F.col("text"), max_tokens, tokenizer))
     counted = marked.observe(counters, *fate_counters(F.col("fate")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.defaults import (
@@ -15,9 +15,10 @@ from bitextloom.defaults import (
 )
 from bitextloom.functions.numbers import int_div
 from bitextloom.functions.shards import shard_name
+from bitextloom.prefix import running_total
 from bitextloom.session import scoped_conf
 from bitextloom.sources.paths import expand_paths
-from bitextloom.sources.positions import BROADCAST_FILES, file_path, row_index
+from bitextloom.sources.positions import BROADCAST_FILES, file_count, file_path, row_index
 
 MB = 1024 * 1024
 # Part of the allowed shard size that is planned for; rows of one file vary in size.
@@ -123,15 +124,14 @@ def shard_manifest(spark: SparkSession, path: str, prefix: str, start_id: int =
     """One row per stored file with rows: shard_id, shard, path, rows, bytes.
 
     Spark names its files; the manifest numbers them in path order, from
-    `start_id` on. The window runs over files, not rows.
+    `start_id` on.
     """
-    files = (
-        spark.read.parquet(path)
-        .groupBy(file_path().alias("path"), F.col("_metadata.file_size").alias("bytes"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+    stored = spark.read.parquet(path)
+    files = stored.groupBy(file_path().alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(1).alias("one")
     )
-    number = (F.row_number().over(Window.orderBy("path")) - 1 + start_id).cast("bigint")
-    numbered = files.withColumn("shard_id", number)
+    numbered = running_total(files, ["path"], "one", "place", file_count(stored))
+    numbered = numbered.withColumn("shard_id", (F.col("place") + start_id).cast("bigint"))
     return numbered.select(
         "shard_id", shard_name(F.lit(prefix), F.col("shard_id")).alias("shard"), "path", "rows", "bytes"
     )
@@ -160,8 +160,7 @@ def reshard_for_publish(
     files = df.groupBy(file_path().alias("_file"), F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.withColumn("before", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)))
+    files = running_total(files, ["_file"], "bytes", "before", len(paths))
     total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     shard_bytes = max(1, int(parse_size(max_shard_size) * fill))
     shards = total // shard_bytes + 1

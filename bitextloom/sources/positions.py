@@ -6,9 +6,10 @@ not rows) plus the row's index in its own file, which parquet supplies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bitextloom.prefix import running_total
 from bitextloom.session import scratch_path
 
 # Per-file tables up to this many rows are broadcast: at some 200 bytes a row, under 100 MB.
@@ -31,8 +32,7 @@ def file_count(df: DataFrame) -> int:
 def file_offsets(df: DataFrame) -> DataFrame:
     """Per file of a parquet scan: rows, and `start`, the rows in files before it."""
     per_file = df.select(file_path().alias("file_path")).groupBy("file_path").agg(F.count("*").alias("rows"))
-    earlier = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)
-    return per_file.withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    return running_total(per_file, ["file_path"], "rows", "start", file_count(df))
 
 
 def global_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
@@ -127,12 +127,10 @@ def stage_jsonl(spark: SparkSession, paths: str | list[str], staging: str | None
     splits = stored.groupBy("file", "block").agg(
         F.count("*").alias("rows"), F.min("seq").alias("first_seq")
     )
-    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select(
-        "file", "block", "first_seq", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start")
-    )
+    split_count = splits.count()
+    splits = running_total(splits, ["file", "block"], "rows", "start", split_count).drop("rows")
     # One row per split: checked like the file table above.
-    if splits.count() <= BROADCAST_FILES:
+    if split_count <= BROADCAST_FILES:
         splits = F.broadcast(splits)
     ordinal = F.col("start") + F.col("seq") - F.col("first_seq")
     return stored.join(splits, ["file", "block"]).select(ordinal.alias("ordinal"), "value")

@@ -54,9 +54,11 @@ def resolve_text_field(columns: list[str], requested: str = TEXT_FIELD) -> str:
     return requested
 
 
-def with_text(df: DataFrame, requested: str = TEXT_FIELD, alias: str = "text") -> DataFrame:
+def with_text(
+    df: DataFrame, requested: str = TEXT_FIELD, alias: str = "text", fall_back: bool = True
+) -> DataFrame:
     """Add the resolved text column as `alias`; all null when the table has no such column."""
-    field = resolve_text_field(df.columns, requested)
+    field = resolve_text_field(df.columns, requested) if fall_back else requested
     text = F.col(f"`{field}`") if field in df.columns else F.lit(None).cast("string")
     return df.withColumn(alias, text)
 
@@ -67,14 +69,19 @@ def scan_corpus(
     requested_format: str = "auto",
     text_field: str = TEXT_FIELD,
     cap: int = -1,
+    fall_back: bool = True,
 ) -> DataFrame:
-    """Texts of a corpus in either format as one column `text`; the first `cap` rows if not negative."""
+    """Texts of a corpus in either format as one column `text`; the first `cap` rows if not negative.
+
+    With `fall_back`, the default field gives way to the filtered corpus' name
+    when the data lacks it; without, all texts are then missing.
+    """
     if infer_format(data_files, requested_format) == "parquet":
         paths = expand_paths(spark, data_files) or _no_files(data_files)
         rows = take_first_rows(spark.read.parquet(*paths), cap)
-        return with_text(rows, text_field).select("text")
+        return with_text(rows, text_field, fall_back=fall_back).select("text")
     paths = expand_paths(spark, data_files, suffix=".json*") or _no_files(data_files)
-    field = resolve_text_field(_first_keys(spark, paths), text_field)
+    field = resolve_text_field(_first_keys(spark, paths), text_field) if fall_back else text_field
     if cap >= 0:
         return parse_jsonl(first_jsonl_rows(spark, paths, cap), field).select("text")
     return scan_jsonl(spark, paths, field).select(F.col(f"`{field}`").alias("text"))

@@ -125,6 +125,7 @@ def test_scan_corpus_caps_and_falls_back(spark, tmp_path, numbered_files):
     file.write_text('{"en_text":"a"}\n{"en_text":"b"}\n')
     assert [row["text"] for row in scan_corpus(spark, str(file)).collect()] == ["a", "b"]
     assert [row["text"] for row in scan_corpus(spark, str(file), cap=1).collect()] == ["a"]
+    assert scan_corpus(spark, str(file), fall_back=False).where("text IS NULL").count() == 2
     missing = scan_corpus(spark, f"{numbered_files}/*.parquet", text_field="body")
     assert missing.where("text IS NULL").count() == 100
     with pytest.raises(FileNotFoundError):
@@ -169,3 +170,26 @@ def test_state_log(spark, tmp_path):
     again = StateLog(spark, str(tmp_path / "log")).latest()
     assert (again["version"], again["processed"], again["written"], again["shard_id"]) == (1, 9, 9, 2)
     assert again["updated_at"] > 1_600_000_000
+
+
+def test_shared_folder_is_the_clusters_unless_it_names_none(spark):
+    from types import SimpleNamespace
+
+    from bitextloom.session import scratch_path, shared_folder
+
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark) == named.rstrip("/")
+
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = f"{folder}/unique"
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=Context())
+    first, second = scratch_path(bare, "x"), scratch_path(bare, "x")
+    assert first != second and first.startswith(bare.sparkContext.folder)
