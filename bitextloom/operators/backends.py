@@ -28,7 +28,7 @@ Call = Callable[[str], "str | None"]
 
 @dataclass(frozen=True)
 class Backend:
-    """Base: `max_in_flight` calls at a time per task.
+    """Base: `max_in_flight` calls at a time per task, answers of up to `max_tokens`.
 
     With `waits_out_rate_limits`, a rate-limit error is retried for as long as it
     takes and does not use up tries; otherwise it counts like any error.
@@ -37,6 +37,7 @@ class Backend:
     name: str = "backend"
     max_in_flight: int = 1
     waits_out_rate_limits: bool = False
+    max_tokens: int = MAX_COMPLETION_TOKENS
 
     def connect(self) -> Call:
         raise NotImplementedError
@@ -96,7 +97,6 @@ class ChatBackend(Backend):
     model: str = LOCAL_MODEL
     base_urls: tuple[str, ...] = (LOCAL_BASE_URL,)
     temperature: float | None = TEMPERATURE
-    max_tokens: int = MAX_COMPLETION_TOKENS
     key_variable: str = "OPENAI_API_KEY"
     max_in_flight: int = LOCAL_IN_FLIGHT
     extra: dict = field(default_factory=dict)

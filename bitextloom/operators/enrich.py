@@ -8,6 +8,7 @@ write a result once and read it back instead of computing it twice.
 from __future__ import annotations
 
 import time
+import warnings
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
@@ -15,7 +16,7 @@ from contextlib import ExitStack
 from threading import Lock
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.defaults import (
@@ -73,10 +74,13 @@ class Budget:
             self.sleep(wait)
 
 
-def request_tokens(text: str) -> int:
+PROMPT_TOKENS = prompt_base_tokens()
+
+
+def request_tokens(text: str, max_tokens: int = MAX_COMPLETION_TOKENS) -> int:
     """Per-row form of `estimate_request_tokens`."""
     size = len(text.encode("utf-8"))
-    return prompt_base_tokens() + (max(1, size // BYTES_PER_TOKEN) if size else 0) + MAX_COMPLETION_TOKENS
+    return PROMPT_TOKENS + (max(1, size // BYTES_PER_TOKEN) if size else 0) + max_tokens
 
 
 def call_with_retries(
@@ -87,13 +91,14 @@ def call_with_retries(
     max_retries: int = MAX_RETRIES,
     retry_step: float = RETRY_STEP_SECONDS,
     sleep: Callable[[float], None] = time.sleep,
+    max_tokens: int = MAX_COMPLETION_TOKENS,
 ) -> tuple[str, str, str | None, int]:
     """(translation, status, error, attempts) of one row; a failure stays with its row."""
     attempt = 0
     calls = 0
     while True:
         if budget is not None:
-            budget.spend(request_tokens(text))
+            budget.spend(request_tokens(text, max_tokens))
         calls += 1
         try:
             return call(text) or "", "ok", None, calls
@@ -112,7 +117,8 @@ class _Lane:
     """One backend inside one task: its connection, its threads, its budget."""
 
     def __init__(self, backend: Backend, limits: Limits | None, options: dict, cleanup: ExitStack):
-        self.call, self.wait_out, self.options = backend.connect(), backend.waits_out_rate_limits, options
+        self.call, self.wait_out = backend.connect(), backend.waits_out_rate_limits
+        self.options = {"max_tokens": backend.max_tokens, **options}
         self.budget = Budget(limits) if limits else None
         self.pool = None
         if backend.max_in_flight > 1:
@@ -171,6 +177,8 @@ def _enrich(
     on_error: str = "blank",
     **options,
 ) -> DataFrame:
+    if df.sparkSession.sparkContext.getConf().get("spark.speculation", "false") == "true":
+        warnings.warn("speculative tasks call the model twice; set spark.speculation=false", stacklevel=3)
     source = df.select(key, F.coalesce(F.col(text), F.lit("")).alias(SOURCE_COLUMN), *keep)
     schema = ", ".join(f"`{name}` {kind}" for name, kind in source.dtypes) + ", " + RESULT
     columns = [*source.columns, TARGET_COLUMN, "status", "error", "attempts"]
@@ -207,28 +215,51 @@ def hybrid_enrich(
     key: str = "row_id",
     text: str = "text",
     ordinal: str | None = None,
+    limits: dict[str, Limits] | None = None,
+    tasks: int | None = None,
     **options,
 ) -> DataFrame:
-    """Split rows over several backends by their capacities, in one pass; adds column `backend`."""
+    """Split rows over several backends by their capacities, in one pass; adds column `backend`.
+
+    `limits` names the backends that have a rate budget.
+    """
     weights = {backend.name: max(1, backend.max_in_flight) for backend in backends}
-    assigned = round_robin_assign(df, weights, ordinal or key)
     by_name = {backend.name: backend for backend in backends}
-    return _enrich(assigned, by_name, key, text, keep=("backend",), **options)
+    assigned = round_robin_assign(df, weights, ordinal or key)
+    dealt, shares = _deal(assigned, by_name, limits or {}, key, tasks)
+    return _enrich(dealt, by_name, key, text, keep=("backend",), limits=shares, **options)
 
 
-def budget_slots(spark, limits: Limits, wanted: int | None = None) -> int:
+def budget_slots(
+    spark: SparkSession, limits: Limits, wanted: int | None = None, max_tokens: int = MAX_COMPLETION_TOKENS
+) -> int:
     """Tasks a budget is split over.
 
     All of them must run at once, and a share must still admit a request of
     ordinary size, or every request would be booked for less than it uses.
     """
-    smallest_request = request_tokens("x")
+    smallest_request = request_tokens("x", max_tokens)
     most = min(spark.sparkContext.defaultParallelism, limits.rpm, limits.tpm // smallest_request)
     if wanted is not None and wanted > most:
         raise ValueError(f"{wanted} tasks exceed the {most} this budget and cluster can run at once")
     return max(1, wanted or most)
 
 
+def _deal(
+    df: DataFrame, backends: dict[str, Backend], limits: dict[str, Limits], key: str, tasks: int | None
+) -> tuple[DataFrame, dict[str, Limits]]:
+    """Rows dealt out evenly over the tasks of a budget, and each task's share of it.
+
+    A hash of the key deals them, so no task sits on an unused share.
+    """
+    if not limits:
+        return (df.coalesce(tasks) if tasks else df), {}
+    slots = min(
+        budget_slots(df.sparkSession, limit, tasks, backends[name].max_tokens) for name, limit in limits.items()
+    )
+    return df.repartition(slots, F.xxhash64(key)), {name: limit.split(slots) for name, limit in limits.items()}
+
+
 def rate_budgeted_enrich(
     df: DataFrame,
     backend: Backend,
@@ -240,15 +271,12 @@ def rate_budgeted_enrich(
 ) -> DataFrame:
     """Translate within requests and tokens per minute.
 
-    The budget is split evenly over tasks that run in one wave. Rows are dealt
-    out evenly by a hash of the key, so no task sits on an unused share; a
-    rerun task starts with an empty window and relies on the retry of
-    rate-limit errors.
+    The budget is split evenly over tasks that run in one wave. A rerun task
+    starts with an empty window and relies on the retry of rate-limit errors.
     """
-    slots = budget_slots(df.sparkSession, limits, tasks)
-    dealt = df.repartition(slots, F.xxhash64(key))
-    share = {backend.name: limits.split(slots)}
-    return _enrich(dealt, {backend.name: backend}, key, text, limits=share, **options)
+    by_name = {backend.name: backend}
+    dealt, shares = _deal(df, by_name, {backend.name: limits}, key, tasks)
+    return _enrich(dealt, by_name, key, text, limits=shares, **options)
 
 
 def enrich_to_table(enriched: DataFrame, path: str, mode: str = "append") -> DataFrame:

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+import os
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.defaults import (
+    API_IN_FLIGHT,
     API_MODEL,
+    FALLBACK_TIER,
     FILTERED_COLUMN,
     JSONL_LOCAL_IN_FLIGHT,
     LOCAL_BASE_URL,
     LOCAL_IN_FLIGHT,
     LOCAL_MODEL,
+    MAX_COMPLETION_TOKENS,
     SOURCE_COLUMN,
     TARGET_COLUMN,
+    TEMPERATURE,
 )
-from bitextloom.functions.rates import Limits
-from bitextloom.operators.backends import Backend, api_chat, local_chat
+from bitextloom.functions.rates import Limits, resolve_limits
+from bitextloom.operators.backends import Backend, ChatBackend, api_chat, local_chat
 from bitextloom.operators.enrich import enrich_text, hybrid_enrich, rate_budgeted_enrich
 from bitextloom.operators.resume import existing_rows, resume_pending
 from bitextloom.session import scratch_path
@@ -33,35 +40,97 @@ SLICE_ROWS = 5_000_000
 
 Translate = Callable[[DataFrame], DataFrame]
 
+LOG = logging.getLogger(__name__)
+
+
+@dataclass(frozen=True)
+class TranslationSettings:
+    """Servers, models and limits of the named backends."""
+
+    urls: tuple[str, ...] = (LOCAL_BASE_URL,)
+    local_model: str = LOCAL_MODEL
+    local_in_flight: int = LOCAL_IN_FLIGHT
+    api_url: str = ""
+    api_model: str = API_MODEL
+    api_in_flight: int = API_IN_FLIGHT
+    temperature: float = TEMPERATURE
+    max_tokens: int = MAX_COMPLETION_TOKENS
+    limits: Limits = resolve_limits()
+
+    @classmethod
+    def from_environment(
+        cls,
+        env: Mapping[str, str] = os.environ,
+        model: str | None = None,
+        tier: str | None = None,
+        rpm: int | None = None,
+        tpm: int | None = None,
+        jsonl: bool = False,
+    ) -> TranslationSettings:
+        """Settings from the usual variables of the client library; arguments win.
+
+        `jsonl` takes the wider default of calls in flight for JSON-lines sources.
+        """
+        listed = tuple(url.strip() for url in env.get("OPENAI_BASE_URLS", "").split(",") if url.strip())
+        in_flight = int(env.get("TARGET_IN_FLIGHT", JSONL_LOCAL_IN_FLIGHT)) if jsonl else LOCAL_IN_FLIGHT
+        return cls(
+            urls=listed or (env.get("OPENAI_BASE_URL", LOCAL_BASE_URL),),
+            local_model=model or env.get("GPT_OSS_MODEL", env.get("OPENAI_MODEL", LOCAL_MODEL)),
+            local_in_flight=max(1, in_flight),
+            api_url=env.get("OPENAI_API_BASE_URL", "").strip(),
+            api_model=model or env.get("OPENAI_API_MODEL", API_MODEL),
+            api_in_flight=max(1, int(env.get("OPENAI_API_IN_FLIGHT", API_IN_FLIGHT))),
+            temperature=float(env.get("OPENAI_TEMPERATURE", TEMPERATURE)),
+            max_tokens=int(env.get("OPENAI_MAX_TOKENS", MAX_COMPLETION_TOKENS)),
+            limits=resolve_limits(
+                tier or env.get("OPENAI_RATE_TIER", FALLBACK_TIER),
+                rpm,
+                tpm,
+                env.get("OPENAI_RPM", ""),
+                env.get("OPENAI_TPM", ""),
+            ),
+        )
+
+    def local(self) -> ChatBackend:
+        return local_chat(
+            self.urls,
+            self.local_model,
+            max_in_flight=self.local_in_flight,
+            temperature=self.temperature,
+            max_tokens=self.max_tokens,
+        )
+
+    def remote(self) -> ChatBackend:
+        return api_chat(
+            self.api_url, self.api_model, max_in_flight=self.api_in_flight, max_tokens=self.max_tokens
+        )
+
 
 def translator(
     backend: str | Backend,
     key: str = "ordinal",
-    urls: tuple[str, ...] = (),
-    api_url: str = "",
-    model: str | None = None,
-    limits: Limits | None = None,
-    jsonl: bool = False,
+    settings: TranslationSettings | None = None,
     on_error: str = "blank",
+    tasks: int | None = None,
 ) -> Translate:
     """What to do with a frame of `key, text`: one of the named backends, or any other.
 
-    Names: `gpt-oss` (own servers), `openai-api` (remote, with a rate budget if
-    limits are given), `hybrid` (both, by their capacities).
+    Names: `gpt-oss` (own servers), `openai-api` (remote, within its rate
+    budget), `hybrid` (both, by their capacities, the remote one within its
+    budget). `tasks` bounds the tasks that call at once.
     """
+    settings = settings or TranslationSettings()
+    options = {"on_error": on_error, "tasks": tasks}
     if isinstance(backend, Backend):
-        return lambda df: enrich_text(df, backend, key, on_error=on_error)
-    in_flight = JSONL_LOCAL_IN_FLIGHT if jsonl else LOCAL_IN_FLIGHT
-    local = local_chat(urls or (LOCAL_BASE_URL,), model or LOCAL_MODEL, max_in_flight=in_flight)
-    remote = api_chat(api_url, model or API_MODEL)
+        return lambda df: enrich_text(df, backend, key, **options)
     if backend == "gpt-oss":
-        return lambda df: enrich_text(df, local, key, on_error=on_error)
+        return lambda df: enrich_text(df, settings.local(), key, **options)
+    remote = settings.remote()
     if backend == "openai-api":
-        if limits is None:
-            return lambda df: enrich_text(df, remote, key, on_error=on_error)
-        return lambda df: rate_budgeted_enrich(df, remote, limits, key, on_error=on_error)
+        return lambda df: rate_budgeted_enrich(df, remote, settings.limits, key, **options)
     if backend == "hybrid":
-        return lambda df: hybrid_enrich(df, [local, remote], key, on_error=on_error)
+        both, limits = [settings.local(), remote], {remote.name: settings.limits}
+        return lambda df: hybrid_enrich(df, both, key, limits=limits, **options)
     raise ValueError(f"unsupported backend: {backend}")
 
 
@@ -98,6 +167,9 @@ def translate_corpus(
     end = min(total, max_samples) if max_samples >= 0 else total
     done = _stored_rows(spark, out)
     progress = StateLog(spark, state_path)
+    saved = progress.latest()
+    if saved and saved["written"] != done:
+        LOG.warning("saved progress %s, stored rows %s: resuming at the stored rows", saved["written"], done)
     while done < end:
         last = min(end, done + slice_rows)
         rows = rows_between(df, done, last, offsets).select("ordinal", F.col(input_column).alias("text"))

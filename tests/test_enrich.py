@@ -115,6 +115,16 @@ def test_hybrid_splits_by_capacity(spark):
     assert {r["backend"] for r in rows} == {"one", "two"}
 
 
+def test_hybrid_budgets_only_the_named_backend(spark):
+    df = spark.range(40).selectExpr("id AS row_id", "'t' AS text")
+    both = [PrefixBackend("one", 2, prefix="1"), PrefixBackend("two", 2, prefix="2")]
+    done = hybrid_enrich(df, both, limits={"two": Limits(3000, 30_000_000)}, tasks=3)
+    assert done.rdd.getNumPartitions() == 3
+    assert sorted(r["row_id"] for r in done.where("left(text_ja, 1) = '1'").collect()) == [
+        i for i in range(40) if i % 4 < 2
+    ]
+
+
 def test_budget_is_split_over_one_wave(spark):
     assert budget_slots(spark, Limits(30_000, 180_000_000)) == spark.sparkContext.defaultParallelism
     assert budget_slots(spark, Limits(500, 9_000)) == 2

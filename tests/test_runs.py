@@ -2,8 +2,16 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from bitextloom.functions import Limits
 from bitextloom.operators import PrefixBackend
-from bitextloom.plans import filter_corpus, profile_corpus, translate_corpus, translate_pending, translator
+from bitextloom.plans import (
+    TranslationSettings,
+    filter_corpus,
+    profile_corpus,
+    translate_corpus,
+    translate_pending,
+    translator,
+)
 from bitextloom.sources import StateLog, global_ordinal
 from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
 
@@ -118,3 +126,21 @@ def test_backend_names():
         assert callable(translator(name))
     with pytest.raises(ValueError):
         translator("other")
+
+
+def test_settings_from_environment():
+    env = {
+        "OPENAI_BASE_URLS": "http://a/v1, ,http://b/v1",
+        "OPENAI_MODEL": "m",
+        "OPENAI_MAX_TOKENS": "100",
+        "OPENAI_RPM": "12",
+        "OPENAI_RATE_TIER": "2",
+    }
+    settings = TranslationSettings.from_environment(env)
+    local, remote = settings.local(), settings.remote()
+    assert (local.base_urls, local.model, local.max_in_flight) == (("http://a/v1", "http://b/v1"), "m", 4)
+    assert (remote.model, remote.max_tokens, remote.max_in_flight) == ("gpt-5-nano", 100, 4)
+    assert settings.limits == Limits(12, 2_000_000)
+    wide = TranslationSettings.from_environment({}, model="x", tier="5", rpm=7, jsonl=True)
+    assert (wide.local().model, wide.remote().model, wide.local().max_in_flight) == ("x", "x", 100)
+    assert wide.limits == Limits(7, 180_000_000) and wide.urls == ("http://localhost:8000/v1",)
