@@ -30,7 +30,7 @@ from bitextloom.operators.enrich import enrich_text, hybrid_enrich, rate_budgete
 from bitextloom.operators.resume import existing_rows, resume_pending
 from bitextloom.session import scratch_path
 from bitextloom.sinks.parquet import write_ordered
-from bitextloom.sources.paths import expand_paths, path_exists
+from bitextloom.sources.paths import path_exists, scan_targets
 from bitextloom.sources.positions import file_offsets, rows_between, stage_jsonl
 from bitextloom.sources.readers import parse_jsonl
 from bitextloom.sources.state import StateLog
@@ -155,9 +155,7 @@ def translate_corpus(
     the two output columns are free. For `source_format="json"`, `input_column`
     is the field of the records.
     """
-    paths = expand_paths(spark, data_files, {"parquet": ".parquet", "json": ".json*"}[source_format])
-    if not paths:
-        raise FileNotFoundError(f"no files matched: {data_files}")
+    paths = scan_targets(spark, data_files, {"parquet": ".parquet", "json": ".json*"}[source_format])
     if source_format == "json":
         df, input_column = _jsonl_in_order(spark, paths, input_column), "text"
     else:

@@ -17,12 +17,14 @@ from bitextloom.functions.numbers import int_div
 from bitextloom.functions.shards import shard_name
 from bitextloom.prefix import running_total
 from bitextloom.session import scoped_conf
-from bitextloom.sources.paths import expand_paths
+from bitextloom.sources.paths import scan_targets
 from bitextloom.sources.positions import BROADCAST_FILES, file_count, file_path, row_index
 
 MB = 1024 * 1024
 # Part of the allowed shard size that is planned for; rows of one file vary in size.
 FILL = 0.8
+# Rows of one task of an ordered write, whatever the session's shuffle partitions.
+MAX_TASK_ROWS = 1_000_000
 
 # fixed values: decimal and binary size units
 UNITS = {"KB": 10**3, "MB": 10**6, "GB": 10**9, "TB": 10**12,
@@ -60,8 +62,9 @@ def write_by_rows(
     """
     rows_per_file = max(1, rows_per_file)
     if ordinal is not None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shards = max(1, -(-(total_rows or df.count()) // rows_per_file))
+        total_rows = total_rows or df.count()
+        tasks = _write_tasks(df.sparkSession, total_rows)
+        shards = max(1, -(-total_rows // rows_per_file))
         rows_per_task = -(-shards // tasks) * rows_per_file
         df = _contiguous(df, ordinal, rows_per_task, min(tasks, shards))
     _parquet(df, path, mode, maxRecordsPerFile=rows_per_file)
@@ -80,11 +83,17 @@ def write_ordered(
     The partition is computed from the ordinal, so there is no sampling pass
     over the rows as a range partitioning would need.
     """
-    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows_per_task = max(1, -(-(total_rows or df.count()) // files))
+    total_rows = total_rows or df.count()
+    files = files or _write_tasks(df.sparkSession, total_rows)
+    rows_per_task = max(1, -(-total_rows // files))
     _parquet(_contiguous(df, ordinal, rows_per_task, files), path, mode)
 
 
+def _write_tasks(spark: SparkSession, rows: int) -> int:
+    """The session's shuffle partitions, or more where a task would get too many rows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // MAX_TASK_ROWS))
+
+
 def _contiguous(df: DataFrame, ordinal: str, rows_per_task: int, tasks: int) -> DataFrame:
     task = int_div(F.col(ordinal), rows_per_task).cast("int")
     return df.repartitionById(tasks, task).sortWithinPartitions(ordinal)
@@ -152,21 +161,18 @@ def reshard_for_publish(
     so files of long texts get more shards, and no pass over the rows is needed
     to plan it. Returns the manifest.
     """
-    paths = expand_paths(spark, data_dir)
-    if not paths:
-        raise FileNotFoundError(f"No parquet files found in {data_dir}")
-    df = spark.read.parquet(*paths)
-    names = df.columns
+    df = spark.read.parquet(*scan_targets(spark, data_dir))
+    names, count = df.columns, file_count(df)
     files = df.groupBy(file_path().alias("_file"), F.col("_metadata.file_size").alias("bytes")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    files = running_total(files, ["_file"], "bytes", "before", len(paths))
+    files = running_total(files, ["_file"], "bytes", "before", count)
     total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     shard_bytes = max(1, int(parse_size(max_shard_size) * fill))
     shards = total // shard_bytes + 1
-    if len(paths) <= BROADCAST_FILES:
+    if count <= BROADCAST_FILES:
         files = F.broadcast(files)
-    place = F.col("before") + F.col("_index") * F.col("bytes") / F.col("rows")
+    place = F.col("before") + F.col("_index") / F.col("rows") * F.col("bytes")
     shard = F.least(F.floor(place / shard_bytes), F.lit(shards - 1)).cast("int")
     rows = df.select("*", file_path().alias("_file"), row_index().alias("_index")).join(files, "_file")
     placed = rows.repartitionById(shards, shard).sortWithinPartitions("_file", "_index")

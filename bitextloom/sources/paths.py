@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,13 +60,36 @@ def expand_paths(spark: SparkSession, spec: str, suffix: str = ".parquet") -> li
     return sorted(found)
 
 
-def _glob(spark: SparkSession, pattern: str) -> Iterable[str]:
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
     hadoop, fs = _hadoop_path(spark, pattern)
+    matches = spark._jvm.org.apache.spark.deploy.SparkHadoopUtil.get().globPath(fs, hadoop)
+    if matches.isEmpty():
+        return []
+    # One string for all names: a call per file would take minutes for a large folder.
+    paths = matches.mkString("\n").split("\n")
+    if "://" not in pattern:
+        paths = [re.sub(r"^\w+:(//[^/]*)?", "", path) for path in paths]
     keep_hidden = pattern.rsplit("/", 1)[-1].startswith(".")
-    for status in fs.globStatus(hadoop) or ():
-        path = status.getPath()
-        if keep_hidden or not path.getName().startswith("."):
-            yield path.toString() if "://" in pattern else path.toUri().getPath()
+    return [path for path in paths if keep_hidden or not path.rsplit("/", 1)[-1].startswith(".")]
+
+
+def scan_targets(spark: SparkSession, spec: str, suffix: str = ".parquet") -> list[str]:
+    """What to hand to a reader for a spec; raises when nothing matches.
+
+    A single pattern stays a pattern, which the reader expands by itself;
+    several are expanded here, as a file named twice must be read once.
+    """
+    tokens = [token.strip() for token in spec.split(",") if token.strip()]
+    if len(tokens) == 1:
+        only = tokens[0]
+        pattern = f"{only.rstrip('/')}/*{suffix}" if is_directory(spark, only) else only
+        hadoop, fs = _hadoop_path(spark, pattern)
+        targets = [pattern] if fs.globStatus(hadoop) else []
+    else:
+        targets = expand_paths(spark, spec, suffix)
+    if not targets:
+        raise FileNotFoundError(f"no files matched: {spec}")
+    return targets
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.defaults import FILTERED_COLUMN, TEXT_FIELD
-from bitextloom.sources.paths import expand_paths, infer_format
+from bitextloom.sources.paths import expand_paths, infer_format, scan_targets
 from bitextloom.sources.positions import first_jsonl_rows, take_first_rows
 
 
@@ -77,22 +77,20 @@ def scan_corpus(
     when the data lacks it; without, all texts are then missing.
     """
     if infer_format(data_files, requested_format) == "parquet":
-        paths = expand_paths(spark, data_files) or _no_files(data_files)
+        paths = scan_targets(spark, data_files)
         rows = take_first_rows(spark.read.parquet(*paths), cap)
         return with_text(rows, text_field, fall_back=fall_back).select("text")
-    paths = expand_paths(spark, data_files, suffix=".json*") or _no_files(data_files)
-    field = resolve_text_field(_first_keys(spark, paths), text_field) if fall_back else text_field
+    paths = scan_targets(spark, data_files, suffix=".json*")
+    field = resolve_text_field(_first_keys(spark, data_files), text_field) if fall_back else text_field
     if cap >= 0:
+        paths = expand_paths(spark, data_files, suffix=".json*")
         return parse_jsonl(first_jsonl_rows(spark, paths, cap), field).select("text")
     return scan_jsonl(spark, paths, field).select(F.col(f"`{field}`").alias("text"))
 
 
-def _no_files(spec: str):
-    raise FileNotFoundError(f"no files matched: {spec}")
-
-
-def _first_keys(spark: SparkSession, paths: list[str]) -> list[str]:
-    first = spark.read.text(paths[0]).where(F.trim("value") != "").limit(1)
+def _first_keys(spark: SparkSession, spec: str) -> list[str]:
+    """Keys of the first record in sorted-file order."""
+    first = spark.read.text(expand_paths(spark, spec, suffix=".json*")[0]).where(F.trim("value") != "").limit(1)
     row = first.select(F.json_object_keys("value").alias("keys")).first()
     return list(row["keys"] or []) if row else []
 
