@@ -23,7 +23,7 @@ from bitextloom.operators.resume import existing_rows, reassemble_in_order, resu
 from bitextloom.plans import filter_corpus, profile_frame, translate_corpus, translate_pending, translator
 from bitextloom.session import scratch_path
 from bitextloom.sinks import reshard_for_publish, shard_manifest, write_by_rows, write_by_size, write_ordered
-from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory
+from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files
 from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
 
 BLANK = "coalesce(text, '') = ''"
@@ -115,8 +115,8 @@ def translate_pending_query(spark, sf_dir):
 
 @query("existing_rows", "SELECT count(*) AS row_count, true AS several_shards FROM documents")
 def existing_rows_query(spark, sf_dir):
-    out = scratch_path(spark, "shards")
-    write_by_rows(documents(spark, sf_dir).select("text"), out, 300)
+    rows, out = documents(spark, sf_dir).select("text"), scratch_path(spark, "shards")
+    write_by_rows(rows, out, rows.count() // 4)
     shards = existing_rows(spark, out, "part")
     return shards.agg(F.sum("rows").alias("row_count"), (F.count("*") > 1).alias("several_shards"))
 
@@ -140,14 +140,27 @@ def next_shard_id_query(spark, sf_dir):
     return names.groupBy("source").agg(next_shard_id(shard_number(F.col("name"))).alias("next_id"))
 
 
-@query("write_by_rows", f"SELECT CASE WHEN count(*) < 100 THEN count(*) ELSE 100 END AS rows_per_shard, (count(*) + 99) // 100 AS shards, count(*) AS row_count FROM documents")
-def write_by_rows_query(spark, sf_dir):
-    """Shards of exactly 100 consecutive rows, the last one short."""
-    out, numbered = scratch_path(spark, "by-rows"), global_ordinal(documents(spark, sf_dir))
+def write_tenths(spark, sf_dir, label):
+    """The table as shards of a tenth of its rows, in row order."""
+    out, numbered = scratch_path(spark, label), global_ordinal(documents(spark, sf_dir))
     total = numbered.count()
-    write_by_rows(numbered, out, 100, "ordinal", total)
-    stored = shard_manifest(spark, out, "shard")
-    return stored.agg(F.max("rows").alias("rows_per_shard"), F.count("*").alias("shards"), F.sum("rows").alias("row_count"))
+    write_by_rows(numbered, out, -(-total // 10), "ordinal", total)
+    return out
+
+
+TENTHS = """t AS (SELECT (count(*) + 9) // 10 AS size, count(*) AS total FROM documents)"""
+
+
+@query(
+    "write_by_rows",
+    f"WITH {TENTHS} SELECT size AS rows_per_shard, (total + size - 1) // size AS shards, total AS row_count FROM t",
+)
+def write_by_rows_query(spark, sf_dir):
+    """Shards hold exactly the wanted number of consecutive rows, the last one the rest."""
+    stored = shard_manifest(spark, write_tenths(spark, sf_dir, "by-rows"), "shard")
+    return stored.agg(
+        F.max("rows").alias("rows_per_shard"), F.count("*").alias("shards"), F.sum("rows").alias("row_count")
+    )
 
 
 @query("write_by_size", f"WITH {EDGE} SELECT doc_id, text FROM edge WHERE text IS NOT NULL AND {TOKENS} < 512")
@@ -159,13 +172,12 @@ def write_by_size_query(spark, sf_dir):
 
 @query(
     "shard_manifest",
-    """WITH n AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS shard_id FROM documents)
+    f"""WITH {TENTHS}, n AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // (SELECT size FROM t) AS shard_id FROM documents)
        SELECT shard_id + 7 AS shard_id, printf('corpus-%05d.parquet', shard_id + 7) AS shard, count(*) AS rows FROM n GROUP BY shard_id""",
 )
 def shard_manifest_query(spark, sf_dir):
-    """Numbering continues after six earlier shards, in row order."""
-    out, numbered = scratch_path(spark, "manifest"), global_ordinal(documents(spark, sf_dir))
-    write_by_rows(numbered, out, 100, "ordinal", numbered.count())
+    """Numbering continues after seven earlier shards, in row order."""
+    out = write_tenths(spark, sf_dir, "manifest")
     return shard_manifest(spark, out, "corpus", start_id=7).select("shard_id", "shard", "rows")
 
 
@@ -207,9 +219,10 @@ def print_report_query(spark, sf_dir):
 
 @query("reshard_for_publish", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text FROM documents")
 def reshard_for_publish_query(spark, sf_dir):
-    """Shards of at most half a megabyte still hold the rows in input order."""
-    out = scratch_path(spark, "publish")
-    reshard_for_publish(spark, f"{sf_dir}/documents.parquet", out, "train", "500KB")
+    """Shards of at most an eighth of the stored bytes hold the rows in input order."""
+    source, out = f"{sf_dir}/documents.parquet", scratch_path(spark, "publish")
+    stored = list_files(spark, source).agg(F.sum("bytes")).first()[0]
+    reshard_for_publish(spark, source, out, "train", stored // 8)
     return global_ordinal(spark.read.parquet(f"{out}/train")).select("doc_id", "ordinal", "text")
 
 
