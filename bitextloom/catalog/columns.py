@@ -103,7 +103,7 @@ def route_error_rows_query(spark, sf_dir):
     f"WITH {EDGE} SELECT doc_id, CASE WHEN text IS NULL THEN NULL WHEN {SPECIAL} THEN -1 ELSE strlen(text) END AS n_tokens FROM edge",
 )
 def token_count_query(spark, sf_dir):
-    """The encoder itself refuses texts with special tokens; single bytes are its only tokens."""
+    """Texts with special tokens are refused; single bytes are the only tokens."""
     counted = token_count(F.col("text"), byte_tokenizer())
     return edge_documents(spark, sf_dir).select("doc_id", counted.alias("n_tokens"))
 

@@ -53,7 +53,6 @@ API_MODEL = "gpt-5-nano"
 LOCAL_BASE_URL = "http://localhost:8000/v1"
 FILTER_MAX_TOKENS = 512
 FILTER_MAX_FILE_MB = 300
-FILTER_PREFIX = "c4-train-en-filtered"
 FILTERED_COLUMN = "en_text"
 TEXT_FIELD = "text"
 PROFILE_MAX_SAMPLES = 1000

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.defaults import BYTES_PER_TOKEN, ENCODING_NAME, MAX_COMPLETION_TOKENS
 from bitextloom.functions.numbers import int_div
-from bitextloom.functions.text import prompt_turns, special_token_names
+from bitextloom.functions.text import has_special_token, prompt_turns, special_token_names
 
 FAILED = -1
 
@@ -109,28 +109,30 @@ def byte_tokenizer(merges: Iterable[bytes] = ()) -> Tokenizer:
 
 
 def token_count(text: Column, tokenizer: Tokenizer) -> Column:
-    """Tokens of a text; 0 for empty, null for null, -1 where the encoder refuses it.
+    """Tokens of a text; 0 for empty, null for null, -1 where the encoding refuses it.
 
-    The encoder refuses texts that embed a special token. One encoder per
-    Python worker, texts arrive in Arrow batches.
+    Texts that embed a special token are refused; they are found before Python,
+    so the encoder need not search each text for a thousand names. One encoder
+    per Python worker, texts arrive in Arrow batches.
     """
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = tokenizer.load().encode
+        encode = tokenizer.load().encode_ordinary
 
         def size(value: str | None) -> int | None:
             if value is None:
                 return None
             try:
                 return len(encode(value))
-            except Exception:  # any refusal counts as a failed text, never as a failed job
+            except Exception:  # any other refusal counts as a failed text, never as a failed job
                 return FAILED
 
         for batch in batches:
             yield pd.Series([size(value) for value in batch], dtype="Int64")
 
-    return count(text)
+    refused = has_special_token(text, tokenizer.special_names)
+    return F.when(refused, F.lit(FAILED).cast("bigint")).otherwise(count(F.when(~refused, text)))
 
 
 def count_tokens(text: Column, tokenizer: Tokenizer | None = None) -> Column:

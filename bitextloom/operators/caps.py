@@ -50,15 +50,21 @@ def nth_key(df: DataFrame, key: str, n: int) -> int | None:
 
 
 def first_rows_by_key(df: DataFrame, key: str, cap: int) -> DataFrame:
-    """The `cap` rows with the smallest keys (keys are unique); 0 gives none.
+    """The `cap` rows with the smallest keys; 0 gives none.
 
     The result is a plain filter on the key: it reaches the scan, and rows stay
-    where they are.
+    where they are. A key shared across the cut is an error, as either choice
+    would be arbitrary.
     """
     if cap <= 0:
         return df.where(F.lit(False))
     last = nth_key(df, key, cap)
-    return df.where(F.col(key).isNotNull()) if last is None else df.where(F.col(key) <= last)
+    if last is None:
+        return df.where(F.col(key).isNotNull())
+    capped = df.where(F.col(key) <= last)
+    if capped.select(key).count() != cap:
+        raise ValueError(f"{key} {last} is shared by rows on both sides of the cut")
+    return capped
 
 
 def profile_cap(df: DataFrame, key: str, max_samples: int) -> DataFrame:

@@ -1,6 +1,7 @@
 """Parquet sinks and report layouts."""
 
 from bitextloom.sinks.parquet import (
+    number_shards,
     parse_size,
     reshard_for_publish,
     shard_manifest,

@@ -12,12 +12,14 @@ from bitextloom.defaults import (
     PUBLISH_MAX_SHARD,
     PUBLISH_SPLIT,
     ROWS_PER_SHARD,
+    TRANSLATE_PREFIX,
 )
 from bitextloom.functions.numbers import int_div
-from bitextloom.functions.shards import shard_name
+from bitextloom.functions.shards import shard_name, shard_number
+from bitextloom.operators.resume import next_shard_number
 from bitextloom.prefix import running_total
 from bitextloom.session import scoped_conf
-from bitextloom.sources.paths import scan_targets
+from bitextloom.sources.paths import list_files, rename, scan_targets
 from bitextloom.sources.positions import BROADCAST_FILES, file_count, file_path, row_index
 
 MB = 1024 * 1024
@@ -129,7 +131,9 @@ def write_by_size(
         _parquet(df, path, mode)
 
 
-def shard_manifest(spark: SparkSession, path: str, prefix: str, start_id: int = 0) -> DataFrame:
+def shard_manifest(
+    spark: SparkSession, path: str, prefix: str = TRANSLATE_PREFIX, start_id: int = 0
+) -> DataFrame:
     """One row per stored file with rows: shard_id, shard, path, rows, bytes.
 
     Spark names its files; the manifest numbers them in path order, from
@@ -146,6 +150,23 @@ def shard_manifest(spark: SparkSession, path: str, prefix: str, start_id: int =
     )
 
 
+def number_shards(spark: SparkSession, path: str, prefix: str = TRANSLATE_PREFIX) -> int:
+    """Rename a batch output's files to `prefix-00000.parquet` and so on; returns the next free number.
+
+    Numbers go on after the highest one present, in path order, so a call that
+    breaks off can be repeated. One rename per file and no data is read, but
+    object stores copy on rename: prefer `shard_manifest` there. Not for
+    streaming outputs, whose log lists files by name.
+    """
+    number = next_shard_number(spark, path, prefix)
+    files = list_files(spark, path, "*.parquet")
+    unnumbered = files.where(shard_number(F.col("name"), prefix).isNull()).orderBy("path").select("path")
+    for row in unnumbered.toLocalIterator():
+        rename(spark, row["path"], f"{path.rstrip('/')}/{prefix}-{number:05d}.parquet")
+        number += 1
+    return number
+
+
 def reshard_for_publish(
     spark: SparkSession,
     data_dir: str,

@@ -40,6 +40,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    hadoop, fs = _hadoop_path(spark, source)
+    if not fs.rename(hadoop, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def expand_paths(spark: SparkSession, spec: str, suffix: str = ".parquet") -> list[str]:
     """Files of a comma-separated spec, sorted and without duplicates.
 

@@ -6,8 +6,11 @@ the table outside the data folder: a reader of the data must not find it.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from bitextloom.sources.paths import path_exists
 
@@ -38,12 +41,8 @@ class StateLog:
     def append(self, **fields) -> None:
         """Save one row, with the time in epoch seconds."""
         last = self.latest()
-        row = self.spark.range(1).select(
-            F.lit(last["version"] + 1 if last else 0).cast("bigint").alias("version"),
-            F.unix_timestamp(F.current_timestamp()).alias("updated_at"),
-            *(F.lit(value).alias(name) for name, value in fields.items()),
-        )
-        typed = row.to(self.spark.createDataFrame([], self.schema).schema)
-        saved = typed.first()
-        self.spark.createDataFrame([saved], self.schema).coalesce(1).write.mode("append").parquet(self.path)
-        self._newest = saved
+        row = Row(version=last["version"] + 1 if last else 0, updated_at=int(time.time()), **fields)
+        values = [F.lit(value).alias(name) for name, value in row.asDict().items()]
+        typed = self.spark.range(1).select(*values).to(StructType.fromDDL(self.schema))
+        typed.coalesce(1).write.mode("append").parquet(self.path)
+        self._newest = row

@@ -69,6 +69,13 @@ def test_nth_key_narrows_to_the_exact_key(spark, monkeypatch):
     assert sorted(r["k"] for r in first_rows_by_key(df, "k", 57).collect()) == ordered[:57]
 
 
+def test_a_key_shared_across_the_cut_is_an_error(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k bigint")
+    assert first_rows_by_key(df, "k", 3).count() == 3
+    with pytest.raises(ValueError):
+        first_rows_by_key(df, "k", 2)
+
+
 def test_cap_rules(texts, spark):
     df = texts("a", None, "b")
     assert profile_cap(df, "row_id", -1).count() == profile_cap(df, "row_id", 0).count() == 0

@@ -8,6 +8,7 @@ from bitextloom.operators import existing_rows, next_shard_number
 from bitextloom.sinks import (
     format_filter_report,
     format_profile_report,
+    number_shards,
     parse_size,
     reshard_for_publish,
     shard_manifest,
@@ -72,6 +73,19 @@ def test_manifest_continues_numbering(spark, tmp_path):
     ]
 
 
+def test_numbered_names_go_on_after_the_highest(spark, tmp_path):
+    out = str(tmp_path / "out")
+    ordered = spark.range(60).select(F.col("id").alias("ordinal"))
+    write_by_rows(ordered, out, 20, "ordinal", 60)
+    assert number_shards(spark, out, "c") == 3
+    write_by_rows(ordered.where("ordinal < 20"), out, 20, "ordinal", 20)
+    assert number_shards(spark, out, "c") == 4 == next_shard_number(spark, out, "c")
+    assert sorted(n for n in os.listdir(out) if n.endswith(".parquet")) == [f"c-0000{i}.parquet" for i in range(4)]
+    values = [r["ordinal"] for r in global_ordinal(spark.read.parquet(out), "place").orderBy("place").collect()]
+    assert values == [*range(60), *range(20)]
+    assert existing_rows(spark, out, "c").agg(F.sum("rows")).first()[0] == 80
+
+
 def test_existing_shards(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
