@@ -13,7 +13,7 @@ from bitextloom.catalog.registry import (
     query,
     table,
 )
-from bitextloom.functions import byte_tokenizer
+from bitextloom.functions import byte_tokenizer, epoch_micros, int_div
 from bitextloom.functions.rates import Limits
 from bitextloom.operators.filters import filter_report
 from bitextloom.operators.profile import (
@@ -166,8 +166,9 @@ def rate_window_usage_query(spark, sf_dir):
 )
 def rate_window_usage_dense_query(spark, sf_dir):
     """The same log with time pressed ten-thousandfold, so that windows hold hundreds of rows."""
-    squeezed = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 10_000).alias("ts")
-    log = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    squeezed = int_div(epoch_micros(F.col("ts"), dict(events.dtypes)["ts"]), 10_000).alias("ts")
+    log = events.select(
         "event_id", F.col("event_type").alias("backend"), squeezed, F.col("user_id").alias("tokens")
     )
     return rate_window_usage(log, AUDIT_LIMITS).drop("ts", "tokens")

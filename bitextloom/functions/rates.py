@@ -22,14 +22,16 @@ class Limits:
         return Limits(max(1, self.rpm // parts), max(1, self.tpm // parts))
 
 
+def _whole_number(text: str) -> int | None:
+    try:
+        return int(text)
+    except ValueError:
+        return None
+
+
 def _pick(argument: int | None, override: str, tier_value: int) -> int:
-    value = argument
-    if value is None and override.strip():
-        try:
-            value = int(override)
-        except ValueError:
-            value = None
-    return max(1, value or tier_value)
+    given = _whole_number(override) if argument is None else argument
+    return max(1, given or tier_value)
 
 
 def resolve_limits(

@@ -30,7 +30,7 @@ from bitextloom.operators.enrich import enrich_text, hybrid_enrich, rate_budgete
 from bitextloom.operators.resume import existing_rows, resume_pending
 from bitextloom.session import scratch_path
 from bitextloom.sinks.parquet import write_ordered
-from bitextloom.sources.paths import path_exists, scan_targets
+from bitextloom.sources.paths import path_exists, scan_targets, split_list
 from bitextloom.sources.positions import file_offsets, rows_between, stage_jsonl
 from bitextloom.sources.readers import parse_jsonl
 from bitextloom.sources.state import StateLog
@@ -71,7 +71,7 @@ class TranslationSettings:
 
         `jsonl` takes the wider default of calls in flight for JSON-lines sources.
         """
-        listed = tuple(url.strip() for url in env.get("OPENAI_BASE_URLS", "").split(",") if url.strip())
+        listed = tuple(split_list(env.get("OPENAI_BASE_URLS", "")))
         in_flight = int(env.get("TARGET_IN_FLIGHT", JSONL_LOCAL_IN_FLIGHT)) if jsonl else LOCAL_IN_FLIGHT
         return cls(
             urls=listed or (env.get("OPENAI_BASE_URL", LOCAL_BASE_URL),),

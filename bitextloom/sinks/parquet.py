@@ -26,6 +26,7 @@ MB = 1024 * 1024
 # Part of the allowed shard size that is planned for; rows of one file vary in size.
 FILL = 0.8
 # Rows of one task of an ordered write, whatever the session's shuffle partitions.
+MIN_TASK_ROWS = 1_000
 MAX_TASK_ROWS = 1_000_000
 
 # fixed values: decimal and binary size units
@@ -92,8 +93,9 @@ def write_ordered(
 
 
 def _write_tasks(spark: SparkSession, rows: int) -> int:
-    """The session's shuffle partitions, or more where a task would get too many rows."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // MAX_TASK_ROWS))
+    """Tasks of an ordered write: the session's shuffle partitions, within rows per task."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // MAX_TASK_ROWS), min(wanted, rows // MIN_TASK_ROWS))
 
 
 def _contiguous(df: DataFrame, ordinal: str, rows_per_task: int, tasks: int) -> DataFrame:

@@ -3,26 +3,32 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WILDCARDS = "*?["
+# fixed values: spellings that mark a parquet path
+PARQUET_MARKS = (".parquet", ".pq")
+
+
+def split_list(spec: str) -> list[str]:
+    """Entries of a comma-separated list, trimmed, blanks left out."""
+    return list(filter(None, map(str.strip, spec.split(","))))
 
 
 def infer_format(path: str, requested: str = "auto") -> str:
     """`json` or `parquet`: an explicit request wins, else the path's spelling decides."""
-    if requested != "auto":
-        return requested
-    lowered = path.lower()
-    return "parquet" if ".parquet" in lowered or ".pq" in lowered else "json"
+    spelled = "parquet" if any(mark in path.lower() for mark in PARQUET_MARKS) else "json"
+    return spelled if requested == "auto" else requested
 
 
 def infer_format_column(path: Column, requested: Column) -> Column:
     """Column form of `infer_format`, for a table of paths."""
-    lowered = F.lower(path)
-    is_parquet = F.contains(lowered, F.lit(".parquet")) | F.contains(lowered, F.lit(".pq"))
-    return F.when(requested != "auto", requested).when(is_parquet, "parquet").otherwise("json")
+    marked = [F.contains(F.lower(path), F.lit(mark)) for mark in PARQUET_MARKS]
+    spelled = F.when(reduce(or_, marked), "parquet").otherwise("json")
+    return F.when(requested == "auto", spelled).otherwise(requested)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -53,17 +59,12 @@ def expand_paths(spark: SparkSession, spec: str, suffix: str = ".parquet") -> li
     plain file for itself if it exists. Blanks and misses are skipped. Paths
     keep their scheme only if the spec gave one.
     """
-    found: set[str] = set()
-    for token in (part.strip() for part in spec.split(",")):
-        if not token:
-            continue
-        if is_directory(spark, token):
-            token = f"{token.rstrip('/')}/*{suffix}"
-        if any(mark in token for mark in WILDCARDS):
-            found.update(_glob(spark, token))
-        elif path_exists(spark, token):
-            found.add(token)
-    return sorted(found)
+    patterns = [_pattern(spark, entry, suffix) for entry in split_list(spec)]
+    return sorted({path for pattern in patterns for path in _glob(spark, pattern)})
+
+
+def _pattern(spark: SparkSession, entry: str, suffix: str) -> str:
+    return f"{entry.rstrip('/')}/*{suffix}" if is_directory(spark, entry) else entry
 
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
@@ -85,10 +86,9 @@ def scan_targets(spark: SparkSession, spec: str, suffix: str = ".parquet") -> li
     A single pattern stays a pattern, which the reader expands by itself;
     several are expanded here, as a file named twice must be read once.
     """
-    tokens = [token.strip() for token in spec.split(",") if token.strip()]
-    if len(tokens) == 1:
-        only = tokens[0]
-        pattern = f"{only.rstrip('/')}/*{suffix}" if is_directory(spark, only) else only
+    entries = split_list(spec)
+    if len(entries) == 1:
+        pattern = _pattern(spark, entries[0], suffix)
         hadoop, fs = _hadoop_path(spark, pattern)
         targets = [pattern] if fs.globStatus(hadoop) else []
     else:

@@ -47,11 +47,8 @@ def scan_parquet(spark: SparkSession, paths: str | list[str], column: str = FILT
 
 def resolve_text_field(columns: list[str], requested: str = TEXT_FIELD) -> str:
     """The column to read: the default name falls back to the filtered corpus' name."""
-    if requested in columns:
-        return requested
-    if requested == TEXT_FIELD and FILTERED_COLUMN in columns:
-        return FILTERED_COLUMN
-    return requested
+    falls_back = requested == TEXT_FIELD and requested not in columns and FILTERED_COLUMN in columns
+    return FILTERED_COLUMN if falls_back else requested
 
 
 def with_text(

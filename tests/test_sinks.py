@@ -23,7 +23,8 @@ def shard_rows(spark, path):
     return [r["rows"] for r in shard_manifest(spark, path, "s").orderBy("shard_id").collect()]
 
 
-def test_exact_row_shards_in_order(spark, tmp_path):
+def test_exact_row_shards_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("bitextloom.sinks.parquet.MIN_TASK_ROWS", 100)
     out = str(tmp_path / "out")
     df = spark.range(0, 1050).select((F.lit(1049) - F.col("id")).alias("ordinal"))
     write_by_rows(df, out, 100, "ordinal", 1050)
