@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.catalog.registry import CLASSED, EDGE, SPECIAL, TOKENS, documents, edge_documents, query, table
 from bitextloom.catalog.reports import SUMMARY
-from bitextloom.catalog.scans import one_row
+from bitextloom.catalog.scans import JSON_TEXT, one_row, write_json_lines
 from bitextloom.functions.rates import Limits, resolve_limits
 from bitextloom.functions.shards import next_shard_id, shard_number
 from bitextloom.operators.backends import FaultyBackend, PrefixBackend
@@ -23,7 +23,7 @@ from bitextloom.operators.resume import existing_rows, reassemble_in_order, resu
 from bitextloom.plans import filter_corpus, profile_frame, translate_corpus, translate_pending, translator
 from bitextloom.session import scratch_path
 from bitextloom.sinks import reshard_for_publish, shard_manifest, write_by_rows, write_by_size, write_ordered
-from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files
+from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files, stream_jsonl
 from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
 
 BLANK = "coalesce(text, '') = ''"
@@ -253,6 +253,23 @@ def incremental_filter_query(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", "en_text")
 
 
+@query(
+    "incremental_filter_jsonl",
+    f"""WITH j AS (SELECT doc_id, {JSON_TEXT} AS text FROM documents)
+        SELECT doc_id, text AS en_text FROM j WHERE text IS NOT NULL AND NOT {SPECIAL} AND {TOKENS} < 512""",
+)
+def incremental_filter_jsonl_query(spark, sf_dir):
+    """JSON lines in two deliveries; the second run reads only the second."""
+    out, checkpoint = scratch_path(spark, "stream-kept"), scratch_path(spark, "stream-mark")
+    folder = write_json_lines(spark, sf_dir, "delivered", "doc_id % 2 = 0", gzip=True)
+    for later in (None, "doc_id % 2 = 1"):
+        if later:
+            write_json_lines(spark, sf_dir, "delivered", later, path=folder)
+        stream = stream_jsonl(spark, folder, keep="doc_id bigint", pattern="*.txt*")
+        incremental_filter(stream, out, checkpoint, keep=("doc_id",)).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "en_text")
+
+
 @query(
     "live_progress",
     f"""SELECT count(*) AS processed, count(*) FILTER (WHERE text IS NULL) AS skipped, count(*) FILTER (WHERE {SPECIAL}) AS skipped_special,

@@ -29,7 +29,7 @@ def one_row(spark, **values):
     return spark.range(1).select(*(F.lit(value).cast("bigint").alias(name) for name, value in values.items()))
 
 
-def write_json_lines(spark, sf_dir, label, gzip=False):
+def write_json_lines(spark, sf_dir, label, condition="true", gzip=False, path=None):
     """Documents as JSON lines; some have a number, an object, null or nothing for a text."""
     number = F.col("doc_id")
     record = F.struct("doc_id", "text")
@@ -41,8 +41,8 @@ def write_json_lines(spark, sf_dir, label, gzip=False):
         .when(number % 7 == 0, F.format_string('{"doc_id":%d,"text":""}', number))
         .otherwise(F.to_json(record))
     )
-    path = scratch_path(spark, label)
-    writer = documents(spark, sf_dir).select(line.alias("value")).write
+    path = path or scratch_path(spark, label)
+    writer = documents(spark, sf_dir).where(condition).select(line.alias("value")).write.mode("append")
     writer.option("compression", "gzip" if gzip else "none").text(path)
     return path
 

@@ -30,6 +30,7 @@ from bitextloom.sources.readers import (
     scan_corpus,
     scan_jsonl,
     scan_parquet,
+    stream_jsonl,
     union_sources,
     with_text,
 )

@@ -24,8 +24,27 @@ def scan_jsonl(
     is told from a string: only strings are texts, anything else (and a line
     that is not JSON) is null. Only the named fields are parsed.
     """
-    schema = f"`{text_field}` variant" + (f", {keep}" if keep else "")
-    rows = spark.read.schema(schema).json(paths)
+    return _texts_only(spark.read.schema(_jsonl_schema(text_field, keep)).json(paths), text_field)
+
+
+def stream_jsonl(
+    spark: SparkSession,
+    folder: str,
+    text_field: str = TEXT_FIELD,
+    keep: str = "",
+    pattern: str = "*.json*",
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """Stream of a folder's JSON-lines files, read like `scan_jsonl`."""
+    reader = spark.readStream.schema(_jsonl_schema(text_field, keep)).option("pathGlobFilter", pattern)
+    return _texts_only(reader.option("maxFilesPerTrigger", files_per_batch).json(folder), text_field)
+
+
+def _jsonl_schema(text_field: str, keep: str) -> str:
+    return f"`{text_field}` variant" + (f", {keep}" if keep else "")
+
+
+def _texts_only(rows: DataFrame, text_field: str) -> DataFrame:
     return rows.withColumn(text_field, _string_or_null(F.col(f"`{text_field}`")))
 
 

@@ -5,6 +5,8 @@ Each run processes the files it has not seen and stops (`availableNow`).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,7 +40,7 @@ def read_new_files(
 
 def incremental_enrich(
     stream: DataFrame,
-    backend: Backend,
+    translate: Backend | Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
     key: str = "row_id",
@@ -48,6 +50,7 @@ def incremental_enrich(
 ) -> StreamingQuery:
     """Translate new rows into `out/batch_id=<n>/`; returns the started query.
 
+    `translate` is a backend, or what `plans.translator` returns for a named one.
     A batch replaces its own folder, so a replay after a failure adds no rows.
     The model is called once per row of a batch: the batch is written first,
     and progress is counted from what was written.
@@ -56,7 +59,10 @@ def incremental_enrich(
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = f"{out}/batch_id={batch_id}"
-        enriched = enrich_text(batch, backend, key, text, **options)
+        if isinstance(translate, Backend):
+            enriched = enrich_text(batch, translate, key, text, **options)
+        else:
+            enriched = translate(batch.select(key, F.col(text).alias("text")))
         enriched.write.mode("overwrite").option("compression", "zstd").parquet(folder)
         if state is not None:
             rows = spark.read.schema(enriched.schema).parquet(folder).count()

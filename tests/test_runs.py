@@ -46,6 +46,15 @@ def test_incremental_enrich_restarts_and_replays(spark, tmp_path):
     assert run(str(tmp_path / "mark2")) == list(range(18))
 
 
+def test_incremental_enrich_with_a_named_translator(spark, tmp_path):
+    add_file(tmp_path / "in", "a.parquet", 0, 6)
+    stream = read_new_files(spark, str(tmp_path / "in"), SCHEMA)
+    translate = translator(PrefixBackend(), key="row_id", on_error="keep_source")
+    out = str(tmp_path / "out")
+    incremental_enrich(stream, translate, out, str(tmp_path / "mark")).awaitTermination()
+    assert spark.read.parquet(out).where("text_ja = concat('[ja] ', text_en)").count() == 4
+
+
 def test_incremental_filter_counts_while_it_runs(spark, tmp_path):
     source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     add_file(source, "a.parquet", 0, 10)
