@@ -88,7 +88,11 @@ def enrich_report_query(spark, sf_dir):
     return enrich_report(enrich_to_table(enriched, scratch_path(spark, "enriched")))
 
 
-@query("reassemble_in_order", f"WITH {EDGE} SELECT doc_id, lang, text, CASE WHEN {BLANK} THEN NULL ELSE '[ja] ' || text END AS text_ja FROM edge")
+@query(
+    "reassemble_in_order",
+    f"""WITH {EDGE} SELECT doc_id, lang, text, CASE WHEN {BLANK} THEN NULL ELSE '[ja] ' || text END AS text_ja
+        FROM edge""",
+)
 def reassemble_in_order_query(spark, sf_dir):
     source = edge_documents(spark, sf_dir).drop("source")
     results = enrich_text(source.where("coalesce(text, '') <> ''"), PrefixBackend(), "doc_id").select("doc_id", "text_ja")
@@ -196,11 +200,17 @@ def sort_inputs_query(spark, sf_dir):
     """Folders of the sorted file list, in order."""
     root = scratch_path(spark, "sorted")
     documents(spark, sf_dir).select("doc_id", "lang").write.partitionBy("lang").parquet(root)
-    folders = list(dict.fromkeys(path.rsplit("lang=", 1)[1].split("/")[0] for path in expand_paths(spark, f"{root}/lang=*/*.parquet")))
-    return spark.createDataFrame([(lang, place) for place, lang in enumerate(folders, 1)], "lang string, place bigint")
+    files = expand_paths(spark, f"{root}/lang=*/*.parquet")
+    folders = dict.fromkeys(path.rsplit("lang=", 1)[1].split("/")[0] for path in files)
+    rows = [(lang, place) for place, lang in enumerate(folders, 1)]
+    return spark.createDataFrame(rows, "lang string, place bigint")
 
 
-@query("write_state", "SELECT count(*) AS processed, count(*) AS written, 3::BIGINT AS shard_id, 2::BIGINT AS version FROM documents")
+@query(
+    "write_state",
+    """SELECT count(*) AS processed, count(*) AS written, 3::BIGINT AS shard_id, 2::BIGINT AS version
+       FROM documents""",
+)
 def write_state_query(spark, sf_dir):
     """Three saves; the newest holds."""
     log, rows = StateLog(spark, scratch_path(spark, "state")), documents(spark, sf_dir).count()
@@ -210,7 +220,13 @@ def write_state_query(spark, sf_dir):
     return log.read().where(F.col("version") == newest["version"]).drop("updated_at")
 
 
-@query("print_report", f"WITH {CLASSED} SELECT 'samples: ' || count(*) AS line FROM counted UNION ALL SELECT 'missing_text: ' || count(*) FILTER (WHERE kind = 'missing') FROM counted UNION ALL SELECT 'empty_text: ' || count(*) FILTER (WHERE kind = 'empty') FROM counted UNION ALL SELECT 'skipped_special: ' || count(*) FILTER (WHERE kind = 'special') FROM counted")
+@query(
+    "print_report",
+    f"""WITH {CLASSED} SELECT 'samples: ' || count(*) AS line FROM counted
+        UNION ALL SELECT 'missing_text: ' || count(*) FILTER (WHERE kind = 'missing') FROM counted
+        UNION ALL SELECT 'empty_text: ' || count(*) FILTER (WHERE kind = 'empty') FROM counted
+        UNION ALL SELECT 'skipped_special: ' || count(*) FILTER (WHERE kind = 'special') FROM counted""",
+)
 def print_report_query(spark, sf_dir):
     """The counters of the text report, one line each."""
     text = profile_frame(edge_documents(spark, sf_dir)).report()
@@ -302,7 +318,11 @@ def profile_corpus_query(spark, sf_dir):
     return profile_frame(edge_documents(spark, sf_dir)).summary
 
 
-@query("translate_corpus", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text AS en, '[ja] ' || text AS ja FROM documents")
+@query(
+    "translate_corpus",
+    """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text AS en, '[ja] ' || text AS ja
+       FROM documents""",
+)
 def translate_corpus_query(spark, sf_dir):
     """Stopped after part of the rows and started again; output stands in input order."""
     source, out, state = f"{sf_dir}/documents.parquet", scratch_path(spark, "pairs"), scratch_path(spark, "progress")

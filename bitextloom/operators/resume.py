@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.functions.shards import next_shard_id, shard_number
 from bitextloom.sources.counts import parquet_footers
-from bitextloom.sources.paths import list_files, path_exists
+from bitextloom.sources.paths import expand_paths, list_files, path_exists
 
 
 def resume_pending(source: DataFrame, done: DataFrame, key: str = "row_id") -> DataFrame:
@@ -24,17 +24,25 @@ def reassemble_in_order(source: DataFrame, results: DataFrame, key: str = "row_i
 
 
 def existing_rows(
-    spark: SparkSession, path: str, prefix: str | None = None, on_unreadable: str = "skip"
+    spark: SparkSession,
+    path: str,
+    prefix: str | None = None,
+    on_unreadable: str = "skip",
+    committed: bool = False,
 ) -> DataFrame:
     """Rows per shard of an output folder, from the footers: `shard, rows`.
 
     An unreadable shard is left out (`skip`) or fails the job (`fail`). Leaving
     it out is safe with a keyed resume, which redoes its rows; a positional
-    resume must use `fail`.
+    resume must use `fail`. `committed` counts only subfolders whose job
+    finished, by Spark's success mark.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], "shard string, rows bigint")
     shards = list_files(spark, path, f"{prefix}-*.parquet" if prefix else "*.parquet")
+    if committed:
+        finished = [mark.split("/")[-2] for mark in expand_paths(spark, f"{path.rstrip('/')}/*/_SUCCESS")]
+        shards = shards.where(F.element_at(F.split("path", "/"), -2).isin(finished))
     footers = parquet_footers(shards.select("path"))
     rows = F.col("rows")
     if on_unreadable == "fail":

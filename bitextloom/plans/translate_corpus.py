@@ -150,9 +150,10 @@ def translate_corpus(
     """Translate rows the output does not hold yet, in input order; returns rows written in all.
 
     Resumes at the number of rows already stored, which wins over the saved
-    progress. Each slice is one job that commits as a whole into
-    `out/slice=<first position>/`; sorted paths follow the input order. Names of
-    the two output columns are free. For `source_format="json"`, `input_column`
+    progress. Each slice is one job that commits into `out/slice=<first
+    position>/`; a slice that died while committing does not count and is
+    written again. Sorted paths follow the input order. Names of the two output
+    columns are free. For `source_format="json"`, `input_column`
     is the field of the records.
     """
     paths = scan_targets(spark, data_files, {"parquet": ".parquet", "json": ".json*"}[source_format])
@@ -194,8 +195,8 @@ def _stored_offsets(df: DataFrame) -> DataFrame:
 
 
 def _stored_rows(spark: SparkSession, out: str) -> int:
-    """Rows of the output; an unreadable shard stops the run, as skipping it would shift every row."""
-    counted = existing_rows(spark, out, on_unreadable="fail")
+    """Rows of finished slices; an unreadable shard stops the run, as skipping it would shift every row."""
+    counted = existing_rows(spark, out, on_unreadable="fail", committed=True)
     return counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 

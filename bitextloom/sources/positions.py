@@ -63,7 +63,8 @@ def rows_between(
     starts = files.select(F.col("file_path").alias("_file"), "start")
     if count <= BROADCAST_FILES:
         starts = F.broadcast(starts)
-    rows = df.where(file_path().between(low or "", high or "")).select("*", file_path().alias("_file"), row_index().alias("_index"))
+    opened = df.where(file_path().between(low or "", high or ""))
+    rows = opened.select("*", file_path().alias("_file"), row_index().alias("_index"))
     numbered = rows.join(starts, "_file").withColumn(name, F.col("start") + F.col("_index"))
     return numbered.where(F.col(name).between(first, last - 1)).drop("_file", "_index", "start")
 
@@ -142,6 +143,8 @@ def first_jsonl_rows(spark: SparkSession, paths: list[str], cap: int) -> DataFra
     Only as many leading files are read as hold that many lines; their number
     is found by doubling.
     """
+    if cap <= 0:
+        return spark.createDataFrame([], "ordinal bigint, value string")
     files = 1
     while files < len(paths) and spark.read.text(paths[:files]).where(F.trim("value") != "").count() < cap:
         files *= 2

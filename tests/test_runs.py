@@ -106,6 +106,11 @@ def test_translation_resumes_where_it_stopped(spark, numbered_files, tmp_path):
         assert translate_corpus(spark, numbered_files, out, translate, state, max_samples=cap, slice_rows=40) == rows
         assert pairs(spark, out) == expected[:rows]
     assert StateLog(spark, state).latest()["written"] == 100
+    # A slice that died while committing: no success mark.
+    last = max(tmp_path.glob("out/slice=*"))
+    (last / "_SUCCESS").unlink()
+    assert translate_corpus(spark, numbered_files, out, translate, state, slice_rows=40) == 100
+    assert pairs(spark, out) == expected
 
 
 def test_json_lines_are_translated_in_order(spark, tmp_path):
