@@ -8,7 +8,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from bitextloom.catalog import ORACLES, QUERIES  # noqa: E402
 from tools.check import compare  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
@@ -25,14 +26,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    verdict, _ = compare(spark, con, name, queries()[name], oracle_sql()[name], TABLES)
+    verdict, _ = compare(spark, con, name, QUERIES[name], ORACLES[name], TABLES)
     assert verdict.startswith("ok"), verdict
