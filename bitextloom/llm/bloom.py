@@ -104,7 +104,7 @@ def twice_seen(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bi
 
     merged = df.mapInArrow(build, SCHEMA).repartition("segment").mapInArrow(merge, SCHEMA)
     packed = np.zeros(bits // 8, np.uint8)
-    for row in merged.select("segment", "twice").toLocalIterator():
+    for row in merged.select("segment", "twice").collect():
         start = row["segment"] * length // 8
         packed[start : start + length // 8] = np.frombuffer(row["twice"], np.uint8)
     return packed
