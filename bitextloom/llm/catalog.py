@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.llm.exact_dedup import exact_groups
+from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
 from bitextloom.llm.line_dedup import dedup_lines
+from bitextloom.llm.piece_codec import decode_ids, encode_texts
 from bitextloom.llm.source_mix import mix_sources
+from bitextloom.llm.token_count import count_tokens
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,22 +95,75 @@ rounds AS (
 last_round AS (SELECT * FROM rounds WHERE n = 40),
 targets AS (
   SELECT source, source_size, CASE WHEN capped THEN 3.0::DOUBLE * source_size ELSE
-         weight * (sum(source_size) OVER () - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ())::DOUBLE
-         / nullif(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 0) END AS target FROM last_round),
+         weight * ((sum(source_size) OVER () - sum(CASE WHEN capped THEN 3 * source_size ELSE 0 END) OVER ())::DOUBLE
+         / nullif(sum(CASE WHEN capped THEN 0 ELSE weight END) OVER (), 0)) END AS target FROM last_round),
 epochs AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(least(3, floor(target / source_size + 1e-12)) AS BIGINT) ELSE 0 END AS epochs FROM targets),
 ordered AS (
   SELECT s.*, source_size, target, epochs, target - epochs * source_size AS budget,
          sum(size) OVER (PARTITION BY s.source ORDER BY key, doc_id) AS upto
   FROM sizes s JOIN epochs e ON s.source IS NOT DISTINCT FROM e.source)
-SELECT doc_id, source, size, source_size, round(target, 3) AS target,
+SELECT doc_id, source, size, source_size, target,
        epochs + CAST(budget > 1e-6 AND upto - size / 2.0 <= budget AS BIGINT) AS copies,
        size * (epochs + CAST(budget > 1e-6 AND upto - size / 2.0 <= budget AS BIGINT)) AS taken
 FROM ordered"""
 
 
-@query("op8_source_mix", None)
+@query("op8_source_mix", MIX_SQL)
 def op8_source_mix(spark, sf_dir):
     quality = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(quality, "doc_id", "left")
     return mix_sources(docs, 1.0 + F.coalesce("quality", F.lit(0)))
+
+
+LICENSE_VALUES = ", ".join("({}, {})".format(*("'" + part.replace("'", "''") + "'" for part in pair)) for pair in TEMPLATES)
+
+LICENSES_SQL = rf"""
+WITH normal AS (
+  SELECT doc_id, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines
+  FROM documents),
+lines AS (
+  SELECT doc_id, i - 1 AS i, regexp_extract_all(line, '[0-9a-z\x{{80}}-\x{{10ffff}}]+') AS w
+  FROM (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM normal)),
+full_lines AS (
+  SELECT doc_id, i, w, sum(CASE WHEN len(w) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM lines),
+numbered AS (
+  SELECT doc_id, i, w, dense_rank() OVER (PARTITION BY doc_id ORDER BY gap) - 1 AS block FROM full_lines WHERE len(w) > 0),
+units AS (
+  SELECT doc_id, 'line' AS level, i AS position, w FROM numbered
+  UNION ALL
+  SELECT doc_id, 'block', block, flatten(list(w ORDER BY i)) FROM numbered GROUP BY doc_id, block HAVING count(*) > 1
+  UNION ALL
+  SELECT doc_id, 'text', 0, flatten(list(w ORDER BY i)) FROM numbered GROUP BY doc_id HAVING count(DISTINCT block) > 1),
+grams AS (
+  SELECT doc_id, level, position,
+         list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1])) AS g FROM units WHERE len(w) > 1),
+templates AS (
+  SELECT license, list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1])) AS t
+  FROM (SELECT license, regexp_extract_all(lower(body), '[0-9a-z]+') AS w FROM (VALUES {LICENSE_VALUES}) v(license, body)))
+SELECT * FROM (
+  SELECT doc_id, license, level, CAST(position AS INTEGER) AS position, CAST(len(g) AS INTEGER) AS n_bigrams,
+         2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
+  FROM grams, templates WHERE len(g) BETWEEN len(t) * 0.66 AND len(t) * 1.51)
+WHERE dice >= 0.8"""
+
+
+@query("op1_license_scan", LICENSES_SQL)
+def op1_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op3_token_count")
+def op3_token_count(spark, sf_dir):
+    return count_tokens(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+@query("op7_piece_codec")
+def op7_piece_codec(spark, sf_dir):
+    coded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), PIECE_MODEL), PIECE_MODEL)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        sha256("text").alias("decoded_sha256"),
+    )
