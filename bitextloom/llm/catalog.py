@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from bitextloom.llm.exact_dedup import exact_groups
 from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
 from bitextloom.llm.line_dedup import dedup_lines
+from bitextloom.llm.minhash_dedup import near_groups
 from bitextloom.llm.piece_codec import decode_ids, encode_texts
 from bitextloom.llm.source_mix import mix_sources
 from bitextloom.llm.token_count import count_tokens
+from bitextloom.llm.toxicity import score_toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -167,3 +169,42 @@ def op7_piece_codec(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         sha256("text").alias("decoded_sha256"),
     )
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+         ELSE list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1]) END) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+-- The rarest fifth of a set and one more must meet that of any set similar enough.
+ranked AS (
+  SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, s) AS r
+  FROM shingles JOIN sizes USING (doc_id) JOIN (SELECT s, count(*) AS f FROM shingles GROUP BY s) USING (s)),
+starts AS (SELECT doc_id, s, n FROM ranked WHERE r <= n - ceil(0.8 * n) + 1),
+candidates AS (
+  SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM starts x JOIN starts y ON x.s = y.s AND x.doc_id < y.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)),
+links AS (
+  SELECT a, b FROM candidates JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b AND y.s = x.s
+  JOIN sizes na ON na.doc_id = a JOIN sizes nb ON nb.doc_id = b
+  GROUP BY a, b, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS node, a AS met FROM both_ways UNION SELECT node, b FROM reach JOIN both_ways ON met = a),
+least_of AS (SELECT node, min(met) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+       coalesce(component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON node = d.doc_id"""
+
+
+@query("op9_minhash_dedup", NEAR_SQL)
+def op9_minhash_dedup(spark, sf_dir):
+    return near_groups(table(spark, sf_dir, "documents"), width=2)
