@@ -113,9 +113,8 @@ FROM ordered"""
 
 @query("op8_source_mix", MIX_SQL)
 def op8_source_mix(spark, sf_dir):
-    quality = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(quality, "doc_id", "left")
-    return mix_sources(docs, 1.0 + F.coalesce("quality", F.lit(0)))
+    quality = table(spark, sf_dir, "labels").groupBy("doc_id").agg((1.0 + F.max("quality")).alias("quality"))
+    return mix_sources(table(spark, sf_dir, "documents"), quality)
 
 
 LICENSE_VALUES = ", ".join("({}, {})".format(*("'" + part.replace("'", "''") + "'" for part in pair)) for pair in TEMPLATES)

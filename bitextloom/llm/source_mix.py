@@ -10,8 +10,10 @@ from bitextloom.llm.tables import broadcast_if_small, stored
 WORD = r"[^\x20\x09-\x0D]+"
 # No document is taken more often, so no source's target is above so many times its size.
 MAX_EPOCHS = 3
-# Key ranges a source; only the range in which its budget ends is put in exact order.
-RANGES = 65_536
+# The keys of a source fall into so many ranges, and the range in which its budget ends again; only what is
+# left then, one part in RANGES ** LEVELS, is put in exact order.
+RANGES = 256
+LEVELS = 2
 SEED = "mix"
 
 
@@ -28,16 +30,21 @@ def sampling_key(quality: Column, seed: str = SEED) -> Column:
     return -F.log((bits.cast("double") + 0.5) / F.lit(float(2**52))) / quality
 
 
-def keyed(docs: DataFrame, quality: Column | None, seed: str = SEED) -> DataFrame:
-    """`docs` with mix_size, mix_key and mix_id. A quality that is null or not above 0 counts as 1."""
-    quality = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(1.0)
-    return docs.withColumns(
-        {
-            "mix_size": word_count(),
-            "mix_key": sampling_key(quality, seed),
-            "mix_id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))),
-        }
-    )
+def with_key(rows: DataFrame, quality: Column, seed: str = SEED) -> DataFrame:
+    """`rows` with mix_key and mix_id. A quality that is null or not above 0 counts as 1."""
+    weight = F.coalesce(F.when(quality > 0, quality.cast("double")), F.lit(1.0))
+    return rows.withColumns({"mix_key": sampling_key(weight, seed), "mix_id": F.coalesce(F.col("doc_id"), F.lit(-(2**63)))})
+
+
+def sized(docs: DataFrame, quality: DataFrame | None, seed: str = SEED) -> DataFrame:
+    """doc_id, source, mix_size, mix_key, mix_id: the one reading of the texts. `quality` (doc_id, quality) has one row a document."""
+    sizes = docs.select("doc_id", "source", word_count().alias("mix_size"))
+    if quality is not None:
+        # Texts are out of the rows by now: only ids and numbers meet the qualities.
+        sizes = stored(sizes, "counted").join(quality.select("doc_id", F.col("quality").alias("mix_quality")), "doc_id", "left")
+    else:
+        sizes = sizes.withColumn("mix_quality", F.lit(1.0))
+    return stored(with_key(sizes, F.col("mix_quality"), seed).drop("mix_quality"), "sizes")
 
 
 def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -69,38 +76,46 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     )
 
 
-def mix_plan(sizes: DataFrame, max_epochs: int = MAX_EPOCHS, ranges: int = RANGES) -> DataFrame:
+def mix_plan(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """`source_targets` plus cut_key and cut_id, the last document that the part of an epoch takes.
 
     Keys fall into ranges that keep their order. Sizes are summed by range, the range in which the budget ends
-    is found from running sums of at most `ranges` rows a source, and only its documents are sorted. The
+    is found from running sums of at most RANGES rows a source, and only its documents are sorted. The
     document at the end is taken whole if that comes nearer to the budget.
     """
     targets = stored(source_targets(sizes, max_epochs), "targets")
-    small = broadcast_if_small(targets.select(F.col("source").alias("of"), "budget"))
-    bucket = F.least(F.floor((1 - F.exp(-F.col("mix_key"))) * ranges), F.lit(ranges - 1))
-    placed = sizes.withColumn("bucket", bucket)
-    summed = placed.groupBy("source", "bucket").agg(F.sum("mix_size").alias("n"))
-    running = Window.partitionBy("source").orderBy("bucket")
-    crossing = (
-        summed.withColumn("upto", F.sum("n").over(running))
-        .join(small, F.col("source").eqNullSafe(F.col("of")))
-        .filter("budget > 0 and upto >= budget and upto - n < budget")
-        .select("of", F.col("bucket").alias("at"), (F.col("upto") - F.col("n")).alias("before"), "budget")
-    )
-    crossing = broadcast_if_small(stored(crossing, "crossing"))
-    inside = placed.join(crossing, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
+    ends = targets.filter("budget > 0").select(F.col("source").alias("of"), "budget", F.lit(0.0).alias("before"))
+    rows, total = sizes, 1
+    for _ in range(LEVELS):
+        total *= RANGES
+        bucket = F.least(F.floor((1 - F.exp(-F.col("mix_key"))) * total), F.lit(total - 1))
+        placed = rows.withColumn("bucket", bucket)
+        summed = placed.groupBy("source", "bucket").agg(F.sum("mix_size").alias("n"))
+        running = Window.partitionBy("source").orderBy("bucket")
+        upto = F.col("before") + F.sum("n").over(running)
+        found = (
+            summed.join(broadcast_if_small(ends), F.col("source").eqNullSafe(F.col("of")))
+            .withColumn("upto", upto)
+            .filter("upto >= budget and upto - n < budget")
+        )
+        ends = stored(found.select("of", "budget", (F.col("upto") - F.col("n")).alias("before"), F.col("bucket").alias("at")), "ends")
+        inside = placed.join(
+            broadcast_if_small(ends.select("of", "at")), F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at"))
+        )
+        rows = inside.select("source", "mix_size", "mix_key", "mix_id")
+    crossing = broadcast_if_small(ends)
+    inside = rows.join(crossing, F.col("source").eqNullSafe(F.col("of")))
     units = inside.groupBy("of", "before", "budget", "mix_key", "mix_id").agg(F.sum("mix_size").alias("n"))
     order = Window.partitionBy("of").orderBy("mix_key", "mix_id")
-    ends = (
+    taken = (
         units.withColumn("upto", F.col("before") + F.sum("n").over(order))
         .filter("upto - n / 2 <= budget")
         .groupBy("of")
         .agg(F.max(F.struct("mix_key", "mix_id")).alias("cut"))
     )
     # Where no document of the range is taken, the cut lies at the range's lower edge.
-    edge = -F.log(1 - F.col("at") / F.lit(float(ranges)))
-    cuts = crossing.select("of", "at").join(ends.withColumnRenamed("of", "end_of"), F.col("of").eqNullSafe(F.col("end_of")), "left")
+    edge = -F.log(1 - F.col("at") / F.lit(float(total)))
+    cuts = crossing.select("of", "at").join(taken.withColumnRenamed("of", "end_of"), F.col("of").eqNullSafe(F.col("end_of")), "left")
     cuts = cuts.select(
         "of",
         F.coalesce("cut.mix_key", edge).alias("cut_key"),
@@ -121,15 +136,14 @@ def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return joined.withColumn("copies", F.col("epochs") + F.coalesce(inside, F.lit(False)).cast("long"))
 
 
-def mix_sources(docs: DataFrame, quality: Column | None = None, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+def mix_sources(docs: DataFrame, quality: DataFrame | None = None, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """One row per row of `docs`: doc_id, source, size, source_size, target, copies, taken (size * copies).
 
-    Null and empty texts have size 0. Rows repeated with one doc_id are taken together. An empty table gives none.
-    Texts are read once, for their sizes, and never shuffled.
+    `quality` (doc_id, quality) weighs the draw; documents without one have 1. Null and empty texts have size 0.
+    Rows repeated with one doc_id are taken together. An empty table gives none. Texts are read once, for their
+    sizes, and never shuffled.
     """
-    quality = F.lit(None).cast("double") if quality is None else quality
-    docs = docs.select("doc_id", "source", "text", quality.alias("mix_quality"))
-    sizes = stored(keyed(docs, F.col("mix_quality"), seed).select("doc_id", "source", "mix_size", "mix_key", "mix_id"), "sizes")
+    sizes = sized(docs, quality, seed)
     return with_copies(sizes, mix_plan(sizes, max_epochs)).select(
         "doc_id", "source", F.col("mix_size").alias("size"), "source_size", "target", "copies",
         (F.col("mix_size") * F.col("copies")).alias("taken"),
@@ -138,10 +152,8 @@ def mix_sources(docs: DataFrame, quality: Column | None = None, max_epochs: int
 
 def take_mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus: each row of `docs` as often as `mix_sources` says, with equal weights, columns unchanged."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), "doc_id", "source", "text")
-    sizes = stored(keyed(docs.select("doc_id", "source", "text"), None, seed).select("source", "mix_size", "mix_key", "mix_id"), "sizes")
-    plan = mix_plan(sizes, max_epochs)
-    # The key needs no text: the second reading only carries it through.
-    rows = keyed(inner, None, seed).drop("mix_size", "text")
-    repeated = with_copies(rows, plan).withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select("mix_row.*")
+    plan = mix_plan(sized(docs, None, seed), max_epochs)
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), "doc_id", "source")
+    # The key needs no text, and the plan is one row a source: the second reading only repeats rows.
+    repeated = with_copies(with_key(inner, F.lit(1.0), seed), plan)
+    return repeated.select("mix_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("mix_row.*")
