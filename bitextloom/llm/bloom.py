@@ -32,26 +32,44 @@ class PairFilter:
 
     def __init__(self, bits: int, probes: int) -> None:
         self.bits, self.probes = bits, probes
-        self.once = np.zeros(bits, bool)
-        self.twice = np.zeros(bits, bool)
+        self.once = np.zeros(bits // 8, np.uint8)
+        self.twice = np.zeros(bits // 8, np.uint8)
 
     def add(self, hashes: np.ndarray) -> None:
         at = np.sort(positions(hashes, self.bits, self.probes).ravel())
-        self.twice[at[self.once[at]]] = True
-        self.twice[at[1:][at[1:] == at[:-1]]] = True
-        self.once[at] = True
+        again = at[1:] == at[:-1]
+        seen = lookup(self.once, at)
+        seen[1:] |= again
+        mark(self.twice, at[seen])
+        mark(self.once, at[np.concatenate([[True], ~again])])
 
     def segments(self) -> Iterator[tuple[int, bytes, bytes]]:
-        for start in range(0, self.bits, SEGMENT_BITS):
-            once = self.once[start : start + SEGMENT_BITS]
+        length = min(self.bits, SEGMENT_BITS) // 8
+        for start in range(0, self.bits // 8, length):
+            once = self.once[start : start + length]
             if once.any():
-                yield start // SEGMENT_BITS, pack(once), pack(self.twice[start : start + SEGMENT_BITS])
+                yield start // length, pack(once), pack(self.twice[start : start + length])
 
 
-def pack(flags: np.ndarray) -> bytes:
-    """Set positions as 16-bit numbers, or bits; the length tells which."""
-    at = np.flatnonzero(flags)
-    return at.astype("<u2").tobytes() if len(at) < SPARSE and len(flags) == SEGMENT_BITS else np.packbits(flags).tobytes()
+def lookup(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return packed[at >> 3] & (np.uint8(128) >> (at & 7).astype(np.uint8)) != 0
+
+
+def mark(packed: np.ndarray, at: np.ndarray) -> None:
+    """Set sorted positions, the bits of one byte together."""
+    if len(at):
+        byte = at >> 3
+        first = np.flatnonzero(np.diff(byte, prepend=-1))
+        packed[byte[first]] |= np.bitwise_or.reduceat(np.uint8(128) >> (at & 7).astype(np.uint8), first)
+
+
+def pack(part: np.ndarray) -> bytes:
+    """Set positions as 16-bit numbers if they are few, else the bits; the length tells which."""
+    if 8 * len(part) == SEGMENT_BITS and np.count_nonzero(part) < SPARSE:
+        at = np.flatnonzero(np.unpackbits(part))
+        if len(at) < SPARSE:
+            return at.astype("<u2").tobytes()
+    return part.tobytes()
 
 
 def unpack(data: bytes, length: int) -> np.ndarray:
@@ -113,4 +131,4 @@ def twice_seen(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bi
 def suspected(packed: np.ndarray, hashes: np.ndarray, probes: int = 4) -> np.ndarray:
     """Whether each hash may have been added twice."""
     at = positions(hashes, len(packed) * 8, probes)
-    return (packed[at >> 3] & (np.uint8(128) >> (at & 7).astype(np.uint8)) != 0).all(axis=0)
+    return lookup(packed, at).all(axis=0)

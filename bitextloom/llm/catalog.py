@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bitextloom.llm.embedding_dedup import vector_groups
 from bitextloom.llm.exact_dedup import exact_groups
 from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
 from bitextloom.llm.line_dedup import dedup_lines
@@ -207,3 +208,23 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of ON node = d.d
 @query("op9_minhash_dedup", NEAR_SQL)
 def op9_minhash_dedup(spark, sf_dir):
     return near_groups(table(spark, sf_dir, "documents"), width=2)
+
+
+VECTORS_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+reach AS (SELECT a AS node, a AS met FROM links UNION SELECT node, b FROM reach JOIN links ON met = a),
+least_of AS (SELECT node, min(met) AS component FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts ON a = vec_id LEFT JOIN least_of ON node = vec_id"""
+
+
+@query("op10_embedding_dedup", VECTORS_SQL)
+def op10_embedding_dedup(spark, sf_dir):
+    return vector_groups(table(spark, sf_dir, "embeddings"))
