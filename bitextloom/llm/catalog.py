@@ -13,6 +13,7 @@ from bitextloom.llm.exact_dedup import exact_groups
 from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
 from bitextloom.llm.line_dedup import dedup_lines
 from bitextloom.llm.minhash_dedup import near_groups
+from bitextloom.llm.passage_dedup import repeated_passages
 from bitextloom.llm.piece_codec import decode_ids, encode_texts
 from bitextloom.llm.source_mix import mix_sources
 from bitextloom.llm.token_count import count_tokens
@@ -228,3 +229,8 @@ FROM embeddings LEFT JOIN counts ON a = vec_id LEFT JOIN least_of ON node = vec_
 @query("op10_embedding_dedup", VECTORS_SQL)
 def op10_embedding_dedup(spark, sf_dir):
     return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query("op5_passage_dedup")
+def op5_passage_dedup(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents"))
