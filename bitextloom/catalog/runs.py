@@ -20,8 +20,15 @@ from bitextloom.operators.enrich import (
     rate_budgeted_enrich,
 )
 from bitextloom.operators.resume import existing_rows, reassemble_in_order, resume_pending
-from bitextloom.plans import filter_corpus, profile_frame, translate_corpus, translate_pending, translator
-from bitextloom.session import scratch_path
+from bitextloom.plans import (
+    filter_corpus,
+    profile_frame,
+    translate_corpus,
+    translate_pending,
+    translation_progress,
+    translator,
+)
+from bitextloom.session import scoped_conf, scratch_path
 from bitextloom.sinks import reshard_for_publish, shard_manifest, write_by_rows, write_by_size, write_ordered
 from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files, stream_jsonl
 from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
@@ -61,12 +68,15 @@ HYBRID = [PrefixBackend("gpt-oss", 4), PrefixBackend("openai-api", 4, prefix="[a
 
 @query(
     "hybrid_enrich",
-    """SELECT doc_id, text AS text_en, CASE WHEN doc_id % 8 < 4 THEN 'gpt-oss' ELSE 'openai-api' END AS backend,
-              CASE WHEN doc_id % 8 < 4 THEN '[ja] ' ELSE '[api] ' END || text AS text_ja FROM documents""",
+    f"""WITH {EDGE} SELECT doc_id, coalesce(text, '') AS text_en, coalesce(text, '') AS translated,
+        CASE WHEN {BLANK} THEN 'blank' ELSE 'ok' END AS status, NOT ({BLANK}) AS by_a_backend FROM edge""",
 )
 def hybrid_enrich_query(spark, sf_dir):
-    both = hybrid_enrich(documents(spark, sf_dir), HYBRID, "doc_id")
-    return both.select("doc_id", "text_en", "backend", "text_ja")
+    """Which backend takes a row is a matter of speed; each row has the answer of the one it names."""
+    both = hybrid_enrich(edge_documents(spark, sf_dir), HYBRID, "doc_id")
+    mark = F.when(F.col("backend") == "gpt-oss", "[ja] ").when(F.col("backend") == "openai-api", "[api] ").otherwise("")
+    own = F.when(F.startswith("text_ja", mark), F.substring(F.col("text_ja"), F.length(mark) + 1, F.length("text_ja")))
+    return both.select("doc_id", "text_en", own.alias("translated"), "status", F.col("backend").isNotNull().alias("by_a_backend"))
 
 
 @query("rate_budgeted_enrich", "SELECT doc_id, text AS text_en, '[ja] ' || text AS text_ja FROM documents")
@@ -191,7 +201,7 @@ def ordered_output_query(spark, sf_dir):
     numbered = global_ordinal(documents(spark, sf_dir))
     rows = numbered.count()
     out = scratch_path(spark, "ordered")
-    write_ordered(numbered.withColumn("place", F.lit(rows - 1) - F.col("ordinal")), out, "place", rows, files=5)
+    write_ordered(numbered.withColumn("place", F.lit(rows - 1) - F.col("ordinal")), out, "place", total_rows=rows, files=5)
     return global_ordinal(spark.read.parquet(out).drop("ordinal")).select("doc_id", "ordinal")
 
 
@@ -220,17 +230,27 @@ def write_state_query(spark, sf_dir):
     return log.read().where(F.col("version") == newest["version"]).drop("updated_at")
 
 
-@query(
-    "print_report",
-    f"""WITH {CLASSED} SELECT 'samples: ' || count(*) AS line FROM counted
-        UNION ALL SELECT 'missing_text: ' || count(*) FILTER (WHERE kind = 'missing') FROM counted
-        UNION ALL SELECT 'empty_text: ' || count(*) FILTER (WHERE kind = 'empty') FROM counted
-        UNION ALL SELECT 'skipped_special: ' || count(*) FILTER (WHERE kind = 'special') FROM counted""",
-)
+REPORT = f"""WITH {CLASSED}, s AS (SELECT {SUMMARY} FROM counted),
+  b AS (SELECT n // 200 AS bucket, count(*) AS cnt FROM counted GROUP BY 1),
+  bars AS (SELECT g.bucket, coalesce(cnt, 0) AS cnt, (SELECT count(*) FROM counted) AS total
+           FROM (SELECT unnest(generate_series(0, (SELECT max(bucket) FROM b))) AS bucket) g LEFT JOIN b USING (bucket))
+SELECT place, line FROM (
+  SELECT 1 AS place, 'samples: ' || samples AS line FROM s
+  UNION ALL SELECT 2, 'missing_text: ' || missing_text FROM s
+  UNION ALL SELECT 3, 'empty_text: ' || empty_text FROM s
+  UNION ALL SELECT 4, 'skipped_special: ' || skipped_special FROM s
+  UNION ALL SELECT 5, printf('min: %d max: %d mean: %.2f', min_tokens, max_tokens, mean_tokens) FROM s
+  UNION ALL SELECT 6, printf('p50: %.1f p90: %.1f p95: %.1f p99: %.1f', p50, p90, p95, p99) FROM s
+  UNION ALL SELECT 7, 'histogram:' FROM s
+  UNION ALL SELECT CAST(8 + bucket AS INTEGER), lpad(CAST(bucket * 200 AS VARCHAR), 6, ' ') || '-' || rpad(CAST(bucket * 200 + 199 AS VARCHAR), 6, ' ')
+    || ' ' || lpad(CAST(cnt AS VARCHAR), 6, ' ') || ' (' || lpad(printf('%.1f', 100.0::DOUBLE * cnt / total), 5, ' ') || '%)' FROM bars)"""
+
+
+@query("print_report", REPORT)
 def print_report_query(spark, sf_dir):
-    """The counters of the text report, one line each."""
+    """Every line of the text report, in order."""
     text = profile_frame(edge_documents(spark, sf_dir)).report()
-    return spark.createDataFrame([(line,) for line in text.split("\n")[:4]], "line string")
+    return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "place int, line string")
 
 
 @query("reshard_for_publish", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text FROM documents")
@@ -292,10 +312,14 @@ def incremental_filter_jsonl_query(spark, sf_dir):
         count(*) FILTER (WHERE NOT {SPECIAL} AND {TOKENS} < 512) AS kept FROM documents""",
 )
 def live_progress_query(spark, sf_dir):
-    stream = document_stream(spark, sf_dir)
-    run = incremental_filter(stream, scratch_path(spark, "stream-kept"), scratch_path(spark, "stream-mark"))
-    run.awaitTermination()
-    seen = live_progress(spark, run)
+    """One batch per file and fewer batches kept by Spark than there are."""
+    source, progress = scratch_path(spark, "stream-source"), scratch_path(spark, "stream-progress")
+    documents(spark, sf_dir).select("doc_id", "text").repartition(6).write.parquet(source)
+    with scoped_conf(spark, spark__sql__streaming__numRecentProgressUpdates="2"):
+        stream = read_new_files(spark, source, "doc_id bigint, text string", files_per_batch=1)
+        out, mark = scratch_path(spark, "stream-kept"), scratch_path(spark, "stream-mark")
+        incremental_filter(stream, out, mark, progress=progress).awaitTermination()
+    seen = live_progress(spark, progress)
     return seen.agg(*(F.sum(name).alias(name) for name in ("processed", "skipped", "skipped_special", "kept")))
 
 
@@ -320,16 +344,27 @@ def profile_corpus_query(spark, sf_dir):
 
 @query(
     "translate_corpus",
-    """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text AS en, '[ja] ' || text AS ja
-       FROM documents""",
+    f"""WITH {EDGE}, f AS (SELECT *, contains(coalesce(text, ''), '<|endoftext|>') AS failed FROM edge)
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, CASE WHEN failed THEN '' ELSE coalesce(text, '') END AS en,
+          CASE WHEN failed OR {BLANK} THEN '' ELSE '[ja] ' || text END AS ja, 'en,ja' AS stored_columns,
+          count(*) FILTER (WHERE failed) OVER () AS errors FROM f""",
 )
 def translate_corpus_query(spark, sf_dir):
-    """Stopped after part of the rows and started again; output stands in input order."""
-    source, out, state = f"{sf_dir}/documents.parquet", scratch_path(spark, "pairs"), scratch_path(spark, "progress")
+    """A source of several files, one of them empty, stopped after part of the rows and started again; some rows fail."""
+    source, out, state = (scratch_path(spark, label) for label in ("sources", "pairs", "progress"))
     rows = documents(spark, sf_dir).count()
+    numbered = edge_documents(spark, sf_dir).join(global_ordinal(documents(spark, sf_dir)).select("doc_id", "ordinal"), "doc_id")
+    halves = ((0, rows // 3), (rows // 3, rows // 3), (rows // 3, rows))
+    for name, (first, last) in zip(("a b", "b", "é"), halves):
+        part = numbered.where(F.col("ordinal").between(first, last - 1)).select((F.col("ordinal") - first).alias("ordinal"), "text")
+        write_ordered(part, f"{source}/{name}", total_rows=last - first, files=2, keep_ordinal=False)
     names = {"input_column": "text", "source_name": "en", "target_name": "ja"}
-    for cap in (rows // 3, -1):
+    translate = lambda rows: enrich_text(rows, FAULTS, "ordinal", retry_step=0.0)
+    for cap in (rows // 4, -1):
         translate_corpus(
-            spark, source, out, translator(PrefixBackend()), state, max_samples=cap, slice_rows=-(-rows // 2), **names
+            spark, f"{source}/*/*.parquet", out, translate, state, max_samples=cap, slice_rows=-(-rows // 3), **names
         )
-    return global_ordinal(spark.read.parquet(out)).select("ordinal", "en", "ja")
+    stored = spark.read.parquet(*expand_paths(spark, f"{out}/slice=*/*.parquet"))
+    errors = translation_progress(spark, state).first()["errors"]
+    columns = F.lit(",".join(stored.columns))
+    return global_ordinal(stored).select("ordinal", "en", "ja", columns.alias("stored_columns"), F.lit(errors).cast("bigint").alias("errors"))

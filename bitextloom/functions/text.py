@@ -22,7 +22,8 @@ def special_token_names() -> list[str]:
 def special_token_pattern(names: Iterable[str] | None = None) -> str:
     """One regular expression that finds any special token."""
     if names is not None:
-        return "|".join(re.escape(name) for name in names)
+        # Without names nothing matches; an empty expression would match everything.
+        return "|".join(re.escape(name) for name in names) or "(?!)"
     reserved = "|".join(str(n) for low, high in RESERVED_RANGES for n in range(low, high + 1))
     return r"<\|(?:" + "|".join(SPECIAL_NAMES) + "|reserved_(?:" + reserved + r"))\|>"
 

@@ -59,6 +59,10 @@ class Tokenizer:
     merges: tuple[bytes, ...] | None = None
     special_names: tuple[str, ...] | None = None
 
+    def __post_init__(self) -> None:
+        if self.rank_file is not None and self.pattern is None:
+            raise ValueError("a rank file needs the pattern its encoding splits text by")
+
     def specials(self) -> list[str]:
         return list(self.special_names) if self.special_names is not None else special_token_names()
 

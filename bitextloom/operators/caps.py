@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bitextloom.functions.numbers import int_div
-
 # One round counts keys in this many equal ranges; only these counts reach the driver.
 RANGES = 2048
 # A range with at most this many rows is sorted outright.
@@ -34,8 +32,10 @@ def nth_key(df: DataFrame, key: str, n: int) -> int | None:
         if here <= SORT_ROWS:
             return inside.orderBy(key).offset(rank - 1).limit(1).first()[0]
         width = max(1, -(-(high - low + 1) // RANGES))
+        # In decimals: two keys can be further apart than a bigint holds.
+        place = F.col(key).cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
         counts = (
-            inside.groupBy(int_div(F.col(key) - F.lit(low), width).alias("range"))
+            inside.groupBy(F.floor(place / F.lit(width).cast("decimal(20,0)")).cast("bigint").alias("range"))
             .agg(F.count("*").alias("rows"))
             .orderBy("range")
             .collect()
@@ -53,14 +53,17 @@ def first_rows_by_key(df: DataFrame, key: str, cap: int) -> DataFrame:
     """The `cap` rows with the smallest keys; 0 gives none.
 
     The result is a plain filter on the key: it reaches the scan, and rows stay
-    where they are. A key shared across the cut is an error, as either choice
-    would be arbitrary.
+    where they are. Null keys come after all others. A key, null too, shared
+    across the cut is an error, as either choice would be arbitrary.
     """
     if cap <= 0:
         return df.where(F.lit(False))
     last = nth_key(df, key, cap)
     if last is None:
-        return df.where(F.col(key).isNotNull())
+        found = df.select(F.count(key), F.count(F.lit(1))).first()
+        if found[0] < cap < found[1]:
+            raise ValueError(f"{key} null is shared by rows on both sides of the cut")
+        return df if found[1] <= cap else df.where(F.col(key).isNotNull())
     capped = df.where(F.col(key) <= last)
     if capped.select(key).count() != cap:
         raise ValueError(f"{key} {last} is shared by rows on both sides of the cut")

@@ -13,6 +13,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import Future, ThreadPoolExecutor
 from contextlib import ExitStack
+from queue import SimpleQueue
 from threading import Lock
 
 import pandas as pd
@@ -32,7 +33,6 @@ from bitextloom.functions.retry import rate_limited, wait_from_message
 from bitextloom.functions.tokens import BYTES_PER_TOKEN, prompt_base_tokens
 from bitextloom.operators.backends import Backend, Call
 from bitextloom.operators.filters import route_error_rows
-from bitextloom.operators.rates import round_robin_assign
 
 RESULT = "text_ja string, status string, error string, attempts int"
 
@@ -79,7 +79,11 @@ PROMPT_TOKENS = prompt_base_tokens()
 
 def request_tokens(text: str, max_tokens: int = MAX_COMPLETION_TOKENS) -> int:
     """Per-row form of `estimate_request_tokens`."""
-    size = len(text.encode("utf-8"))
+    return sized_request(len(text.encode("utf-8")), max_tokens)
+
+
+def sized_request(size: int, max_tokens: int = MAX_COMPLETION_TOKENS) -> int:
+    """Tokens of a request for a text of `size` bytes."""
     return PROMPT_TOKENS + (max(1, size // BYTES_PER_TOKEN) if size else 0) + max_tokens
 
 
@@ -114,21 +118,19 @@ def call_with_retries(
 
 
 class _Lane:
-    """One backend inside one task: its connection, its threads, its budget."""
+    """One backend inside one task: its connection and its budget."""
 
-    def __init__(self, backend: Backend, limits: Limits | None, options: dict, cleanup: ExitStack):
+    def __init__(self, backend: Backend, limits: Limits | None, options: dict):
+        self.name, self.in_flight = backend.name, backend.max_in_flight
         self.call, self.wait_out = backend.connect(), backend.waits_out_rate_limits
         self.options = {"max_tokens": backend.max_tokens, **options}
         self.budget = Budget(limits) if limits else None
-        self.pool = None
-        if backend.max_in_flight > 1:
-            self.pool = cleanup.enter_context(ThreadPoolExecutor(backend.max_in_flight))
 
-    def submit(self, text: str) -> Future | tuple:
-        arguments = (self.call, text, self.wait_out, self.budget)
-        if self.pool is None:
-            return call_with_retries(*arguments, **self.options)
-        return self.pool.submit(call_with_retries, *arguments, **self.options)
+    def run(self, text: str) -> tuple:
+        return call_with_retries(self.call, text, self.wait_out, self.budget, **self.options)
+
+
+BLANK_RESULT = ("", "blank", None, 0, None)
 
 
 def _enrich_batches(
@@ -139,28 +141,49 @@ def _enrich_batches(
     text: str,
     columns: list[str],
 ) -> Iterator[pd.DataFrame]:
-    """Results batch by batch, in order; the next batch is called while this one finishes."""
-    only = next(iter(backends)) if len(backends) == 1 else None
-    with ExitStack() as cleanup:
-        lanes: dict[str, _Lane] = {}
+    """Results batch by batch, in order; the next batch is called while this one finishes.
 
-        def start(value: str | None, backend: str) -> Future | tuple:
+    The threads of all backends take rows from one queue, so whichever has room
+    takes the next row and a slow backend holds up no more rows than it has open.
+    """
+    with ExitStack() as cleanup:
+        rows: SimpleQueue = SimpleQueue()
+        lanes: list[_Lane] = []
+
+        def work(lane: _Lane) -> None:
+            while (item := rows.get()) is not None:
+                value, future = item
+                try:
+                    future.set_result((*lane.run(value), lane.name))
+                except BaseException as exc:
+                    future.set_exception(exc)
+
+        def start_lanes() -> None:
+            lanes.extend(_Lane(b, limits.get(b.name), options) for b in backends.values())
+            workers = [lane for lane in lanes for _ in range(max(1, lane.in_flight))]
+            pool = cleanup.enter_context(ThreadPoolExecutor(len(workers)))
+            for lane in workers:
+                pool.submit(work, lane)
+            cleanup.callback(lambda: [rows.put(None) for _ in workers])
+
+        def start(value: str | None) -> Future | tuple:
             if not value:
-                return "", "blank", None, 0
-            if backend not in lanes:
-                lanes[backend] = _Lane(backends[backend], limits.get(backend), options, cleanup)
-            return lanes[backend].submit(value)
+                return BLANK_RESULT
+            if not lanes:
+                start_lanes()
+            future: Future = Future()
+            rows.put((value, future))
+            return future
 
         def finish(batch: pd.DataFrame, started: list) -> pd.DataFrame:
             done = [item.result() if isinstance(item, Future) else item for item in started]
-            result = pd.DataFrame(done, columns=[TARGET_COLUMN, "status", "error", "attempts"])
+            result = pd.DataFrame(done, columns=[TARGET_COLUMN, "status", "error", "attempts", "backend"])
             result.index = batch.index
             return pd.concat([batch, result], axis=1)[columns]
 
         waiting: deque = deque()
         for batch in batches:
-            names = [only] * len(batch) if only else batch["backend"]
-            waiting.append((batch, [start(*pair) for pair in zip(batch[text], names)]))
+            waiting.append((batch, [start(value) for value in batch[text]]))
             if len(waiting) > 1:
                 yield finish(*waiting.popleft())
         while waiting:
@@ -172,16 +195,16 @@ def _enrich(
     backends: dict[str, Backend],
     key: str,
     text: str,
-    keep: tuple[str, ...] = (),
     limits: dict[str, Limits] | None = None,
     on_error: str = "blank",
     **options,
 ) -> DataFrame:
     if df.sparkSession.sparkContext.getConf().get("spark.speculation", "false") == "true":
         warnings.warn("speculative tasks call the model twice; set spark.speculation=false", stacklevel=3)
-    source = df.select(key, F.coalesce(F.col(text), F.lit("")).alias(SOURCE_COLUMN), *keep)
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in source.dtypes) + ", " + RESULT
-    columns = [*source.columns, TARGET_COLUMN, "status", "error", "attempts"]
+    source = df.select(key, F.coalesce(F.col(text), F.lit("")).alias(SOURCE_COLUMN))
+    several = len(backends) > 1
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in source.dtypes) + ", " + RESULT + ", backend string" * several
+    columns = [*source.columns, TARGET_COLUMN, "status", "error", "attempts", *["backend"] * several]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _enrich_batches(batches, backends, limits or {}, options, SOURCE_COLUMN, columns)
@@ -203,9 +226,9 @@ def enrich_text(
     status `error` and the run goes on; `on_error="keep_source"` keeps its text.
     The stage is narrow: rows are neither moved nor gathered. At most
     `tasks * max_in_flight` calls are open at a time; `tasks` merges partitions
-    to bound that, where the servers and not the cluster set the pace.
+    to bound that, or deals rows out to more, before any call is made.
     """
-    source = df.coalesce(tasks) if tasks else df
+    source = _in_tasks(df, tasks) if tasks else df
     return _enrich(source, {backend.name: backend}, key, text, **options)
 
 
@@ -214,50 +237,55 @@ def hybrid_enrich(
     backends: list[Backend],
     key: str = "row_id",
     text: str = "text",
-    ordinal: str | None = None,
     limits: dict[str, Limits] | None = None,
     tasks: int | None = None,
     **options,
 ) -> DataFrame:
-    """Split rows over several backends by their capacities, in one pass; adds column `backend`.
+    """Translate over several backends in one pass; column `backend` tells which one took a row (null for blanks).
 
-    `limits` names the backends that have a rate budget.
+    In each task the backend with room takes the next row. `limits` names the
+    backends that have a rate budget; the tasks are then as many as it can be split over.
     """
-    weights = {backend.name: max(1, backend.max_in_flight) for backend in backends}
     by_name = {backend.name: backend for backend in backends}
-    assigned = round_robin_assign(df, weights, ordinal or key)
-    dealt, shares = _deal(assigned, by_name, limits or {}, key, tasks)
-    return _enrich(dealt, by_name, key, text, keep=("backend",), limits=shares, **options)
+    dealt, shares = _deal(df, by_name, limits or {}, text, tasks)
+    return _enrich(dealt, by_name, key, text, limits=shares, **options)
 
 
 def budget_slots(
-    spark: SparkSession, limits: Limits, wanted: int | None = None, max_tokens: int = MAX_COMPLETION_TOKENS
+    spark: SparkSession, limits: Limits, wanted: int | None = None, largest: int = sized_request(1)
 ) -> int:
-    """Tasks a budget is split over.
+    """Tasks a budget is split over, at most `wanted`.
 
-    All of them must run at once, and a share must still admit a request of
-    ordinary size, or every request would be booked for less than it uses.
+    All of them must run at once, and a share must admit the `largest` request,
+    or it would be booked for less than it uses, on a large cluster only.
     """
-    smallest_request = request_tokens("x", max_tokens)
-    most = min(spark.sparkContext.defaultParallelism, limits.rpm, limits.tpm // smallest_request)
-    if wanted is not None and wanted > most:
-        raise ValueError(f"{wanted} tasks exceed the {most} this budget and cluster can run at once")
-    return max(1, wanted or most)
+    most = min(spark.sparkContext.defaultParallelism, limits.rpm, limits.tpm // largest)
+    return max(1, min(wanted or most, most))
 
 
 def _deal(
-    df: DataFrame, backends: dict[str, Backend], limits: dict[str, Limits], key: str, tasks: int | None
+    df: DataFrame, backends: dict[str, Backend], limits: dict[str, Limits], text: str, tasks: int | None
 ) -> tuple[DataFrame, dict[str, Limits]]:
     """Rows dealt out evenly over the tasks of a budget, and each task's share of it.
 
-    A hash of the key deals them, so no task sits on an unused share.
+    They are dealt in turn, whatever their keys, so no task sits on an unused
+    share. The longest text is looked up first: the pass costs nothing beside
+    the calls.
     """
     if not limits:
-        return (df.coalesce(tasks) if tasks else df), {}
+        return (_in_tasks(df, tasks) if tasks else df), {}
+    # A request larger than the whole budget is booked as all of it: one task then, and one a minute.
+    size = df.agg(F.coalesce(F.max(F.octet_length(text)), F.lit(0))).first()[0]
     slots = min(
-        budget_slots(df.sparkSession, limit, tasks, backends[name].max_tokens) for name, limit in limits.items()
+        budget_slots(df.sparkSession, limit, tasks, sized_request(size, backends[name].max_tokens))
+        for name, limit in limits.items()
     )
-    return df.repartition(slots, F.xxhash64(key)), {name: limit.split(slots) for name, limit in limits.items()}
+    return df.repartition(slots), {name: limit.split(slots) for name, limit in limits.items()}
+
+
+def _in_tasks(df: DataFrame, tasks: int) -> DataFrame:
+    """Merged into fewer partitions, or dealt out to more."""
+    return df.coalesce(tasks) if tasks <= df.rdd.getNumPartitions() else df.repartition(tasks)
 
 
 def rate_budgeted_enrich(
@@ -275,7 +303,7 @@ def rate_budgeted_enrich(
     starts with an empty window and relies on the retry of rate-limit errors.
     """
     by_name = {backend.name: backend}
-    dealt, shares = _deal(df, by_name, {backend.name: limits}, key, tasks)
+    dealt, shares = _deal(df, by_name, {backend.name: limits}, text, tasks)
     return _enrich(dealt, by_name, key, text, limits=shares, **options)
 
 

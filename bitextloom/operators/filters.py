@@ -25,19 +25,23 @@ def drop_special_token_text(df: DataFrame, text: str = "text", names: list[str]
 def below_limit(text: Column, max_tokens: int, tokenizer: Tokenizer | None = None) -> Column:
     """True where a text has fewer than `max_tokens` tokens.
 
-    With a tokenizer, byte length decides most rows exactly: every token has at
-    least one byte and at most `longest` bytes. Only texts in between are sent
-    to Python; the others reach the encoder as null.
+    With a tokenizer, a text that it refuses is never below the limit, whatever
+    its length. For the others byte length decides most rows exactly: every
+    token has at least one byte and at most `longest` bytes. Only texts in
+    between are sent to Python; the others reach the encoder as null.
     """
     if tokenizer is None:
         return estimate_tokens(text) < max_tokens
-    longest = tokenizer.longest_token_bytes()
+    size, counted = F.octet_length(text).cast("bigint"), _counted_between(text, max_tokens, tokenizer)
+    fits = (size < max_tokens) | F.coalesce((counted >= 0) & (counted < max_tokens), F.lit(False))
+    return fits & ~has_special_token(text, tokenizer.special_names)
+
+
+def _counted_between(text: Column, max_tokens: int, tokenizer: Tokenizer) -> Column:
+    """The encoder's count where byte length leaves the limit open, else null; -1 where it refuses the text."""
     size = F.octet_length(text).cast("bigint")
-    open_case = (size >= max_tokens) & (size < max_tokens * longest)
-    counted = token_count(F.when(open_case, text), tokenizer)
-    return F.when(size < max_tokens, F.lit(True)).otherwise(
-        F.coalesce((counted >= 0) & (counted < max_tokens), F.lit(False))
-    )
+    open_case = (size >= max_tokens) & (size < max_tokens * tokenizer.longest_token_bytes())
+    return token_count(F.when(open_case, text), tokenizer)
 
 
 def filter_max_tokens(
@@ -56,10 +60,12 @@ def fate(
     tokenizer: Tokenizer | None = None,
 ) -> Column:
     """What the filter does with a row: one of `FATES`."""
-    names = tokenizer.special_names if tokenizer else None
+    special = has_special_token(text, tokenizer.special_names if tokenizer else None)
+    if tokenizer:
+        special = special | F.coalesce(_counted_between(text, max_tokens, tokenizer) < 0, F.lit(False))
     return (
         F.when(text.isNull(), "missing")
-        .when(has_special_token(text, names), "special")
+        .when(special, "special")
         .when(below_limit(text, max_tokens, tokenizer), "kept")
         .otherwise("over_limit")
     )

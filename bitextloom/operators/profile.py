@@ -7,7 +7,7 @@ many texts share it. Every statistic is computed from that table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bitextloom.defaults import PROFILE_BUCKET_SIZE, PROFILE_PERCENTS
@@ -119,19 +119,24 @@ def bucket_counts(freq: DataFrame, bucket_size: int = PROFILE_BUCKET_SIZE) -> Da
 def histogram_zero_fill(counts: DataFrame) -> DataFrame:
     """Every bucket from 0 to the highest, empty ones with count 0; one zero bucket for no rows.
 
-    `total` rides along with the generated buckets, so no one-row table is joined.
+    Each bucket brings the empty ones up to the next with it, so `counts` (one
+    row per bucket, bounded by the longest text) is computed once and joined
+    with nothing. Long gaps are generated in runs.
     """
-    top = counts.agg(
-        F.coalesce(F.max("bucket"), F.lit(0)).alias("top"),
-        F.coalesce(F.sum("cnt"), F.lit(0)).alias("total"),
-    )
-    firsts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("top"), F.lit(SPINE_RUN).cast("bigint")))
-    last = F.least(F.col("top"), F.col("first") + SPINE_RUN - 1)
-    spine = top.select("top", "total", firsts.alias("first")).select(
-        "total", F.explode(F.sequence("first", last)).alias("bucket")
+    long = lambda n: F.lit(n).cast("bigint")
+    zero = counts.sparkSession.range(1).select(long(0).alias("bucket"), long(0).alias("cnt"))
+    known = counts.select("bucket", "cnt").union(zero).groupBy("bucket").agg(F.sum("cnt").alias("cnt"))
+    gaps = known.select(
+        "bucket",
+        "cnt",
+        F.coalesce(F.lead("bucket").over(Window.orderBy("bucket")) - 1, F.col("bucket")).alias("last"),
+        F.sum("cnt").over(Window.partitionBy()).alias("total"),
     )
-    filled = spine.join(counts, "bucket", "left")
-    return filled.select("bucket", F.coalesce("cnt", F.lit(0)).alias("cnt"), "total")
+    runs = gaps.withColumn("first", F.explode(F.sequence("bucket", "last", long(SPINE_RUN))))
+    until = F.least(F.col("last"), F.col("first") + SPINE_RUN - 1)
+    filled = runs.withColumn("here", F.explode(F.sequence("first", until)))
+    count = F.when(F.col("here") == F.col("bucket"), F.col("cnt")).otherwise(long(0))
+    return filled.select(F.col("here").alias("bucket"), count.alias("cnt"), "total")
 
 
 def token_histogram(freq: DataFrame, bucket_size: int = PROFILE_BUCKET_SIZE) -> DataFrame:

@@ -110,9 +110,10 @@ def rate_window_usage(
 def round_robin_assign(
     df: DataFrame, weights: dict[str, int], ordinal: str = "ordinal", name: str = "backend"
 ) -> DataFrame:
-    """Give each row a backend in turn, each backend as often as its weight."""
+    """Give each row a backend in turn, each backend as often as its weight; keys that are no integers by their hash."""
     total = sum(weights.values())
-    place = F.pmod(F.col(ordinal), F.lit(total))
+    whole = dict(df.dtypes)[ordinal] in ("tinyint", "smallint", "int", "bigint")
+    place = F.pmod(F.col(ordinal) if whole else F.xxhash64(ordinal), F.lit(total))
     chosen, upper = None, 0
     for backend, weight in weights.items():
         upper += weight

@@ -11,8 +11,9 @@ from bitextloom.sources.paths import expand_paths, list_files, path_exists
 
 
 def resume_pending(source: DataFrame, done: DataFrame, key: str = "row_id") -> DataFrame:
-    """Rows of the source that the output does not hold yet; only keys of the output are read."""
-    return source.join(done.select(key), key, "left_anti")
+    """Rows of the source that the output does not hold yet; only keys of the output are read. A null key equals a null key."""
+    stored = done.select(F.col(key).alias("_done"))
+    return source.join(stored, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
 def reassemble_in_order(source: DataFrame, results: DataFrame, key: str = "row_id") -> DataFrame:

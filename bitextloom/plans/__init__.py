@@ -6,6 +6,8 @@ from bitextloom.plans.translate_corpus import (
     TranslationSettings,
     translate_corpus,
     translate_pending,
+    translation_progress,
+    translation_status,
     translator,
 )
 from bitextloom.sinks.parquet import reshard_for_publish as publish_corpus
@@ -19,5 +21,7 @@ __all__ = [
     "publish_corpus",
     "translate_corpus",
     "translate_pending",
+    "translation_progress",
+    "translation_status",
     "translator",
 ]

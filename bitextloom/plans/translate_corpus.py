@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +29,21 @@ from bitextloom.defaults import (
 )
 from bitextloom.functions.rates import Limits, resolve_limits
 from bitextloom.operators.backends import Backend, ChatBackend, api_chat, local_chat
-from bitextloom.operators.enrich import enrich_text, hybrid_enrich, rate_budgeted_enrich
-from bitextloom.operators.resume import existing_rows, resume_pending
+from bitextloom.operators.enrich import enrich_text, enrich_to_table, hybrid_enrich, rate_budgeted_enrich, sized_request
+from bitextloom.operators.resume import resume_pending
 from bitextloom.session import scratch_path
 from bitextloom.sinks.parquet import write_ordered
-from bitextloom.sources.paths import path_exists, scan_targets, split_list
-from bitextloom.sources.positions import file_offsets, rows_between, stage_jsonl
+from bitextloom.sources.paths import expand_paths, fingerprint, path_exists, remove, scan_targets, split_list
+from bitextloom.sources.positions import file_offsets, first_jsonl_rows, rows_between, stage_jsonl
 from bitextloom.sources.readers import parse_jsonl
 from bitextloom.sources.state import StateLog
 
-# Rows per committed slice: work lost at most when a run dies.
-SLICE_ROWS = 5_000_000
+# Rows of a committed slice, and slices in flight: their product is the work lost at most when a run dies.
+SLICE_ROWS = 20_000
+SLICES_IN_FLIGHT = 4
+# Minutes of calls in a slice of a run with a rate budget.
+SLICE_MINUTES = 10
+MANIFEST = "first bigint, last bigint, written bigint, errors bigint"
 
 Translate = Callable[[DataFrame], DataFrame]
 
@@ -91,6 +98,11 @@ class TranslationSettings:
             ),
         )
 
+    def slice_rows(self) -> int:
+        """Rows that the rate budget admits in some minutes."""
+        a_minute = min(self.limits.rpm, self.limits.tpm // sized_request(1, self.max_tokens))
+        return max(1, a_minute) * SLICE_MINUTES
+
     def local(self) -> ChatBackend:
         return local_chat(
             self.urls,
@@ -106,6 +118,17 @@ class TranslationSettings:
         )
 
 
+@dataclass(frozen=True)
+class Budgeted:
+    """A translator that spends a rate budget: one frame at a time, and small ones."""
+
+    translate: Translate
+    slice_rows: int
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return self.translate(df)
+
+
 def translator(
     backend: str | Backend,
     key: str = "ordinal",
@@ -127,10 +150,10 @@ def translator(
         return lambda df: enrich_text(df, settings.local(), key, **options)
     remote = settings.remote()
     if backend == "openai-api":
-        return lambda df: rate_budgeted_enrich(df, remote, settings.limits, key, **options)
+        return Budgeted(lambda df: rate_budgeted_enrich(df, remote, settings.limits, key, **options), settings.slice_rows())
     if backend == "hybrid":
         both, limits = [settings.local(), remote], {remote.name: settings.limits}
-        return lambda df: hybrid_enrich(df, both, key, limits=limits, **options)
+        return Budgeted(lambda df: hybrid_enrich(df, both, key, limits=limits, **options), settings.slice_rows())
     raise ValueError(f"unsupported backend: {backend}")
 
 
@@ -144,48 +167,116 @@ def translate_corpus(
     source_name: str = SOURCE_COLUMN,
     target_name: str = TARGET_COLUMN,
     max_samples: int = -1,
-    slice_rows: int = SLICE_ROWS,
+    slice_rows: int | None = None,
     source_format: str = "parquet",
+    in_flight: int = SLICES_IN_FLIGHT,
 ) -> int:
-    """Translate rows the output does not hold yet, in input order; returns rows written in all.
-
-    Resumes at the number of rows already stored, which wins over the saved
-    progress. Each slice is one job that commits into `out/slice=<first
-    position>/`; a slice that died while committing does not count and is
-    written again. Sorted paths follow the input order. Names of the two output
-    columns are free. For `source_format="json"`, `input_column`
-    is the field of the records.
+    """Translate rows the output does not hold yet, in input order; returns the rows it holds then.
+
+    Rows are cut into small slices by position, and `in_flight` of them run at a
+    time, so the cluster does not drain between them; a translator with a rate
+    budget runs one at a time, as each job would spend all of it. The calls of a
+    slice are the last stage of a job that only stores their results: what is
+    done afterwards, placing rows in order and writing them, repeats no call.
+
+    A slice commits as `out/slice=<first position>/`, two text columns in
+    input order; the status of its rows goes to `state_path/status`, and last a
+    row of the manifest (`state_path/manifest`) makes it count, with range, rows
+    and errors. A run resumes from the manifest: what it lacks, or what lost its
+    folder, is translated, whatever success marks a committer left. For
+    `source_format="json"`, `input_column` is the field of the records.
     """
     paths = scan_targets(spark, data_files, {"parquet": ".parquet", "json": ".json*"}[source_format])
     if source_format == "json":
-        df, input_column = _jsonl_in_order(spark, paths, input_column), "text"
+        df, input_column = _jsonl_in_order(spark, data_files, paths, input_column, max_samples, state_path), "text"
     else:
         df = spark.read.parquet(*paths)
+    text = F.col(input_column) if dict(df.dtypes)[input_column] == "string" else F.lit(None).cast("string")
     offsets = _stored_offsets(df)
     total = offsets.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     end = min(total, max_samples) if max_samples >= 0 else total
-    done = _stored_rows(spark, out)
-    progress = StateLog(spark, state_path)
-    saved = progress.latest()
-    if saved and saved["written"] != done:
-        LOG.warning("saved progress %s, stored rows %s: resuming at the stored rows", saved["written"], done)
-    while done < end:
-        last = min(end, done + slice_rows)
-        rows = rows_between(df, done, last, offsets).select("ordinal", F.col(input_column).alias("text"))
-        pair = translate(rows)
-        named = pair.select("ordinal", F.col(SOURCE_COLUMN).alias(source_name), F.col(TARGET_COLUMN).alias(target_name))
-        shifted = named.withColumn("ordinal", F.col("ordinal") - done)
-        write_ordered(shifted, f"{out}/slice={done:015d}", "ordinal", last - done, mode="overwrite")
-        done = last
-        progress.append(processed=done, written=done, shard_id=done)
-    return done
-
-
-def _jsonl_in_order(spark: SparkSession, paths: list[str], field: str) -> DataFrame:
-    """JSON lines laid out as parquet in input order, so that they have positions."""
-    staged = scratch_path(spark, "ordered")
-    write_ordered(parse_jsonl(stage_jsonl(spark, paths), field), staged)
-    return spark.read.parquet(staged)
+    budgeted = getattr(translate, "slice_rows", None)
+    size = slice_rows or budgeted or SLICE_ROWS
+    manifest, lock = StateLog(spark, f"{state_path}/manifest", MANIFEST), Lock()
+    done = _committed(spark, manifest, out)
+
+    def run(piece: tuple[int, int]) -> None:
+        first, last = piece
+        rows = rows_between(df, first, last, offsets).select("ordinal", text.alias("text"))
+        results = f"{state_path}/results/slice={first:015d}"
+        stored = enrich_to_table(translate(rows), results, mode="overwrite")
+        status = [name for name in ("ordinal", "status", "error", "attempts", "backend") if name in stored.columns]
+        stored.select(*status).write.mode("overwrite").parquet(f"{state_path}/status/slice={first:015d}")
+        pair = stored.select(
+            (F.col("ordinal") - first).alias("ordinal"),
+            F.col(SOURCE_COLUMN).alias(source_name),
+            F.col(TARGET_COLUMN).alias(target_name),
+        )
+        write_ordered(pair, f"{out}/slice={first:015d}", total_rows=last - first, mode="overwrite", keep_ordinal=False)
+        errors = stored.where("status = 'error'").count() if "status" in status else 0
+        with lock:
+            manifest.append(first=first, last=last, written=last - first, errors=errors)
+        remove(spark, results)
+        LOG.info("rows %s to %s of %s stored, %s failed", first, last, end, errors)
+
+    with ThreadPoolExecutor(1 if budgeted else max(1, in_flight)) as pool:
+        for finished in [pool.submit(run, piece) for piece in _gaps(done, end, size)]:
+            finished.result()
+    return sum(last - first for first, last in _committed(spark, manifest, out))
+
+
+def _gaps(done: list[tuple[int, int]], end: int, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of at most `size` positions below `end` that no done range holds."""
+    at = 0
+    for first, last in [*sorted(done), (end, end)]:
+        while at < min(first, end):
+            upto = min(at + size, first, end)
+            yield at, upto
+            at = upto
+        at = max(at, last)
+
+
+def _committed(spark: SparkSession, manifest: StateLog, out: str) -> list[tuple[int, int]]:
+    """Ranges of the manifest whose folder is there; a slice translated again counts once."""
+    folders = {int(path.rsplit("=", 1)[1]) for path in expand_paths(spark, f"{out.rstrip('/')}/slice=*/", suffix="")}
+    ranges = {row["first"]: row["last"] for row in manifest.read().orderBy("version").select("first", "last").collect()}
+    return sorted((first, last) for first, last in ranges.items() if first in folders)
+
+
+def translation_status(spark: SparkSession, state_path: str) -> DataFrame:
+    """ordinal, status, error and attempts of every translated row; `enrich_report` counts it, failed rows are found by it."""
+    return spark.read.parquet(f"{state_path}/status").drop("slice")
+
+
+def translation_progress(spark: SparkSession, state_path: str) -> DataFrame:
+    """One row: slices, rows written, errors and the time of the newest commit, of a run that goes on or has ended."""
+    return StateLog(spark, f"{state_path}/manifest", MANIFEST).read().dropDuplicates(["first"]).agg(
+        F.count(F.lit(1)).alias("slices"),
+        F.coalesce(F.sum("written"), F.lit(0)).alias("written"),
+        F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"),
+        F.max("updated_at").alias("updated_at"),
+    )
+
+
+def _jsonl_in_order(
+    spark: SparkSession, spec: str, paths: list[str], field: str, cap: int, state_path: str
+) -> DataFrame:
+    """JSON lines laid out as parquet in input order, so that they have positions.
+
+    Stored beside the state and used again by later runs over the same files,
+    field and cap; a capped run lays out no more lines than it needs.
+    """
+    files = expand_paths(spark, spec, suffix=".json*")
+    mark = f"{fingerprint(spark, files)} {field} {cap}"
+    log = StateLog(spark, f"{state_path}/staging", "mark string, place string")
+    known = log.read().where(F.col("mark") == mark).first()
+    if known and path_exists(spark, known["place"]):
+        return spark.read.parquet(known["place"])
+    place = f"{state_path}/lines/{uuid.uuid4().hex}"
+    lines = first_jsonl_rows(spark, files, cap) if cap >= 0 else stage_jsonl(spark, paths)
+    write_ordered(parse_jsonl(lines, field), place, total_rows=lines.count())
+    log.append(mark=mark, place=place)
+    return spark.read.parquet(place)
 
 
 def _stored_offsets(df: DataFrame) -> DataFrame:
@@ -194,12 +285,6 @@ def _stored_offsets(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _stored_rows(spark: SparkSession, out: str) -> int:
-    """Rows of finished slices; an unreadable shard stops the run, as skipping it would shift every row."""
-    counted = existing_rows(spark, out, on_unreadable="fail", committed=True)
-    return counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
-
-
 def translate_pending(
     source: DataFrame, out: str, translate: Translate, key: str, mode: str = "append"
 ) -> DataFrame:

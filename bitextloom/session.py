@@ -37,12 +37,16 @@ def build_session(app: str = "bitextloom", master: str | None = None, **extra: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a session that names none (unit tests) gets a folder of its own.
+    Only a local session that names none (unit tests) gets a folder of its own;
+    on a cluster that would be a different disk on each machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
+    local = context.master == "local" or context.master.startswith("local[")
+    if not context.getCheckpointDir() and not local:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if not context.getCheckpointDir():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return context.getCheckpointDir().rstrip("/")

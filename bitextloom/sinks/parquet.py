@@ -65,7 +65,8 @@ def write_by_rows(
     """
     rows_per_file = max(1, rows_per_file)
     if ordinal is not None:
-        total_rows = total_rows or df.count()
+        if total_rows is None:
+            raise ValueError("an ordered write needs the number of rows: counting would compute the rows twice")
         tasks = _write_tasks(df.sparkSession, total_rows)
         shards = max(1, -(-total_rows // rows_per_file))
         rows_per_task = -(-shards // tasks) * rows_per_file
@@ -77,19 +78,21 @@ def write_ordered(
     df: DataFrame,
     path: str,
     ordinal: str = "ordinal",
-    total_rows: int | None = None,
+    *,
+    total_rows: int,
     files: int | None = None,
     mode: str = "append",
+    keep_ordinal: bool = True,
 ) -> None:
-    """Files whose sorted names follow the ordinals 0..n-1.
+    """Files whose sorted names follow the ordinals 0..n-1; the caller knows the number of rows.
 
     The partition is computed from the ordinal, so there is no sampling pass
     over the rows as a range partitioning would need.
     """
-    total_rows = total_rows or df.count()
     files = files or _write_tasks(df.sparkSession, total_rows)
     rows_per_task = max(1, -(-total_rows // files))
-    _parquet(_contiguous(df, ordinal, rows_per_task, files), path, mode)
+    placed = _contiguous(df, ordinal, rows_per_task, files)
+    _parquet(placed if keep_ordinal else placed.drop(ordinal), path, mode)
 
 
 def _write_tasks(spark: SparkSession, rows: int) -> int:

@@ -46,6 +46,12 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isDirectory()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote and no longer needs."""
+    hadoop, fs = _hadoop_path(spark, path)
+    fs.delete(hadoop, True)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     hadoop, fs = _hadoop_path(spark, source)
     if not fs.rename(hadoop, spark._jvm.org.apache.hadoop.fs.Path(target)):

@@ -17,7 +17,11 @@ BROADCAST_FILES = 500_000
 
 
 def file_path() -> Column:
-    return F.col("_metadata.file_path")
+    """Path of a row's file as it is spelled, not as a URI: sorting it sorts the names.
+
+    A URI escapes spaces and non-ASCII letters, but not the plus sign.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def row_index() -> Column:
@@ -119,7 +123,7 @@ def stage_jsonl(spark: SparkSession, paths: str | list[str], staging: str | None
     out = staging or scratch_path(spark, "lines")
     lines = spark.read.text(paths).where(F.trim("value") != "").select(
         "value",
-        F.col("_metadata.file_path").alias("file"),
+        file_path().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
     )

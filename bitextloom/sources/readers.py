@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.defaults import FILTERED_COLUMN, TEXT_FIELD
 from bitextloom.sources.paths import expand_paths, infer_format, scan_targets
-from bitextloom.sources.positions import first_jsonl_rows, take_first_rows
+from bitextloom.sources.positions import file_path, first_jsonl_rows, take_first_rows
 
 
 def scan_jsonl(
@@ -73,9 +73,11 @@ def resolve_text_field(columns: list[str], requested: str = TEXT_FIELD) -> str:
 def with_text(
     df: DataFrame, requested: str = TEXT_FIELD, alias: str = "text", fall_back: bool = True
 ) -> DataFrame:
-    """Add the resolved text column as `alias`; all null when the table has no such column."""
+    """Add the resolved text column as `alias`; all null when the table has no such column of strings."""
     field = resolve_text_field(df.columns, requested) if fall_back else requested
-    text = F.col(f"`{field}`") if field in df.columns else F.lit(None).cast("string")
+    # As in JSON lines, only strings are texts: a number in the field's place is a missing text.
+    kinds = dict(df.dtypes)
+    text = F.col(f"`{field}`") if kinds.get(field) == "string" else F.lit(None).cast("string")
     return df.withColumn(alias, text)
 
 
@@ -105,10 +107,16 @@ def scan_corpus(
 
 
 def _first_keys(spark: SparkSession, spec: str) -> list[str]:
-    """Keys of the first record in sorted-file order."""
-    first = spark.read.text(expand_paths(spark, spec, suffix=".json*")[0]).where(F.trim("value") != "").limit(1)
-    row = first.select(F.json_object_keys("value").alias("keys")).first()
-    return list(row["keys"] or []) if row else []
+    """Keys of the first record in sorted-file order; files without one are passed over, in growing groups."""
+    paths, start, size = expand_paths(spark, spec, suffix=".json*"), 0, 1
+    while start < len(paths):
+        lines = spark.read.text(paths[start : start + size]).where(F.trim("value") != "")
+        path = lines.agg(F.min(file_path())).first()[0]
+        if path is not None:
+            first = lines.where(file_path() == path).limit(1)
+            return list(first.select(F.json_object_keys("value").alias("keys")).first()["keys"] or [])
+        start, size = start + size, size * 2
+    return []
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:

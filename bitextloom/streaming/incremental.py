@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,10 +16,12 @@ from bitextloom.functions.tokens import Tokenizer
 from bitextloom.operators.backends import Backend
 from bitextloom.operators.enrich import enrich_text
 from bitextloom.operators.filters import fate, fate_counters
+from bitextloom.sources.paths import path_exists
 from bitextloom.sources.state import StateLog
 
 FILES_PER_BATCH = 1000
 COUNTERS = ("processed", "skipped", "skipped_special", "kept", "over_limit")
+BATCH_COUNTERS = "batch_id bigint, " + ", ".join(f"{name} bigint" for name in COUNTERS)
 
 
 def read_new_files(
@@ -87,30 +89,35 @@ def incremental_filter(
     text: str = "text",
     keep: tuple[str, ...] = (),
     tokenizer: Tokenizer | None = None,
+    progress: str | None = None,
 ) -> StreamingQuery:
-    """Filter new rows into parquet with the file sink's own exactly-once log.
+    """Filter new rows into `out/batch_id=<n>/`; returns the started query.
 
-    Counters are observed on the way (`live_progress`).
+    A batch replaces its own folder, so a replay after a failure adds no rows.
+    Its counters are observed while it is written and then stored in the table
+    `progress`, one row for each batch, for `live_progress`.
     """
-    marked = stream.withColumn("_fate", fate(F.col(text), max_tokens, tokenizer))
-    counted = marked.observe("filter", *fate_counters(F.col("_fate")))
-    kept = counted.where(F.col("_fate") == "kept").select(*keep, F.col(text).alias(FILTERED_COLUMN))
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"filter-{batch_id}")
+        marked = batch.withColumn("_fate", fate(F.col(text), max_tokens, tokenizer))
+        counted = marked.observe(seen, *fate_counters(F.col("_fate")))
+        kept = counted.where(F.col("_fate") == "kept").select(*keep, F.col(text).alias(FILTERED_COLUMN))
+        kept.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch_id={batch_id}")
+        if progress is not None:
+            row = (batch_id, *(seen.get[name] for name in COUNTERS))
+            batch.sparkSession.createDataFrame([row], BATCH_COUNTERS).coalesce(1).write.mode("append").parquet(progress)
+
     return (
-        kept.writeStream.format("parquet")
-        .option("path", out)
-        .option("compression", "zstd")
+        stream.writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def live_progress(spark: SparkSession, query: StreamingQuery, name: str = "filter") -> DataFrame:
-    """Observed counters per recent batch of a query, running or finished.
-
-    Spark keeps the last `spark.sql.streaming.numRecentProgressUpdates` batches;
-    totals over longer runs come from the written tables.
-    """
-    seen = {p.batchId: p.observedMetrics[name] for p in query.recentProgress if name in p.observedMetrics}
-    rows = [(batch_id, *metrics) for batch_id, metrics in seen.items()]
-    return spark.createDataFrame(rows, "batch_id bigint, " + ", ".join(f"{c} bigint" for c in COUNTERS))
+def live_progress(spark: SparkSession, progress: str) -> DataFrame:
+    """Counters of every batch a filter has finished, over all its runs; a batch that was replayed counts once."""
+    if not path_exists(spark, progress):
+        return spark.createDataFrame([], BATCH_COUNTERS)
+    return spark.read.schema(BATCH_COUNTERS).parquet(progress).dropDuplicates(["batch_id"])

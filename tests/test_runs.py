@@ -3,16 +3,18 @@ import pyarrow.parquet as pq
 import pytest
 
 from bitextloom.functions import Limits
-from bitextloom.operators import PrefixBackend
+from bitextloom.operators import FaultyBackend, PrefixBackend, enrich_report
 from bitextloom.plans import (
     TranslationSettings,
     filter_corpus,
     profile_corpus,
     translate_corpus,
     translate_pending,
+    translation_progress,
+    translation_status,
     translator,
 )
-from bitextloom.sources import StateLog, global_ordinal
+from bitextloom.sources import StateLog, expand_paths, global_ordinal
 from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
 
 
@@ -59,12 +61,12 @@ def test_incremental_filter_counts_while_it_runs(spark, tmp_path):
     source, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     add_file(source, "a.parquet", 0, 10)
     add_file(source, "b.parquet", 10, 10)
-    for expected in (2, 0):
+    counted = str(tmp_path / "counted")
+    assert live_progress(spark, counted).count() == 0
+    for expected in (2, 2):
         stream = read_new_files(spark, str(source), SCHEMA, files_per_batch=1)
-        query = incremental_filter(stream, out, mark, max_tokens=3, keep=("row_id",))
-        query.awaitTermination()
-        progress = live_progress(spark, query)
-        assert progress.where("processed > 0").count() == expected
+        incremental_filter(stream, out, mark, max_tokens=3, keep=("row_id",), progress=counted).awaitTermination()
+        assert live_progress(spark, counted).where("processed > 0").count() == expected
     kept = sorted(r["row_id"] for r in spark.read.parquet(out).collect())
     assert kept == [i for i in range(20) if i % 5]
 
@@ -95,22 +97,81 @@ def test_profile_report(spark, tmp_path):
 
 
 def pairs(spark, out):
-    return [tuple(r) for r in global_ordinal(spark.read.parquet(out)).orderBy("ordinal").select("text_en", "text_ja").collect()]
+    stored = spark.read.parquet(*expand_paths(spark, f"{out}/slice=*/*.parquet"))
+    assert stored.columns == ["text_en", "text_ja"]
+    return [tuple(r) for r in global_ordinal(stored).orderBy("ordinal").drop("ordinal").collect()]
 
 
 def test_translation_resumes_where_it_stopped(spark, numbered_files, tmp_path):
-    translate = translator(PrefixBackend())
-    expected = [(f"text {i}", f"[ja] text {i}") for i in range(100)]
+    translate = translator(FaultyBackend(faults=(("text 9", -1),)))
+    failed = lambda i: str(i).startswith("9")
+    expected = [("", "") if failed(i) else (f"text {i}", f"[ja] text {i}") for i in range(100)]
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     for cap, rows in ((35, 35), (35, 35), (-1, 100)):
         assert translate_corpus(spark, numbered_files, out, translate, state, max_samples=cap, slice_rows=40) == rows
         assert pairs(spark, out) == expected[:rows]
-    assert StateLog(spark, state).latest()["written"] == 100
-    # A slice that died while committing: no success mark.
-    last = max(tmp_path.glob("out/slice=*"))
-    (last / "_SUCCESS").unlink()
-    assert translate_corpus(spark, numbered_files, out, translate, state, slice_rows=40) == 100
-    assert pairs(spark, out) == expected
+        assert translation_progress(spark, state).first()["written"] == rows
+    report = {r["status"]: r["rows"] for r in enrich_report(translation_status(spark, state)).collect()}
+    assert report == {"ok": 89, "error": 11} and translation_progress(spark, state).first()["errors"] == 11
+    status = translation_status(spark, state).where("status = 'error'")
+    assert sorted(r["ordinal"] for r in status.collect()) == [i for i in range(100) if failed(i)]
+
+
+def test_only_lost_slices_are_called_again(spark, numbered_files, tmp_path):
+    """Slices without a manifest row or without their folder; success marks play no part."""
+    import shutil
+
+    folder = tmp_path / "calls"
+    folder.mkdir()
+
+    class CountingBackend(PrefixBackend):
+        def connect(self):
+            import uuid
+
+            def call(text):
+                with open(f"{folder}/{uuid.uuid4().hex}", "w"):
+                    return self.prefix + text
+
+            return call
+
+    def calls():
+        found = len(list(folder.iterdir()))
+        for file in folder.iterdir():
+            file.unlink()
+        return found
+
+    out, state, translate = str(tmp_path / "out"), str(tmp_path / "state"), translator(CountingBackend())
+    for lost, expected in ((None, 100), ("mark", 0), ("folder", 10), (None, 0)):
+        slices = sorted(tmp_path.glob("out/slice=*"))
+        if lost == "mark":
+            [(s / "_SUCCESS").unlink(missing_ok=True) for s in slices]
+        if lost == "folder":
+            shutil.rmtree(slices[4])
+        assert translate_corpus(spark, numbered_files, out, translate, state, slice_rows=10) == 100
+        assert calls() == expected
+        assert pairs(spark, out) == [(f"text {i}", f"[ja] text {i}") for i in range(100)]
+
+
+def test_a_killed_run_repeats_only_slices_in_flight(spark, numbered_files, tmp_path):
+    out, state, seen = str(tmp_path / "out"), str(tmp_path / "state"), []
+    inner = translator(PrefixBackend())
+
+    def dying(df):
+        seen.append(1)
+        if len(seen) == 4:
+            raise KeyboardInterrupt
+        return inner(df)
+
+    with pytest.raises(KeyboardInterrupt):
+        translate_corpus(spark, numbered_files, out, dying, state, slice_rows=20, in_flight=1)
+    assert translation_progress(spark, state).first()["written"] == 80
+    assert translate_corpus(spark, numbered_files, out, dying, state, slice_rows=20, in_flight=1) == 100
+    assert len(seen) == 6
+
+
+def test_budgeted_translators_run_small_slices_one_at_a_time():
+    named = translator("openai-api", settings=TranslationSettings(limits=Limits(500, 200_000)))
+    assert named.slice_rows == 460 and not hasattr(translator("gpt-oss"), "slice_rows")
 
 
 def test_json_lines_are_translated_in_order(spark, tmp_path):

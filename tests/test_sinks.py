@@ -108,7 +108,7 @@ def test_reshard_keeps_order_and_size(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     text = F.concat_ws("-", *(F.xxhash64("id", F.lit(i)) for i in range(12)))
     df = spark.range(8000).select(F.col("id"), F.when(F.col("id") < 2000, text).otherwise("x").alias("text"))
-    write_ordered(df.withColumn("ordinal", F.col("id")), source, "ordinal", 8000, files=4)
+    write_ordered(df.withColumn("ordinal", F.col("id")), source, total_rows=8000, files=4)
     manifest = reshard_for_publish(spark, source, out, "train", "100KB")
     assert manifest.agg(F.max("bytes")).first()[0] <= 100_000
     assert manifest.agg(F.sum("rows")).first()[0] == 8000 and manifest.count() > 3

@@ -182,7 +182,7 @@ def test_shared_folder_is_the_clusters_unless_it_names_none(spark):
         assert shared_folder(spark) == named.rstrip("/")
 
     class Context:
-        folder = None
+        folder, master = None, "local[4]"
 
         def getCheckpointDir(self):
             return self.folder
@@ -193,3 +193,7 @@ def test_shared_folder_is_the_clusters_unless_it_names_none(spark):
     bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=Context())
     first, second = scratch_path(bare, "x"), scratch_path(bare, "x")
     assert first != second and first.startswith(bare.sparkContext.folder)
+    on_a_cluster = SimpleNamespace(conf=bare.conf, sparkContext=Context())
+    on_a_cluster.sparkContext.master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        shared_folder(on_a_cluster)
