@@ -21,10 +21,14 @@ GRID = 2
 # Width of a cell in radii.
 CELL = 2.0
 # Vectors of a cell that a task compares with as many others at a time.
-CHUNK = 2048
+CHUNK = 8192
 TILE = 1024
+# Share of near pairs from which a tile is decided as a whole.
+DENSE = 0.02
 SEED = 3
 SLACK = 1e-9
+# What single precision may err by.
+ROUGH_SLACK = 1e-5
 
 
 class Rotation:
@@ -65,6 +69,22 @@ class Rotation:
             name = name * 64 + np.floor((a[:, None, d] + b[None, :, d]) / 2 / width).astype(np.int64) + 32
         return name
 
+    def rough(self, rotated: np.ndarray, block: int, other: bool = False) -> np.ndarray:
+        """Rows whose products with the other side's are minus half the squared distances in the block."""
+        x = rotated[:, self.blocks[block]]
+        half, one = -(x * x).sum(axis=1, keepdims=True) / 2, np.ones((len(x), 1))
+        return np.hstack([x, one, half] if other else [x, half, one]).astype(np.float32)
+
+    def owned(self, a: np.ndarray, b: np.ndarray, block: int, cell: int) -> np.ndarray:
+        """Which pairs (row by row) are near in all, and owned by this block, the first whose share they keep to, and cell."""
+        squares = np.add.reduceat((a - b) ** 2, [x.start for x in self.blocks], axis=1)
+        keep = squares.sum(axis=1) <= 2 - 2 * self.cosine + ROUGH_SLACK
+        keep &= (squares[:, block] <= self.budgets[block]) & (squares[:, :block] > self.budgets[:block]).all(axis=1)
+        width, name = self.width(block), 0
+        for d in range(self.blocks[block].start, min(self.blocks[block].start + GRID, self.blocks[block].stop)):
+            name = name * 64 + np.floor((a[:, d] + b[:, d]) / 2 / width).astype(np.int64) + 32
+        return keep & (name == cell)
+
     def within(self, a: np.ndarray, b: np.ndarray, block: int) -> np.ndarray:
         """Which pairs keep to the block's share."""
         x, y = a[:, self.blocks[block]], b[:, self.blocks[block]]
@@ -123,27 +143,43 @@ def block_cells(classes: DataFrame, cosine: float) -> DataFrame:
 
 
 def tile_links(left: pd.DataFrame, right: pd.DataFrame, rotation: Rotation, block: int, cell: int, same: bool):
-    """(row of left, row of right) of all links that this block and cell own, tile by tile."""
+    """(rows of left, rows of right) of all links that this block and cell own, tile by tile.
+
+    One product in single precision finds the pairs within the block's share; the few it leaves, or all of a
+    crowded tile, are decided in double precision.
+    """
     a_unit, b_unit = (unit(side["vector"].tolist(), rotation.size) for side in (left, right))
     a_rot, b_rot = rotation.rotated(a_unit), rotation.rotated(b_unit)
+    rough_a, rough_b = rotation.rough(a_rot, block), rotation.rough(b_rot, block, other=True)
+    least = np.float32(-(rotation.budgets[block] + ROUGH_SLACK) / 2)
     for i in range(0, len(left), TILE):
         for j in range(i if same else 0, len(right), TILE):
-            x, y = a_rot[i : i + TILE], b_rot[j : j + TILE]
-            near = rotation.within(x, y, block)
-            if same and i == j:
-                near &= np.tri(len(x), len(y), -1, dtype=bool).T
-            if not near.any():
+            near = rough_a[i : i + TILE] @ rough_b[j : j + TILE].T >= least
+            at = np.flatnonzero(near)
+            if len(at) > DENSE * near.size:
+                if same and i == j:
+                    near = np.triu(near, 1)
+                r, c = dense_links(a_unit[i : i + TILE], b_unit[j : j + TILE], a_rot[i : i + TILE], b_rot[j : j + TILE], near, rotation, block, cell)
+            elif len(at):
+                r, c = np.divmod(at, near.shape[1])
+                if same and i == j:
+                    r, c = r[r < c], c[r < c]
+                keep = rotation.owned(a_rot[r + i], b_rot[c + j], block, cell)
+                r, c = r[keep], c[keep]
+                exact = np.einsum("ij,ij->i", a_unit[r + i], b_unit[c + j]) >= rotation.cosine
+                r, c = r[exact], c[exact]
+            else:
                 continue
-            # A pair belongs to the first block whose share it keeps to, and there to the middle's cell.
-            rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-            near, x, y = near[np.ix_(rows, cols)], x[rows], y[cols]
-            near &= rotation.middle(x, y, block) == cell
-            for earlier in range(block):
-                near &= ~rotation.within(x, y, earlier)
-            # The exact check of every candidate, in double precision.
-            near &= a_unit[i : i + TILE][rows] @ b_unit[j : j + TILE][cols].T >= rotation.cosine
-            r, c = np.nonzero(near)
-            yield rows[r] + i, cols[c] + j
+            yield r + i, c + j
+
+
+def dense_links(a_unit, b_unit, a_rot, b_rot, near, rotation: Rotation, block: int, cell: int):
+    """The same for a crowded tile, whole matrices at a time."""
+    near = near & rotation.within(a_rot, b_rot, block) & (rotation.middle(a_rot, b_rot, block) == cell)
+    for earlier in range(block):
+        near &= ~rotation.within(a_rot, b_rot, earlier)
+    near &= a_unit @ b_unit.T >= rotation.cosine
+    return np.nonzero(near)
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
