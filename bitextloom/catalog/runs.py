@@ -4,6 +4,7 @@ Queries that write use fresh folders below the shared folder and return what
 they read back.
 """
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bitextloom.catalog.registry import CLASSED, EDGE, SPECIAL, TOKENS, documents, edge_documents, query, table
@@ -22,6 +23,7 @@ from bitextloom.operators.enrich import (
 from bitextloom.operators.resume import existing_rows, reassemble_in_order, resume_pending
 from bitextloom.plans import (
     filter_corpus,
+    profile_corpus,
     profile_frame,
     translate_corpus,
     translate_pending,
@@ -177,11 +179,21 @@ def write_by_rows_query(spark, sf_dir):
     )
 
 
-@query("write_by_size", f"WITH {EDGE} SELECT doc_id, text FROM edge WHERE text IS NOT NULL AND {TOKENS} < 512")
+@query(
+    "write_by_size",
+    f"""WITH {EDGE} SELECT doc_id, text, true AS several_shards, true AS sized
+        FROM edge WHERE text IS NOT NULL AND {TOKENS} < 512""",
+)
 def write_by_size_query(spark, sf_dir):
-    out = scratch_path(spark, "by-size")
-    write_by_size(edge_documents(spark, sf_dir).where(f"text IS NOT NULL AND octet_length(text) < {512 * 3}"), out, 300)
-    return spark.read.parquet(out).select("doc_id", "text")
+    """A limit below the table's size: several shards, none much above it."""
+    rows = edge_documents(spark, sf_dir).where(f"text IS NOT NULL AND octet_length(text) < {512 * 3}")
+    megabytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] / 2**20 / 4
+    source, out = scratch_path(spark, "by-size-source"), scratch_path(spark, "by-size")
+    rows.repartition(16).write.parquet(source)
+    write_by_size(spark.read.parquet(source), out, megabytes)
+    shards = shard_manifest(spark, out).agg(F.count("*").alias("n"), F.max("bytes").alias("largest")).first()
+    flags = F.lit(shards["n"] > 2).alias("several_shards"), F.lit(shards["largest"] <= 2 * megabytes * 2**20).alias("sized")
+    return spark.read.parquet(out).select("doc_id", "text", *flags)
 
 
 @query(
@@ -207,13 +219,11 @@ def ordered_output_query(spark, sf_dir):
 
 @query("sort_inputs", "SELECT lang, dense_rank() OVER (ORDER BY lang) AS place FROM documents GROUP BY lang")
 def sort_inputs_query(spark, sf_dir):
-    """Folders of the sorted file list, in order."""
+    """Folders of the listed files, placed by path order."""
     root = scratch_path(spark, "sorted")
     documents(spark, sf_dir).select("doc_id", "lang").write.partitionBy("lang").parquet(root)
-    files = expand_paths(spark, f"{root}/lang=*/*.parquet")
-    folders = dict.fromkeys(path.rsplit("lang=", 1)[1].split("/")[0] for path in files)
-    rows = [(lang, place) for place, lang in enumerate(folders, 1)]
-    return spark.createDataFrame(rows, "lang string, place bigint")
+    folders = list_files(spark, root, "*.parquet").select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang")).distinct()
+    return folders.select("lang", F.row_number().over(Window.orderBy("lang")).cast("bigint").alias("place"))
 
 
 @query(
@@ -253,13 +263,19 @@ def print_report_query(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(text.split("\n"), 1)), "place int, line string")
 
 
-@query("reshard_for_publish", "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text FROM documents")
+@query(
+    "reshard_for_publish",
+    """SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal, text, true AS several_shards, true AS sized
+       FROM documents""",
+)
 def reshard_for_publish_query(spark, sf_dir):
     """Shards of at most an eighth of the stored bytes hold the rows in input order."""
     source, out = f"{sf_dir}/documents.parquet", scratch_path(spark, "publish")
     stored = list_files(spark, source).agg(F.sum("bytes")).first()[0]
-    reshard_for_publish(spark, source, out, "train", stored // 8)
-    return global_ordinal(spark.read.parquet(f"{out}/train")).select("doc_id", "ordinal", "text")
+    manifest = reshard_for_publish(spark, source, out, "train", stored // 8)
+    shards = manifest.agg(F.count("*").alias("n"), F.max("bytes").alias("largest")).first()
+    flags = F.lit(shards["n"] >= 8).alias("several_shards"), F.lit(shards["largest"] <= stored // 8).alias("sized")
+    return global_ordinal(spark.read.parquet(f"{out}/train")).select("doc_id", "ordinal", "text", *flags)
 
 
 def document_stream(spark, sf_dir):
@@ -339,7 +355,11 @@ def filter_corpus_query(spark, sf_dir):
 
 @query("profile_corpus", f"WITH {CLASSED} SELECT {SUMMARY} FROM counted")
 def profile_corpus_query(spark, sf_dir):
-    return profile_frame(edge_documents(spark, sf_dir)).summary
+    """Files found by a pattern, their format by its spelling, under a cap that all rows fit in."""
+    source = scratch_path(spark, "profiled")
+    rows = edge_documents(spark, sf_dir).select("text")
+    rows.repartition(3).write.parquet(source)
+    return profile_corpus(spark, f"{source}/*.parquet", max_samples=rows.count()).summary
 
 
 @query(

@@ -48,8 +48,11 @@ def retry_delay(attempt: Column, max_retries: int = MAX_RETRIES) -> Column:
 # Per-row forms, for use inside a task where the message exists only in Python.
 
 
-def rate_limited(message: str) -> bool:
-    return "429" in message or "rate limit" in message.lower()
+def rate_limited(error: str | Exception) -> bool:
+    """A message that speaks of a rate limit, or an error whose type or status code says so whatever its message."""
+    message = str(error)
+    typed = type(error).__name__ == "RateLimitError" or getattr(error, "status_code", None) == 429
+    return typed or "429" in message or "rate limit" in message.lower()
 
 
 def wait_from_message(message: str) -> float:

@@ -107,8 +107,8 @@ def call_with_retries(
         try:
             return call(text) or "", "ok", None, calls
         except Exception as exc:
-            message = str(exc)
-        if wait_out and rate_limited(message):
+            message, limited = str(exc), rate_limited(exc)
+        if wait_out and limited:
             sleep(wait_from_message(message))
         elif attempt < max_retries:
             sleep(retry_step * (attempt + 1))

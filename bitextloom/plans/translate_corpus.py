@@ -63,6 +63,7 @@ class TranslationSettings:
     temperature: float = TEMPERATURE
     max_tokens: int = MAX_COMPLETION_TOKENS
     limits: Limits = resolve_limits()
+    backend: str = "gpt-oss"
 
     @classmethod
     def from_environment(
@@ -89,6 +90,7 @@ class TranslationSettings:
             api_in_flight=max(1, int(env.get("OPENAI_API_IN_FLIGHT", API_IN_FLIGHT))),
             temperature=float(env.get("OPENAI_TEMPERATURE", TEMPERATURE)),
             max_tokens=int(env.get("OPENAI_MAX_TOKENS", MAX_COMPLETION_TOKENS)),
+            backend=env.get("TRANSLATION_BACKEND", "gpt-oss"),
             limits=resolve_limits(
                 tier or env.get("OPENAI_RATE_TIER", FALLBACK_TIER),
                 rpm,
@@ -112,10 +114,10 @@ class TranslationSettings:
             max_tokens=self.max_tokens,
         )
 
-    def remote(self) -> ChatBackend:
-        return api_chat(
-            self.api_url, self.api_model, max_in_flight=self.api_in_flight, max_tokens=self.max_tokens
-        )
+    def remote(self, alone: bool = False) -> ChatBackend:
+        """The remote service; alone it has the general number of calls in flight, beside others its own."""
+        in_flight = self.local_in_flight if alone else self.api_in_flight
+        return api_chat(self.api_url, self.api_model, max_in_flight=in_flight, max_tokens=self.max_tokens)
 
 
 @dataclass(frozen=True)
@@ -130,7 +132,7 @@ class Budgeted:
 
 
 def translator(
-    backend: str | Backend,
+    backend: str | Backend | None = None,
     key: str = "ordinal",
     settings: TranslationSettings | None = None,
     on_error: str = "blank",
@@ -138,17 +140,18 @@ def translator(
 ) -> Translate:
     """What to do with a frame of `key, text`: one of the named backends, or any other.
 
-    Names: `gpt-oss` (own servers), `openai-api` (remote, within its rate
+    Without one, the settings name it. Names: `gpt-oss` (own servers), `openai-api` (remote, within its rate
     budget), `hybrid` (both, by their capacities, the remote one within its
     budget). `tasks` bounds the tasks that call at once.
     """
     settings = settings or TranslationSettings()
+    backend = backend or settings.backend
     options = {"on_error": on_error, "tasks": tasks}
     if isinstance(backend, Backend):
         return lambda df: enrich_text(df, backend, key, **options)
     if backend == "gpt-oss":
         return lambda df: enrich_text(df, settings.local(), key, **options)
-    remote = settings.remote()
+    remote = settings.remote(alone=backend == "openai-api")
     if backend == "openai-api":
         return Budgeted(lambda df: rate_budgeted_enrich(df, remote, settings.limits, key, **options), settings.slice_rows())
     if backend == "hybrid":

@@ -109,7 +109,7 @@ def _contiguous(df: DataFrame, ordinal: str, rows_per_task: int, tasks: int) ->
 def write_by_size(
     df: DataFrame,
     path: str,
-    max_mb: int = FILTER_MAX_FILE_MB,
+    max_mb: float = FILTER_MAX_FILE_MB,
     stored_ratio: float = 0.5,
     shuffle: bool = True,
     mode: str = "append",
@@ -122,11 +122,13 @@ def write_by_size(
     sizes the input splits instead and moves nothing, with `stored_ratio` as
     stored bytes per input byte; use it for filters that keep most rows.
     """
-    size = str(int(max(1, max_mb) * MB / stored_ratio))
+    size = str(max(1, int(max_mb * MB / stored_ratio)))
     if shuffle:
         settings = {
             "spark__sql__adaptive__enabled": "true",
             "spark__sql__adaptive__advisoryPartitionSizeInBytes": size,
+            # The default keeps merging up to a megabyte, whatever the wanted size.
+            "spark__sql__adaptive__coalescePartitions__minPartitionSize": str(min(MB, int(size))),
             "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
         }
         df = df.hint("rebalance")
@@ -185,7 +187,9 @@ def reshard_for_publish(
     A row's place in bytes is known from its file: bytes of earlier files plus
     its share of its own. Cutting that line into equal lengths gives the shard,
     so files of long texts get more shards, and no pass over the rows is needed
-    to plan it. Returns the manifest.
+    to plan it. Rows of one file vary in size, so the written shards are
+    measured; while one is over the size, all are written again with shorter
+    lengths, unless it holds a single row. Returns the manifest.
     """
     df = spark.read.parquet(*scan_targets(spark, data_dir))
     names, count = df.columns, file_count(df)
@@ -194,14 +198,25 @@ def reshard_for_publish(
     )
     files = running_total(files, ["_file"], "bytes", "before", count)
     total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    shard_bytes = max(1, int(parse_size(max_shard_size) * fill))
-    shards = total // shard_bytes + 1
+    limit = parse_size(max_shard_size)
     if count <= BROADCAST_FILES:
         files = F.broadcast(files)
+    target, mode = f"{out.rstrip('/')}/{split}", "errorifexists"
+    while True:
+        _write_shards(df, names, files, total, max(1, int(limit * fill)), target, mode)
+        written = shard_manifest(spark, target, split)
+        largest = written.where("rows > 1").agg(F.max("bytes")).first()[0]
+        if largest is None or largest <= limit:
+            return written
+        fill, mode = fill * 0.9 * limit / largest, "overwrite"
+
+
+def _write_shards(
+    df: DataFrame, names: list[str], files: DataFrame, total: int, shard_bytes: int, target: str, mode: str
+) -> None:
+    shards = total // shard_bytes + 1
     place = F.col("before") + F.col("_index") / F.col("rows") * F.col("bytes")
     shard = F.least(F.floor(place / shard_bytes), F.lit(shards - 1)).cast("int")
     rows = df.select("*", file_path().alias("_file"), row_index().alias("_index")).join(files, "_file")
     placed = rows.repartitionById(shards, shard).sortWithinPartitions("_file", "_index")
-    target = f"{out.rstrip('/')}/{split}"
-    _parquet(placed.select(*names), target, "errorifexists")
-    return shard_manifest(spark, target, split)
+    _parquet(placed.select(*names), target, mode)

@@ -62,7 +62,8 @@ def test_zero_wait_means_one_second(spark):
 
 def test_rate_limit_messages():
     assert rate_limited("Rate Limit reached") and rate_limited("code 429")
-    assert not rate_limited("timeout")
+    assert not rate_limited("timeout") and not rate_limited(ValueError("timeout"))
+    assert rate_limited(type("RateLimitError", (Exception,), {})("slow down"))
 
 
 def test_retry_delay_ends_after_three_tries(spark):

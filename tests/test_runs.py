@@ -218,4 +218,7 @@ def test_settings_from_environment():
     assert settings.limits == Limits(12, 2_000_000)
     wide = TranslationSettings.from_environment({}, model="x", tier="5", rpm=7, jsonl=True)
     assert (wide.local().model, wide.remote().model, wide.local().max_in_flight) == ("x", "x", 100)
+    assert wide.remote(alone=True).max_in_flight == 100 and wide.backend == "gpt-oss"
+    chosen = TranslationSettings.from_environment({"TRANSLATION_BACKEND": "openai-api"})
+    assert chosen.backend == "openai-api" and translator(settings=chosen).slice_rows > 0
     assert wide.limits == Limits(7, 180_000_000) and wide.urls == ("http://localhost:8000/v1",)
