@@ -23,7 +23,10 @@ SIMILARITY = 80
 COORDINATES = 20
 MATCHES = 7
 SEED = 5
-# Members of a posting list that one task compares with as many others at a time.
+# Pivots of a list that its members are compared with, turn by turn, before its components are compared completely.
+PIVOT_TURNS = (range(0, 1), range(1, 4))
+# Shorter posting lists are joined with themselves; of longer ones a task compares so many members with as many others.
+SHORT_LIST = 64
 CHUNK = 1024
 
 
@@ -64,8 +67,11 @@ def posting_lists(classes: DataFrame) -> DataFrame:
     return own.select("rep", "weight", "prefix", "one.slot", "one.n")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Of the pairs (a, b) those whose signatures agree often enough and whose whole sets are similar enough."""
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
+    """Of the pairs (a, b) those whose signatures agree often enough and whose whole sets are similar enough.
+
+    Sets are built again from the texts, for the members of pairs that agree alone.
+    """
     sides = [classes.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}")) for s in "ab"]
     near = (
         pairs.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
@@ -73,6 +79,9 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, similarity:
         .filter(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)
         .select("a", "b")
     )
+    near = stored(near, "near-pairs")
+    members = stored(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-members")
+    sets = shingle_sets(docs, members, width)
     both = near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b"
     )
@@ -101,30 +110,35 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     return stored(texts.join(broadcast_if_small(reps), "rep", "left_semi").mapInArrow(build, "rep long, shingles binary"), "shingle-sets")
 
 
-def pivot_pairs(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of each member with its list's most typical member, and with three others, of another component."""
-    picks = [F.max(F.struct("weight", "rep", "root")), *(F.max(F.struct(F.xxhash64("rep", F.lit(i)), "rep", "root")) for i in range(3))]
-    pivots = lists.groupBy("slot").agg(*(p.alias(f"p{i}") for i, p in enumerate(picks)))
-    joined = lists.select("slot", "rep", "root").join(pivots, "slot")
-
-    def pairs(names: list[str]) -> DataFrame:
-        other = joined.withColumn("p", F.explode(F.array(*(F.struct(F.col(f"{n}.rep").alias("rep"), F.col(f"{n}.root").alias("root")) for n in names))))
-        other = other.filter(F.col("root") != F.col("p.root"))
-        return other.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
-
-    return pairs(["p0"]), pairs(["p0", "p1", "p2", "p3"])
+def pivot_pairs(lists: DataFrame, turn: range) -> DataFrame:
+    """Pairs of members with members of their list that are in another component: pivot 0 is the list's most
+    typical member, the others are drawn by a hash."""
+    several = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    live = lists.join(several.select("slot"), "slot")
+    drawn = [F.col("weight") if i == 0 else F.xxhash64("rep", F.lit(i)) for i in turn]
+    picks = [F.max(F.struct(rank.alias("rank"), "rep", "root")).alias(f"p{i}") for i, rank in zip(turn, drawn)]
+    pivots = live.groupBy("slot").agg(*picks)
+    every = F.array(*(F.struct(F.col(f"p{i}.rep").alias("rep"), F.col(f"p{i}.root").alias("root")) for i in turn))
+    joined = live.select("slot", "rep", "root").join(pivots, "slot")
+    other = F.explode(F.filter(every, lambda p: p["root"] != F.col("root")))
+    pairs = joined.select("rep", other.alias("p"))
+    return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
 
 
 def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """All candidate pairs of different components that a list holds, each from one list only.
+    """All candidate pairs (a, b) of different components that a list holds.
 
-    Only lists with several components are dealt, in chunks: a task compares one chunk of a list with another
-    by their signatures, and gives pairs that agree often enough. The first common coordinate of
-    both prefixes owns a pair.
+    Only lists with several components are dealt. Short ones are joined with themselves. Longer ones are dealt in
+    chunks: a task compares one chunk with another by their signatures and gives the pairs that agree often enough, each
+    from one list only: the first common coordinate of both prefixes owns a pair.
     """
     mixed = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
-    mixed = mixed.filter("low <> high").select("slot", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
-    rows = lists.select("slot", "rep", "root", "prefix").join(mixed, "slot").join(classes.select("rep", "n_shingles", "sig"), "rep")
+    mixed = stored(mixed.filter("low <> high").select("slot", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "mixed")
+    short = lists.join(mixed.filter(F.col("n") <= SHORT_LIST), "slot")
+    sides = [short.select("slot", F.col("rep").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"]
+    joined = sides[0].join(sides[1], "slot").filter("a < b and root_a <> root_b").select("a", "b")
+    rows = lists.select("slot", "rep", "root", "prefix").join(mixed.filter(F.col("n") > SHORT_LIST).drop("n"), "slot")
+    rows = rows.join(classes.select("rep", "n_shingles", "sig"), "rep")
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     rows = rows.withColumn("mine", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "prefix", "n_shingles", "sig")
@@ -153,7 +167,7 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     found = rows.groupBy("slot", "i", "j").applyInPandas(compare, "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return joined.union(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def with_roots(lists: DataFrame, links: DataFrame) -> DataFrame:
@@ -170,12 +184,12 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, similarity: int)
     component is missed, and a large group of near copies costs a few comparisons for each copy.
     """
     lists = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists")
-    sets = shingle_sets(docs, lists.select("rep").distinct(), width)
-    links = verified(pivot_pairs(lists)[0], classes, sets, similarity)
-    lists = with_roots(lists, links)
-    links = stored(links.union(verified(pivot_pairs(lists)[1], classes, sets, similarity)), "near-links")
-    lists = with_roots(lists, links)
-    return links.union(verified(crossing_pairs(lists, classes, similarity), classes, sets, similarity))
+    links = None
+    for turn in PIVOT_TURNS:
+        more = verified(pivot_pairs(lists, turn), classes, docs, width, similarity)
+        links = more if links is None else stored(links.union(more), "near-links")
+        lists = with_roots(lists, links)
+    return links.union(verified(crossing_pairs(lists, classes, similarity), classes, docs, width, similarity))
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
