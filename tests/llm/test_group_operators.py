@@ -184,6 +184,46 @@ def test_passage_shared_by_many_and_its_near_copies(spark):
     assert near <= ids and not half & ids
 
 
+def brute_passages(a, b):
+    """Start words (in a, in b) of all 50-word places with a similarity of 0.8 or more."""
+    x, y = ([frozenset(tuple(w[k + i : k + i + 5]) for i in range(46)) for k in range(len(w) - 49)] for w in (a, b))
+    return {(i, j) for i, p in enumerate(x) for j, q in enumerate(y) if p & q and 100 * len(p & q) >= 80 * len(p | q)}
+
+
+def passage_links(found):
+    """Rows of all pairs of documents: those returned, and those that follow from the classes."""
+    rows = [(r.doc_id, r.start_word, r.end_word, r.other_id, r.other_start, r.other_end) for r in found]
+    moves = defaultdict(list)
+    for r in found:
+        if r.same_class:
+            moves[r.doc_id].append((r.start_word - 9, r.end_word + 9, r.other_id, r.other_start - r.start_word))
+    known, todo = set(rows), list(rows)
+    while todo:
+        i, s, e, j, u, v = todo.pop()
+        for low, high, k, d in moves[i]:
+            new = (k, s + d, e + d, j, u, v)
+            if low <= s and e <= high and k != j and new not in known:
+                known |= {new, (j, u, v, k, s + d, e + d)}
+                todo += [new, (j, u, v, k, s + d, e + d)]
+    return known
+
+
+@pytest.mark.parametrize("extra", [5, 10, 15, 20, 45])
+def test_longer_passage_of_two_among_many(spark, extra):
+    """Many texts share 100 words, two of them `extra` more: those two have all of them with each other."""
+    rows = []
+    for i in range(40):
+        own = [f"o{i}.{k}" for k in range(60)]
+        more = [f"m{i // 2}.{k}" for k in range(extra)] if i < 20 else []
+        rows.append((i, " ".join(own[:30] + [f"p{k}" for k in range(100)] + more + own[30:])))
+    links = passage_links(repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), bits=BITS).collect())
+    for i in range(40):
+        for j in range(40):
+            if i != j:
+                longest = max((e - s for a, s, e, b, _, _ in links if (a, b) == (i, j)), default=0)
+                assert longest >= 100 + extra * (i // 2 == j // 2 and i < 20), (i, j, longest)
+
+
 def test_targets_and_mix(spark, edge, none, clashing):
     rows = [(i, "w " * (i % 50), "hot" if i % 3 else f"s{i % 7}") for i in range(3000)] + [(9001, None, None), (9002, "a b", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
