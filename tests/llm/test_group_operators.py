@@ -224,6 +224,29 @@ def test_longer_passage_of_two_among_many(spark, extra):
                 assert longest >= 100 + extra * (i // 2 == j // 2 and i < 20), (i, j, longest)
 
 
+def test_every_pair_of_a_shared_passage_is_linked(spark):
+    """Copies, and copies with words of their own or of a few, against brute force over all pairs."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for i in range(36):
+        middle = [f"p{k}" for k in range(70)]
+        if i % 3:
+            for at in rng.integers(0, 70, i % 3):
+                middle[int(at)] = f"c{i}" if i % 2 else f"v{int(rng.integers(0, 3))}"
+        own = [f"o{i}.{k}" for k in range(40)]
+        texts.append(own[: i % 20] + middle + own[i % 20 :])
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), bits=BITS).collect()
+    links = passage_links(found)
+    for a, s, e, b, u, v in links:
+        x, y = ({tuple(texts[i][k : k + 5]) for k in range(p, q - 4)} for i, p, q in ((a, s, e), (b, u, v)))
+        assert e - s >= 50 and v - u >= 50 and 100 * len(x & y) >= 80 * len(x | y)
+    have = {(r[0], r[3]) for r in links}
+    want = {(i, j) for i in range(36) for j in range(i) if brute_passages(texts[i], texts[j])}
+    assert want and not {p for p in want if p not in have or p[::-1] not in have}
+    assert sum(r.same_class for r in found) >= 22  # the eleven plain copies beside the first, from both sides
+
+
 def test_targets_and_mix(spark, edge, none, clashing):
     rows = [(i, "w " * (i % 50), "hot" if i % 3 else f"s{i % 7}") for i in range(3000)] + [(9001, None, None), (9002, "a b", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
