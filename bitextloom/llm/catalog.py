@@ -113,10 +113,14 @@ SELECT doc_id, source, size, source_size, target,
 FROM ordered"""
 
 
+def qualities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and quality, the weight of a document in the mix."""
+    return table(spark, sf_dir, "labels").groupBy("doc_id").agg((1.0 + F.max("quality")).alias("quality"))
+
+
 @query("op8_source_mix", MIX_SQL)
 def op8_source_mix(spark, sf_dir):
-    quality = table(spark, sf_dir, "labels").groupBy("doc_id").agg((1.0 + F.max("quality")).alias("quality"))
-    return mix_sources(table(spark, sf_dir, "documents"), quality)
+    return mix_sources(table(spark, sf_dir, "documents"), qualities(spark, sf_dir))
 
 
 LICENSE_VALUES = ", ".join("({}, {})".format(*("'" + part.replace("'", "''") + "'" for part in pair)) for pair in TEMPLATES)

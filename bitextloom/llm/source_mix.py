@@ -150,10 +150,22 @@ def mix_sources(docs: DataFrame, quality: DataFrame | None = None, max_epochs: i
     )
 
 
-def take_mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """The mixed corpus: each row of `docs` as often as `mix_sources` says, with equal weights, columns unchanged."""
-    plan = mix_plan(sized(docs, None, seed), max_epochs)
+def take_mix(docs: DataFrame, quality: DataFrame | None = None, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+    """The mixed corpus: each row of `docs` as often as `mix_sources` says, columns unchanged.
+
+    Qualities meet ids and keys alone. The rows are repeated by their keys of weight 1; ids that are taken otherwise because
+    of their quality are listed, and broadcast if they are few.
+    """
+    sizes = sized(docs, quality, seed)
+    plan = mix_plan(sizes, max_epochs)
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), "doc_id", "source")
     # The key needs no text, and the plan is one row a source: the second reading only repeats rows.
     repeated = with_copies(with_key(inner, F.lit(1.0), seed), plan)
+    if quality is not None:
+        weighed = with_copies(sizes, plan).select("doc_id", "source", F.col("copies").alias("mix_copies"))
+        plain = with_copies(with_key(weighed, F.lit(1.0), seed), plan).filter("copies <> mix_copies")
+        other = plain.select(F.col("doc_id").alias("mix_of"), F.col("source").alias("mix_from"), "mix_copies").distinct()
+        same = (F.col("doc_id") == F.col("mix_of")) & F.col("source").eqNullSafe(F.col("mix_from"))
+        repeated = repeated.join(broadcast_if_small(stored(other, "mix-weighed")), same, "left")
+        repeated = repeated.withColumn("copies", F.coalesce("mix_copies", "copies"))
     return repeated.select("mix_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("mix_row.*")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bitextloom.llm.catalog import PIECE_MODEL, table
+from bitextloom.llm.catalog import PIECE_MODEL, qualities, table
 from bitextloom.llm.exact_dedup import drop_exact_copies
 from bitextloom.llm.minhash_dedup import drop_near_copies
 from bitextloom.llm.piece_codec import decode_ids, encode_texts
@@ -41,8 +41,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix of sources takes it, none more than three times."""
-    return take_mix(docs)
+    """Each document as often as the mix of sources, weighed by the quality of its label, takes it, none more than three times."""
+    return take_mix(docs, qualities(spark, sf_dir))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,6 +83,13 @@ def test_stages_in_order(spark):
     assert got == want
 
 
+def test_mix_stage_weighs_by_quality(spark):
+    documents = spark.read.parquet(f"{TABLES}/documents.parquet")
+    mix = dict(corpus_pipeline.STAGES)["mix"]
+    weighed, plain = (Counter({r.doc_id: r.copies for r in rows.collect()}) for rows in (QUERIES["op8_source_mix"](spark, TABLES), mix_sources(documents)))
+    assert Counter(r.doc_id for r in mix(spark, documents, TABLES).collect()) == +weighed != +plain
+
+
 def test_run_is_the_stages_one_after_another(spark):
     rows = corpus_pipeline.run(spark, TABLES).collect()
     per = defaultdict(set)
