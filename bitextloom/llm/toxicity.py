@@ -17,11 +17,10 @@ from bitextloom.llm.tables import stored, text_or_empty
 
 # Labelled documents that the model is fitted on, at most; those with the smallest hashes of doc_id.
 SAMPLE_ROWS = 16_384
-# Hashed terms kept, at most: those that tell the two labels apart most surely.
-TERMS = 4096
-BUCKETS = 1 << 24
+# All terms share so many buckets: the size of the model, whatever the texts hold.
+BUCKETS = 1 << 16
+# Buckets of fewer sampled documents are left out.
 MIN_DOCUMENTS = 3
-MIN_EVIDENCE = 2.5
 FACTORS = 8
 THRESHOLD = 0.3
 WORD = re.compile(r"\w+")
@@ -48,17 +47,14 @@ class FactorMachine:
         self.weights = np.zeros(len(buckets))
         self.factors = np.random.default_rng(7).normal(0, 0.05, (len(buckets), FACTORS))
 
-    def parts(self, index: np.ndarray, starts: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    def parts(self, index: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Scores before the sigmoid, and summed factors; row r owns index[starts[r]:starts[r + 1]]."""
-        row = np.repeat(np.arange(rows), np.diff(starts))
-        v = self.factors[index]
-        summed = np.stack([np.bincount(row, v[:, f], rows) for f in range(FACTORS)], axis=1)
-        squares = np.bincount(row, (v * v).sum(axis=1), rows)
-        linear = np.bincount(row, self.weights[index], rows)
-        return self.bias + linear + 0.5 * ((summed**2).sum(axis=1) - squares), summed
+        summed = row_sums(self.factors[index], starts)
+        linear = row_sums((self.weights - 0.5 * (self.factors**2).sum(axis=1))[index], starts)
+        return self.bias + linear + 0.5 * (summed**2).sum(axis=1), summed
 
     def probability(self, index: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return sigmoid(self.parts(index, starts, len(starts) - 1)[0])
+        return sigmoid(self.parts(index, starts)[0])
 
     def fit(self, index: np.ndarray, starts: np.ndarray, labels: np.ndarray, epochs: int = 40, size: int = 512) -> None:
         """Logistic loss by AdaGrad over small batches, with a ridge on weights and factors."""
@@ -72,13 +68,19 @@ class FactorMachine:
                 count = lengths[batch]
                 begins = np.concatenate([[0], np.cumsum(count)])
                 own = index[np.arange(begins[-1]) + np.repeat(starts[batch] - begins[:-1], count)]
-                raw, summed = self.parts(own, begins, len(batch))
+                raw, summed = self.parts(own, begins)
                 error = sigmoid(raw) - labels[batch]
                 row = np.repeat(np.arange(len(batch)), count)
-                used, at = np.unique(own, return_inverse=True)
-                g_w = np.bincount(at, error[row], len(used)) + 0.02 * self.weights[used]
-                each = error[row][:, None] * (summed[row] - self.factors[own])
-                g_v = np.stack([np.bincount(at, each[:, f], len(used)) for f in range(FACTORS)], axis=1) + 0.05 * self.factors[used]
+                # Places are below BUCKETS; of 16 bits they are sorted by counting.
+                order_of = np.argsort(own.astype(np.uint16), kind="stable")
+                ranked, row = own[order_of], row[order_of]
+                heads = np.flatnonzero(np.diff(ranked, prepend=-1))
+                used, each = ranked[heads], error[row]
+                plain = np.add.reduceat(each, heads) if len(heads) else each
+                g_w = plain + 0.02 * self.weights[used]
+                # Over the rows of a term, the error times the summed factors but its own.
+                g_v = np.add.reduceat(each[:, None] * summed[row], heads) if len(heads) else summed[:0]
+                g_v = g_v - plain[:, None] * self.factors[used] + 0.05 * self.factors[used]
                 sums[0] += error.sum() ** 2
                 sums[1][used] += g_w**2
                 sums[2][used] += g_v**2
@@ -92,6 +94,15 @@ class FactorMachine:
         return tuple(place[t] for t in term_hashes(word) if t in place)
 
 
+def row_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of values[starts[r]:starts[r + 1]], of none 0."""
+    out = np.zeros((len(starts) - 1, *values.shape[1:]))
+    filled = starts[1:] > starts[:-1]
+    if filled.any():
+        out[filled] = np.add.reduceat(values, starts[:-1][filled])
+    return out
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -123,35 +134,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     return texts.select("label", "text").mapInArrow(hashed, "label int, terms binary")
 
 
-def telling_terms(rows: DataFrame, positive: int, negative: int, terms: int = TERMS) -> np.ndarray:
-    """Buckets by the size of their log odds ratio against its standard error, at most `terms`."""
+def known_terms(rows: DataFrame) -> np.ndarray:
+    """Buckets of MIN_DOCUMENTS sampled documents or more, whatever their labels: a term may tell only beside another."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = np.array(batch.column("label").to_pylist()) == 1
-            packed = batch.column("terms").to_pylist()
-            sides = [np.frombuffer(b"".join(p for p, l in zip(packed, labels) if l == side), "<u4") for side in (True, False)]
-            found, at = np.unique(np.concatenate(sides), return_inverse=True)
-            yes = np.bincount(at[: len(sides[0])], minlength=len(found))
-            no = np.bincount(at[len(sides[0]) :], minlength=len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (found, yes, no)], ["term", "yes", "no"])
-
-    counts = rows.mapInArrow(counted, "term long, yes long, no long").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    a, c = F.col("yes") + 0.5, F.col("no") + 0.5
-    b, d = positive - F.col("yes") + 0.5, negative - F.col("no") + 0.5
-    evidence = F.abs(F.log(a * d / (b * c))) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    best = (
-        counts.filter(F.col("yes") + F.col("no") >= MIN_DOCUMENTS)
-        .select("term", evidence.alias("evidence"))
-        .filter(F.col("evidence") >= MIN_EVIDENCE)
-        .orderBy(F.desc("evidence"), "term")
-        .limit(terms)
-    )
-    return np.array(sorted(r["term"] for r in best.collect()), np.int64)
-
-
-def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, terms: int = TERMS) -> FactorMachine:
-    """The model. Terms are counted by Spark tasks; what reaches the driver is at most `rows` rows of at most `terms` places.
+            found, n = np.unique(np.frombuffer(b"".join(batch.column("terms").to_pylist()), "<u4"), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (found, n)], ["term", "n"])
+
+    counts = rows.mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return np.array(sorted(r["term"] for r in counts.filter(F.col("n") >= MIN_DOCUMENTS).select("term").collect()), np.int64)
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> FactorMachine:
+    """The model. Terms are counted by Spark tasks; what reaches the driver is at most `rows` rows of at most BUCKETS places.
 
     Without labels, or with one label only, the model is a constant rate.
     """
@@ -161,7 +157,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, te
     rate = (positive + 0.1) / (positive + negative + 1)
     if not positive or not negative:
         return FactorMachine(np.zeros(0, np.int64), rate)
-    buckets = telling_terms(sample, positive, negative, terms)
+    buckets = known_terms(sample)
     model = FactorMachine(buckets, rate)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from bitextloom.llm.exact_dedup import drop_exact_copies, exact_groups, heavy_gr
 from bitextloom.llm.minhash_dedup import drop_near_copies, near_groups
 from bitextloom.llm.passage_dedup import cartesian_spans, repeated_passages
 from bitextloom.llm.source_mix import mix_sources, source_targets, take_mix
-from bitextloom.llm.toxicity import drop_toxic, held_out, score_toxicity
+from bitextloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, score_toxicity
 
 BITS = 1 << 18
 
@@ -354,6 +354,14 @@ def test_toxicity_learns_pairs_and_edges(spark, edge, none, clashing):
     assert kept.columns == clashing.columns and kept.count() == clashing.count()
 
 
+def test_terms_that_tell_only_together_enter_the_model(spark):
+    """Each term is as common in both labels; only the pair tells."""
+    rows = [(i, f"insult{i // 2 % 2} group{i % 2}", int(i // 2 % 2 == i % 2)) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = fit_toxicity(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert all(model.terms(w) for w in ("insult0", "insult1", "group0", "group1"))
+
+
 def test_held_out_is_the_crc_of_the_decimal_id(spark):
     import zlib
 
