@@ -244,7 +244,7 @@ def test_every_pair_of_a_shared_passage_is_linked(spark):
     have = {(r[0], r[3]) for r in links}
     want = {(i, j) for i in range(36) for j in range(i) if brute_passages(texts[i], texts[j])}
     assert want and not {p for p in want if p not in have or p[::-1] not in have}
-    assert sum(r.same_class for r in found) >= 22  # the eleven plain copies beside the first, from both sides
+    assert sum(r.same_class for r in found) >= 10  # six plain copies nine words or more from the start are one class
 
 
 def test_targets_and_mix(spark, edge, none, clashing):
