@@ -12,6 +12,7 @@ from bitextloom.llm.embedding_dedup import vector_groups
 from bitextloom.llm.exact_dedup import exact_groups
 from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
 from bitextloom.llm.line_dedup import dedup_lines
+from bitextloom.llm.merkle_manifest import merkle_manifest
 from bitextloom.llm.minhash_dedup import near_groups
 from bitextloom.llm.passage_dedup import repeated_passages
 from bitextloom.llm.piece_codec import decode_ids, encode_texts
@@ -238,3 +239,75 @@ def op10_embedding_dedup(spark, sf_dir):
 @query("op5_passage_dedup")
 def op5_passage_dedup(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def crc32_sql(value: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    step = "xor(b >> 1, CASE WHEN b & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    bits = f"list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda b, y: {step}, xor(a, x))"
+    codes = f"list_transform(string_split({value}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce({codes}, lambda a, x: {bits}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+MANIFEST_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, leaf, came FROM (
+    SELECT doc_id, source, sha256({" || ".join(map(field_sql, ("doc_id", "source", "lang", "n_chars", "text")))}) AS leaf,
+           CASE WHEN {crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN sha256({" || ".join(map(field_sql, (
+               "doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")))}) END AS came
+    FROM documents)),
+inner_nodes AS (
+  SELECT 0 AS level, source, place, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM leaves
+  UNION ALL
+  SELECT level + 1, source, place // 16, sha256(string_agg(h, '' ORDER BY place)), (n + 15) // 16
+  FROM inner_nodes WHERE n > 1 GROUP BY level, source, place // 16, n),
+subroots AS (SELECT source, h, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place FROM inner_nodes WHERE n = 1),
+outer_nodes AS (
+  SELECT 0 AS level, place, h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 16, sha256(string_agg(h, '' ORDER BY place)), (n + 15) // 16
+  FROM outer_nodes WHERE n > 1 GROUP BY level, place // 16, n),
+inner_runs AS (
+  SELECT level, coalesce('=' || source, '') AS tree, place // 16 AS run, list(h ORDER BY place) AS hs
+  FROM inner_nodes WHERE n > 1 GROUP BY ALL),
+outer_runs AS (SELECT level, place // 16 AS run, list(h ORDER BY place) AS hs FROM outer_nodes WHERE n > 1 GROUP BY ALL),
+first_fold AS (
+  SELECT doc_id, leaf, coalesce('=' || source, '') AS tree, 0 AS level, place, '' AS proof, coalesce(came, leaf) AS f, leaf AS own FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, tree, level + 1, place // 16,
+         proof || array_to_string(hs[:place % 16], '') || array_to_string(hs[place % 16 + 2:], ''),
+         sha256(array_to_string(hs[:place % 16], '') || f || array_to_string(hs[place % 16 + 2:], '')),
+         sha256(array_to_string(hs, ''))
+  FROM first_fold JOIN inner_runs USING (level, tree) WHERE run = place // 16),
+in_source AS (SELECT *, max(level) OVER (PARTITION BY tree) AS last FROM first_fold),
+second_fold AS (
+  SELECT doc_id, leaf, own AS subroot, 0 AS level, s.place, proof, f
+  FROM in_source JOIN subroots s ON tree = coalesce('=' || s.source, '') WHERE level = last
+  UNION ALL
+  SELECT doc_id, leaf, subroot, level + 1, place // 16,
+         proof || array_to_string(hs[:place % 16], '') || array_to_string(hs[place % 16 + 2:], ''),
+         sha256(array_to_string(hs[:place % 16], '') || f || array_to_string(hs[place % 16 + 2:], ''))
+  FROM second_fold JOIN outer_runs USING (level) WHERE run = place // 16)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM second_fold, (SELECT h AS root, level AS top FROM outer_nodes WHERE n = 1) WHERE level = top"""
+
+
+def lower_case(column):
+    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def crc32(column):
+    return F.crc32(column.cast("string").cast("binary"))
+
+
+@query("op11_merkle_manifest", MANIFEST_SQL)
+def op11_merkle_manifest(spark, sf_dir):
+    text = F.col("text")
+    received = F.when(crc32(F.col("doc_id")) % 5 == 0, lower_case(text)).otherwise(text)
+    proofs = merkle_manifest(table(spark, sf_dir, "documents"), received)
+    proof = F.sha2(F.array_join("proof", ""), 256)
+    return proofs.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
