@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bitextloom.llm.conversation_repair import repair_conversations
 from bitextloom.llm.embedding_dedup import vector_groups
 from bitextloom.llm.exact_dedup import exact_groups
 from bitextloom.llm.license_scan import TEMPLATES, scan_licenses
@@ -311,3 +312,87 @@ def op11_merkle_manifest(spark, sf_dir):
     proofs = merkle_manifest(table(spark, sf_dir, "documents"), received)
     proof = F.sha2(F.array_join("proof", ""), 256)
     return proofs.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with known damage by a hash of conversation and turn: lost, emptied, without stops, said twice, user's."""
+    space = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    turns = turns.withColumn("damage", crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20).filter("damage > 0")
+    text = F.when(F.col("damage") == 1, "").when(F.col("damage") == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    role = F.when(F.col("damage") == 4, "user").otherwise(space("role"))
+    times = F.explode(F.when(F.col("damage") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), times.alias("time")).drop("time")
+
+
+def edit_sql(state: int) -> str:
+    """The least (cost, audit) of the edits that take the next row in a grammar state: 0 none yet, 1 s, 2 u, 3 a."""
+    kept = {0: "CASE role WHEN 's' THEN {0} WHEN 'u' THEN {1} END", 1: "CASE role WHEN 'u' THEN {1} END",
+            2: "CASE role WHEN 'a' THEN {2} END", 3: "CASE role WHEN 'u' THEN {1} END"}[state]
+    onward = kept.format(*(f"{{'c': c{s} + cut, 'a': 'K' || a{s}}}" for s in (1, 2, 3)))
+    made = 3 if state == 2 else 2
+    return f"""least({{'c': c{state} + 2, 'a': 'D' || a{state}}},
+      CASE WHEN fault NOT IN (1, 2) THEN {{'c': c{made} + 1 + cut, 'a': 'R' || a{made}}} END, CASE WHEN fault NOT IN (1, 2) THEN {onward} END)"""
+
+
+def insert_sql(state: int) -> str:
+    made = 3 if state == 2 else 2
+    return f"least(e{state}, {{'c': e{made}.c + 5, 'a': 'I' || e{made}.a}}) AS e{state}"
+
+
+INSERTS_SQL = ", ".join(map(insert_sql, range(4)))
+
+REPAIR_SQL = f"""
+WITH RECURSIVE hurt AS (
+  SELECT conv_id, turn, unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS time,
+         CASE WHEN d = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM (SELECT *, {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS d FROM conversations)
+  WHERE d > 0),
+rows AS (
+  SELECT coalesce('=' || conv_id, '') AS conv, turn, role AS full_role, text,
+         CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'o' END AS role,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS body FROM hurt),
+marked AS (
+  SELECT *, CASE WHEN body = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv, full_role, text ORDER BY i) > 1 THEN 2
+                 WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(role) OVER (PARTITION BY conv ORDER BY i) AS before FROM rows),
+steps AS (SELECT *, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS cut FROM marked),
+-- From the last row to the first: for each grammar state the cheapest way to the end.
+togo AS (
+  SELECT DISTINCT conv, n + 1 AS i, 0::BIGINT AS c0, '' AS a0, 10::BIGINT AS c1, 'II' AS a1, 5::BIGINT AS c2, 'I' AS a2, 0::BIGINT AS c3, '' AS a3 FROM rows
+  UNION ALL
+  SELECT conv, i, e0.c, e0.a, e1.c, e1.a, e2.c, e2.a, e3.c, e3.a FROM (
+    SELECT conv, i, {INSERTS_SQL} FROM (
+      SELECT conv, i, {INSERTS_SQL} FROM (
+        SELECT conv, s.i, {", ".join(f"{edit_sql(s)} AS e{s}" for s in range(4))}
+        FROM togo t JOIN steps s USING (conv) WHERE s.i = t.i - 1)))),
+best AS (SELECT conv, c0 AS cost, a0 AS audit FROM togo WHERE i = 1),
+-- The edits in order, with the row that each takes and the state that each leaves.
+walk AS (
+  SELECT conv, audit, 1 AS k, 0 AS i, 0 AS state, '' AS edit FROM best
+  UNION ALL
+  SELECT conv, audit, k + 1, w.i + CAST(substr(audit, k, 1) <> 'I' AS INTEGER),
+         CASE substr(audit, k, 1) WHEN 'D' THEN state WHEN 'K' THEN CASE s.role WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END
+              ELSE CASE WHEN state = 2 THEN 3 ELSE 2 END END, substr(audit, k, 1)
+  FROM walk w LEFT JOIN (SELECT conv, i AS at, role FROM steps) s USING (conv)
+  WHERE k <= length(audit) AND (s.at = w.i + 1 OR (s.at = 1 AND w.i = (SELECT max(z.n) FROM rows z WHERE z.conv = w.conv)))),
+repaired AS (
+  SELECT w.conv, sha256(string_agg(CASE edit WHEN 'K' THEN full_role || ':' || text WHEN 'R' THEN made || ':' || text ELSE made || ':' END, chr(10) ORDER BY k)) AS h
+  FROM (SELECT *, CASE WHEN state = 3 THEN 'assistant' ELSE 'user' END AS made FROM walk WHERE edit IN ('K', 'R', 'I')) w
+  LEFT JOIN steps s ON s.conv = w.conv AND s.i = w.i AND edit <> 'I' GROUP BY w.conv),
+counted AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || role NOT IN ('su', 'ua', 'au')) AS illegal FROM marked GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('=' || conv_id, '') AS conv FROM conversations)
+LEFT JOIN counted USING (conv) LEFT JOIN best USING (conv) LEFT JOIN repaired USING (conv)"""
+
+
+@query("op12_conversation_repair", REPAIR_SQL)
+def op12_conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(turns), turns)
