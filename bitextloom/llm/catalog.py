@@ -18,6 +18,7 @@ from bitextloom.llm.minhash_dedup import near_groups
 from bitextloom.llm.passage_dedup import repeated_passages
 from bitextloom.llm.piece_codec import decode_ids, encode_texts
 from bitextloom.llm.source_mix import mix_sources
+from bitextloom.llm.suffix_dedup import strip_repeats
 from bitextloom.llm.token_count import count_tokens
 from bitextloom.llm.toxicity import score_toxicity
 
@@ -396,3 +397,11 @@ LEFT JOIN counted USING (conv) LEFT JOIN best USING (conv) LEFT JOIN repaired US
 def op12_conversation_repair(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     return repair_conversations(damaged(turns), turns)
+
+
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark, sf_dir):
+    kept = strip_repeats(table(spark, sf_dir, "documents"))
+    spans = F.size("spans").cast("long").alias("n_spans")
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed")
+    return kept.select("doc_id", "n_bytes", removed, spans, F.sha2("kept", 256).alias("kept_sha256"))
