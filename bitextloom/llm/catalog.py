@@ -399,7 +399,28 @@ def op12_conversation_repair(spark, sf_dir):
     return repair_conversations(damaged(turns), turns)
 
 
-@query("op13_suffix_dedup")
+SUFFIX_SQL = """
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (
+  SELECT row, i, md5(b[i:i + 399]) AS h FROM (SELECT row, b, unnest(generate_series(1, octet_length(b) - 399)) AS i FROM texts)),
+starts AS (SELECT row, i FROM windows JOIN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1) USING (h)),
+islands AS (
+  SELECT row, i, sum(fresh) OVER (PARTITION BY row ORDER BY i) AS island
+  FROM (SELECT row, i, CAST(coalesce(i - lag(i) OVER (PARTITION BY row ORDER BY i) > 400, TRUE) AS INTEGER) AS fresh FROM starts)),
+spans AS (SELECT row, min(i) AS a, max(i) + 399 AS z FROM islands GROUP BY row, island),
+-- What stays: up to each span from the one before it, and what is behind the last.
+pieces AS (
+  SELECT row, a, coalesce(lag(z) OVER (PARTITION BY row ORDER BY a), 0) + 1 AS low, a - 1 AS high FROM spans
+  UNION ALL SELECT row, max(z) + 1, max(z) + 1, octet_length(any_value(b)) FROM spans JOIN texts USING (row) GROUP BY row),
+kept AS (
+  SELECT row, unhex(string_agg(CASE WHEN low > high THEN '' ELSE hex(b[low:high]) END, '' ORDER BY a)) AS b FROM pieces JOIN texts USING (row) GROUP BY row),
+removed AS (SELECT row, CAST(sum(z - a + 1) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY row)
+SELECT doc_id, CAST(octet_length(t.b) AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(coalesce(k.b, t.b)) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (row) LEFT JOIN removed USING (row)"""
+
+
+@query("op13_suffix_dedup", SUFFIX_SQL)
 def op13_suffix_dedup(spark, sf_dir):
     kept = strip_repeats(table(spark, sf_dir, "documents"))
     spans = F.size("spans").cast("long").alias("n_spans")
