@@ -185,14 +185,14 @@ def write_by_rows_query(spark, sf_dir):
         FROM edge WHERE text IS NOT NULL AND {TOKENS} < 512""",
 )
 def write_by_size_query(spark, sf_dir):
-    """A limit below the table's size: several shards, none much above it."""
+    """A limit of a quarter of what the rows take up when stored: several shards, none above it."""
     rows = edge_documents(spark, sf_dir).where(f"text IS NOT NULL AND octet_length(text) < {512 * 3}")
-    megabytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] / 2**20 / 4
     source, out = scratch_path(spark, "by-size-source"), scratch_path(spark, "by-size")
-    rows.repartition(16).write.parquet(source)
-    write_by_size(spark.read.parquet(source), out, megabytes)
+    rows.repartition(16).write.option("compression", "zstd").parquet(source)
+    limit = list_files(spark, source, "*.parquet").agg(F.sum("bytes")).first()[0] // 4
+    write_by_size(spark.read.parquet(source), out, limit / 2**20)
     shards = shard_manifest(spark, out).agg(F.count("*").alias("n"), F.max("bytes").alias("largest")).first()
-    flags = F.lit(shards["n"] > 2).alias("several_shards"), F.lit(shards["largest"] <= 2 * megabytes * 2**20).alias("sized")
+    flags = F.lit(shards["n"] > 2).alias("several_shards"), F.lit(shards["largest"] <= limit).alias("sized")
     return spark.read.parquet(out).select("doc_id", "text", *flags)
 
 

@@ -18,9 +18,10 @@ from bitextloom.functions.numbers import int_div
 from bitextloom.functions.shards import shard_name, shard_number
 from bitextloom.operators.resume import next_shard_number
 from bitextloom.prefix import running_total
-from bitextloom.session import scoped_conf
-from bitextloom.sources.paths import list_files, rename, scan_targets
-from bitextloom.sources.positions import BROADCAST_FILES, file_count, file_path, row_index
+from bitextloom.session import scoped_conf, scratch_path
+from bitextloom.sinks.sizes import WEIGHT, row_weight, split_files_over, write_shards
+from bitextloom.sources.paths import list_files, remove, rename, scan_targets
+from bitextloom.sources.positions import file_count, file_path
 
 MB = 1024 * 1024
 # Part of the allowed shard size that is planned for; rows of one file vary in size.
@@ -113,29 +114,28 @@ def write_by_size(
     stored_ratio: float = 0.5,
     shuffle: bool = True,
     mode: str = "append",
+    fill: float = FILL,
 ) -> None:
-    """Files of about `max_mb` megabytes.
+    """Files of at most `max_mb` megabytes, but for files of a single row.
 
-    By default output is rebalanced: small task outputs merge and large ones
-    split on measured shuffle sizes, so a dominant input does not end in one
-    file. `stored_ratio` is stored bytes per shuffled byte. `shuffle=False`
-    sizes the input splits instead and moves nothing, with `stored_ratio` as
-    stored bytes per input byte; use it for filters that keep most rows.
+    By default the rows are stored once in the scratch folder, which gives the size model: what the codec makes
+    of each stretch of them. Their places on the line of stored bytes are cut into shards of `fill` times the limit, in the order of
+    the frame's partitions. `shuffle=False` sizes the input splits instead and moves nothing, with `stored_ratio` as stored
+    bytes per input byte; use it for filters that keep most rows. Either way the written files are
+    measured, and those over the limit, and no others, are split. With `mode="append"` that holds for all files of the folder.
     """
-    size = str(max(1, int(max_mb * MB / stored_ratio)))
+    spark, limit = df.sparkSession, max(1, int(max_mb * MB))
     if shuffle:
-        settings = {
-            "spark__sql__adaptive__enabled": "true",
-            "spark__sql__adaptive__advisoryPartitionSizeInBytes": size,
-            # The default keeps merging up to a megabyte, whatever the wanted size.
-            "spark__sql__adaptive__coalescePartitions__minPartitionSize": str(min(MB, int(size))),
-            "spark__sql__adaptive__coalescePartitions__parallelismFirst": "false",
-        }
-        df = df.hint("rebalance")
+        staged = scratch_path(spark, "sized")
+        weighed = df.withColumn(WEIGHT, row_weight(df))
+        _parquet(weighed, staged, "errorifexists")
+        rows = spark.read.schema(weighed.schema).parquet(staged)
+        write_shards(rows, df.columns, F.col(WEIGHT), max(1, int(limit * fill)), path, mode, _parquet)
+        remove(spark, staged)
     else:
-        settings = {"spark__sql__files__maxPartitionBytes": size}
-    with scoped_conf(df.sparkSession, **settings):
-        _parquet(df, path, mode)
+        with scoped_conf(spark, spark__sql__files__maxPartitionBytes=str(max(1, int(limit * fill / stored_ratio)))):
+            _parquet(df, path, mode)
+    split_files_over(spark, path, limit, fill, _parquet)
 
 
 def shard_manifest(
@@ -182,41 +182,15 @@ def reshard_for_publish(
     max_shard_size: str | int = PUBLISH_MAX_SHARD,
     fill: float = FILL,
 ) -> DataFrame:
-    """Rewrite parquet files as one split of shards below a size, in sorted-file order.
-
-    A row's place in bytes is known from its file: bytes of earlier files plus
-    its share of its own. Cutting that line into equal lengths gives the shard,
-    so files of long texts get more shards, and no pass over the rows is needed
-    to plan it. Rows of one file vary in size, so the written shards are
-    measured; while one is over the size, all are written again with shorter
-    lengths, unless it holds a single row. Returns the manifest.
+    """Rewrite parquet files as one split of shards below a size, in sorted-file order; returns the manifest.
+
+    A row's place in bytes is known from its file: bytes of earlier files plus its share of its own, by the rows before it.
+    Cutting that line into equal lengths gives the shard, so files of long texts get more shards, and no pass over the
+    texts is needed to plan it. Rows of one file vary in size, so the written shards are measured, and those over the size,
+    unless they hold a single row, are split where they stand.
     """
     df = spark.read.parquet(*scan_targets(spark, data_dir))
-    names, count = df.columns, file_count(df)
-    files = df.groupBy(file_path().alias("_file"), F.col("_metadata.file_size").alias("bytes")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    files = running_total(files, ["_file"], "bytes", "before", count)
-    total = files.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    limit = parse_size(max_shard_size)
-    if count <= BROADCAST_FILES:
-        files = F.broadcast(files)
-    target, mode = f"{out.rstrip('/')}/{split}", "errorifexists"
-    while True:
-        _write_shards(df, names, files, total, max(1, int(limit * fill)), target, mode)
-        written = shard_manifest(spark, target, split)
-        largest = written.where("rows > 1").agg(F.max("bytes")).first()[0]
-        if largest is None or largest <= limit:
-            return written
-        fill, mode = fill * 0.9 * limit / largest, "overwrite"
-
-
-def _write_shards(
-    df: DataFrame, names: list[str], files: DataFrame, total: int, shard_bytes: int, target: str, mode: str
-) -> None:
-    shards = total // shard_bytes + 1
-    place = F.col("before") + F.col("_index") / F.col("rows") * F.col("bytes")
-    shard = F.least(F.floor(place / shard_bytes), F.lit(shards - 1)).cast("int")
-    rows = df.select("*", file_path().alias("_file"), row_index().alias("_index")).join(files, "_file")
-    placed = rows.repartitionById(shards, shard).sortWithinPartitions("_file", "_index")
-    _parquet(placed.select(*names), target, mode)
+    target, limit = f"{out.rstrip('/')}/{split}", parse_size(max_shard_size)
+    write_shards(df, df.columns, F.lit(1), max(1, int(limit * fill)), target, "errorifexists", _parquet)
+    split_files_over(spark, target, limit, fill, _parquet)
+    return shard_manifest(spark, target, split)

@@ -140,3 +140,55 @@ def test_report_layout():
         "histogram:",
         "     0-199         2 (100.0%)",
     ]
+
+
+def hashed(count, low=0):
+    return F.concat_ws("-", *(F.xxhash64("id", F.lit(i)) for i in range(low, count)))
+
+
+SIZED = {
+    "incompressible": lambda spark: spark.range(30_000).select("id", hashed(6).alias("text")),
+    "one run of each": lambda spark: spark.range(30_000).coalesce(1).select(
+        "id", F.when(F.col("id") < 15_000, F.repeat(F.lit("same words "), 40)).otherwise(hashed(12)).alias("text")
+    ),
+    "few long texts": lambda spark: spark.range(400).select(
+        "id", F.when(F.col("id") % 40 == 7, F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda i: F.xxhash64("id", i)))).otherwise("x").alias("text")
+    ),
+    "nested": lambda spark: spark.range(20_000).select("id", F.array(hashed(3), hashed(6, 3)).alias("parts"), (F.col("id") % 2 == 0).alias("even")),
+}
+
+
+@pytest.mark.parametrize("kind", SIZED)
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_no_file_is_over_the_limit(spark, tmp_path, kind, shuffle):
+    out, df = str(tmp_path / "out"), SIZED[kind](spark)
+    write_by_size(df, out, max_mb=0.125, shuffle=shuffle)
+    files = shard_manifest(spark, out, "s").collect()
+    assert max(r["bytes"] for r in files) <= 2**17 and len(files) > 2
+    assert spark.read.parquet(out).exceptAll(df).count() == 0 == df.exceptAll(spark.read.parquet(out)).count()
+    if shuffle and kind != "few long texts":
+        assert sum(r["bytes"] for r in files) / len(files) > 2**17 / 3, "shards are not crumbs"
+
+
+def test_rows_over_the_limit_stay_alone_and_order_holds(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.range(60).coalesce(1).select("id", F.when(F.col("id") % 20 == 3, hashed(400)).otherwise("y").alias("text"))
+    write_by_size(df, out, max_mb=4000 / 2**20)
+    sizes = {r["rows"]: r["bytes"] for r in shard_manifest(spark, out, "s").orderBy("bytes").collect()}
+    assert all(rows == 1 or size <= 4000 for rows, size in sizes.items())
+    assert global_ordinal(spark.read.parquet(out)).where("id <> ordinal").count() == 0
+    write_by_size(spark.range(0).selectExpr("id", "'' as text"), str(tmp_path / "none"), max_mb=1)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_publishing_rewrites_only_what_is_over(spark, tmp_path):
+    """The long rows stand at the end of a file: its shards are cut by rows, so only the last ones are over."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.range(4000).coalesce(1).select("id", F.when(F.col("id") >= 3900, hashed(60)).otherwise(hashed(1)).alias("text"))
+    write_ordered(df.withColumn("ordinal", F.col("id")), source, total_rows=4000, files=1)
+    manifest = reshard_for_publish(spark, source, out, "train", 40_000)
+    rows = manifest.collect()
+    assert max(r["bytes"] for r in rows) <= 40_000 and sum(r["rows"] for r in rows) == 4000
+    names = [os.path.basename(r["path"]) for r in rows]
+    assert any(".s0000" in name for name in names) and any(".s0000" not in name for name in names)
+    assert global_ordinal(spark.read.parquet(f"{out}/train").drop("ordinal")).where("id <> ordinal").count() == 0
