@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bitextloom.functions.shards import next_shard_id, shard_number
-from bitextloom.sources.counts import parquet_footers
+from bitextloom.sources.counts import rows_per_file, unreadable_files
 from bitextloom.sources.paths import expand_paths, list_files, path_exists
 
 
@@ -33,23 +33,29 @@ def existing_rows(
 ) -> DataFrame:
     """Rows per shard of an output folder, from the footers: `shard, rows`.
 
-    An unreadable shard is left out (`skip`) or fails the job (`fail`). Leaving
+    An unreadable shard is left out (`skip`) or raises (`fail`). Leaving
     it out is safe with a keyed resume, which redoes its rows; a positional
     resume must use `fail`. `committed` counts only subfolders whose job
-    finished, by Spark's success mark.
+    finished, by Spark's success mark. Only shards that give no row are looked at one by one.
     """
+    none = spark.createDataFrame([], "shard string, rows bigint")
     if not path_exists(spark, path):
-        return spark.createDataFrame([], "shard string, rows bigint")
+        return none
     shards = list_files(spark, path, f"{prefix}-*.parquet" if prefix else "*.parquet")
     if committed:
         finished = [mark.split("/")[-2] for mark in expand_paths(spark, f"{path.rstrip('/')}/*/_SUCCESS")]
         shards = shards.where(F.element_at(F.split("path", "/"), -2).isin(finished))
-    footers = parquet_footers(shards.select("path"))
-    rows = F.col("rows")
-    if on_unreadable == "fail":
-        rows = F.coalesce(rows, F.raise_error(F.concat(F.lit("unreadable shard "), "path")).cast("bigint"))
-    counted = footers.select(F.element_at(F.split("path", "/"), -1).alias("shard"), rows.alias("rows"))
-    return counted if on_unreadable == "fail" else counted.where("rows IS NOT NULL")
+    paths = [row["path"] for row in shards.select("path").collect()]
+    if not paths:
+        return none
+    counted = rows_per_file(spark, paths)
+    silent = [row["path"] for row in shards.join(counted, "path", "left_anti").select("path").collect()]
+    broken = unreadable_files(spark, silent) if silent else []
+    if broken and on_unreadable == "fail":
+        raise ValueError(f"unreadable shard {broken[0]}")
+    empty = [(name, 0) for name in silent if name not in set(broken)]
+    counted = counted.union(spark.createDataFrame(empty, "path string, rows bigint"))
+    return counted.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "rows")
 
 
 def next_shard_number(spark: SparkSession, path: str, prefix: str) -> int:

@@ -2,10 +2,15 @@
 
 from bitextloom.sources.counts import (
     cached_count,
+    count_new_files,
     count_rows_jsonl,
     count_rows_parquet,
-    parquet_footers,
+    counted_files,
+    footer_count,
+    pushdown,
     resolve_max_samples,
+    rows_per_file,
+    unreadable_files,
 )
 from bitextloom.sources.paths import (
     expand_paths,

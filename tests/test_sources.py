@@ -197,3 +197,67 @@ def test_shared_folder_is_the_clusters_unless_it_names_none(spark):
     on_a_cluster.sparkContext.master = "spark://host:7077"
     with pytest.raises(ValueError):
         shared_folder(on_a_cluster)
+
+
+def test_counts_come_from_footers(spark, numbered_files):
+    from bitextloom.sources import footer_count, pushdown
+
+    paths = expand_paths(spark, numbered_files)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    with pushdown(spark):
+        counted = footer_count(spark, paths)
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan and counted.first()["rows"] == 100
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+
+
+def test_a_file_without_the_column_makes_the_count_unknown(spark, tmp_path):
+    """Stored nulls are values; a missing column is not, and neither is one of another name in its place."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from bitextloom.sources import unreadable_files
+
+    def write(name, **columns):
+        pq.write_table(pa.table(columns), tmp_path / f"{name}.parquet")
+        return str(tmp_path / f"{name}.parquet")
+
+    full, partly = write("a", n=[1, 2], t=["x", "y"]), write("b", t=["x", None, "z"])
+    nulls, empty = write("c", t=pa.array([None, None], pa.string())), write("d", t=pa.array([], pa.string()))
+    other, number = write("e", n=[1, 2, 3]), write("f", t=[1, 2])
+    assert count_rows_parquet(spark, [full, partly, nulls, empty], "t") == 7
+    assert count_rows_parquet(spark, [full, other], "t") is None and count_rows_parquet(spark, [other, nulls], "t") is None
+    assert count_rows_parquet(spark, [number], "t") == 2 and count_rows_parquet(spark, [empty], "t") == 0
+    assert count_rows_parquet(spark, [], "t") == 0
+    broken = [str(tmp_path / f"x{i}.parquet") for i in range(2)]
+    for path in broken:
+        with open(path, "w") as file:
+            file.write("PAR1 no")
+    assert unreadable_files(spark, [full, broken[0], partly, nulls, broken[1], empty]) == broken
+
+
+def test_only_new_and_changed_files_are_counted(spark, numbered_files, tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from bitextloom.sources import count_new_files, counted_files
+
+    state = str(tmp_path / "state")
+
+    def count(column="en_text"):
+        return count_new_files(spark, state, expand_paths(spark, numbered_files), column)
+
+    def opened():
+        return counted_files(spark, state).count()
+
+    files = len(expand_paths(spark, numbered_files))
+    assert (count(), opened()) == (100, files) and (count(), opened()) == (100, files)
+    os.utime(expand_paths(spark, numbered_files)[0], (1, 1))
+    assert (count(), opened()) == (100, files + 1)
+    pq.write_table(pa.table({"n": [100], "en_text": ["new"]}), f"{numbered_files}/part-900.parquet")
+    assert (count(), opened()) == (101, files + 2)
+    assert count("n") == 101 and opened() == 2 * files + 3
+    pq.write_table(pa.table({"n": [100]}), f"{numbered_files}/part-901.parquet")
+    assert count() is None and opened() == 2 * files + 3
