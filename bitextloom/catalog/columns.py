@@ -27,7 +27,6 @@ from bitextloom.functions import (
     resolve_limit_column,
     retry_delay,
     shard_name,
-    token_count,
 )
 from bitextloom.operators.filters import (
     drop_missing_text,
@@ -36,6 +35,7 @@ from bitextloom.operators.filters import (
     project_pair,
     route_error_rows,
 )
+from bitextloom.operators.word_tokens import token_counts
 
 
 @query("drop_missing_text", f"WITH {EDGE} SELECT doc_id, text FROM edge WHERE text IS NOT NULL")
@@ -104,8 +104,7 @@ def route_error_rows_query(spark, sf_dir):
 )
 def token_count_query(spark, sf_dir):
     """Texts with special tokens are refused; single bytes are the only tokens."""
-    counted = token_count(F.col("text"), byte_tokenizer())
-    return edge_documents(spark, sf_dir).select("doc_id", counted.alias("n_tokens"))
+    return token_counts(edge_documents(spark, sf_dir), ("doc_id",), byte_tokenizer())
 
 
 @query(
@@ -113,8 +112,7 @@ def token_count_query(spark, sf_dir):
     "SELECT doc_id, strlen(text) - (strlen(text) - strlen(replace(text, 'th', ''))) // 2 AS n_tokens FROM documents",
 )
 def token_count_merged_query(spark, sf_dir):
-    counted = token_count(F.col("text"), byte_tokenizer([b"th"]))
-    return documents(spark, sf_dir).select("doc_id", counted.alias("n_tokens"))
+    return token_counts(documents(spark, sf_dir), ("doc_id",), byte_tokenizer([b"th"]))
 
 
 @query("estimate_tokens", f"WITH {EDGE} SELECT doc_id, CAST({TOKENS} AS BIGINT) AS n_tokens FROM edge")

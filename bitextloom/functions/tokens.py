@@ -20,6 +20,7 @@ from bitextloom.functions.numbers import int_div
 from bitextloom.functions.text import has_special_token, prompt_turns, special_token_names
 
 FAILED = -1
+PLAIN_PATTERN = r"\S+|\s+"
 
 
 def estimate_tokens(text: Column) -> Column:
@@ -69,6 +70,11 @@ class Tokenizer:
     def load(self):
         return _load_encoding(self)
 
+    def split_pattern(self) -> str:
+        """The pattern that cuts texts into pieces, none of which a token crosses, with Unicode classes for the engine's regexes."""
+        pattern = self.pattern or (PLAIN_PATTERN if self.merges is not None else self.load()._pat_str)
+        return f"(?U){pattern}"
+
     def longest_token_bytes(self) -> int:
         """Bytes of the longest token: a text of n bytes has at least n / this tokens."""
         return max(len(token) for token in self.load().token_byte_values())
@@ -88,7 +94,7 @@ def _load_encoding(tokenizer: Tokenizer):
     specials = {name: len(ranks) + i for i, name in enumerate(tokenizer.specials())}
     return tiktoken.Encoding(
         name=tokenizer.name,
-        pat_str=tokenizer.pattern or r"\S+|\s+",
+        pat_str=tokenizer.pattern or PLAIN_PATTERN,
         mergeable_ranks=ranks,
         special_tokens=specials,
     )

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from bitextloom.defaults import PROFILE_BUCKET_SIZE, PROFILE_PERCENTS
 from bitextloom.functions.numbers import bucket_of, pct_of_total
 from bitextloom.functions.text import EMPTY, MISSING, OK, SPECIAL, text_class
-from bitextloom.functions.tokens import Tokenizer, estimate_tokens, token_count
+from bitextloom.functions.tokens import Tokenizer, estimate_tokens
+from bitextloom.operators.word_tokens import token_counts
 
 # Bucket numbers are generated in runs of this length, so no array grows with the data.
 SPINE_RUN = 4096
@@ -31,10 +32,12 @@ def token_frequencies(
         kind = text_class(content)
         tokens = F.when(kind == OK, estimate_tokens(content)).otherwise(F.lit(0).cast("bigint"))
     else:
-        counted = token_count(content, tokenizer)
+        kept = tuple(by)
+        state = F.when(content.isNull(), MISSING).when(content == "", EMPTY)
+        df = token_counts(df.select(*by, state.alias("_state"), content.alias("_content")), (*kept, "_state"), tokenizer, "_content", "_counted")
+        counted = F.col("_counted")
         kind = (
-            F.when(content.isNull(), MISSING)
-            .when(content == "", EMPTY)
+            F.when(F.col("_state").isNotNull(), F.col("_state"))
             .when(counted < 0, SPECIAL)
             .otherwise(OK)
         )
