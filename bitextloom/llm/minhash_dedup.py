@@ -18,37 +18,46 @@ from bitextloom.llm.tables import broadcast_if_small, stored, text_or_empty, wit
 WIDTH = 5
 # Similarity in percent.
 SIMILARITY = 80
-# Coordinates of a signature and matches a candidate needs. At a similarity of 0.8, seven of twenty are
+# Coordinates of a signature that are posted, and matches a candidate needs. At a similarity of 0.8, seven of twenty are
 # missed once in 500,000 pairs.
 COORDINATES = 20
 MATCHES = 7
+# Further coordinates, a byte each, that only colliding pairs compare, and the matches that they need. At a similarity of 0.8, fewer
+# than 84 of 128 match once in 40,000 pairs; at 0.6 one pair in nine has as many, below 0.5 none.
+SKETCH = 128
+SKETCH_MATCHES = 84
 SEED = 5
 # Pivots of a list that its members are compared with, turn by turn, before its components are compared completely.
-PIVOT_TURNS = (range(0, 1), range(1, 4))
+PIVOT_TURNS = (range(0, 1), range(1, 4), range(4, 16), range(16, 40))
+# From this pivot on a list is compared only if a quarter of it is one component by then.
+GROWN_TURN = 4
 # Shorter posting lists are joined with themselves; of longer ones a task compares so many members with as many others.
 SHORT_LIST = 64
 CHUNK = 1024
 
 
 def document_features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), signature (coordinate and value in one long each)."""
+    """doc_id, n_shingles, digest of the set (null if empty), signature (coordinate and value in one long each), sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    factors = multipliers(COORDINATES, SEED)
+    factors = multipliers(COORDINATES + SKETCH, SEED)
     place = np.arange(COORDINATES, dtype=np.int64)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, signatures = [], [], []
+            sizes, digests, signatures, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
                 found = shingle_set(text, width)
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                signatures.append((signature(found, factors).astype(np.int64) << 5) | place if len(found) else None)
-            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "sig"])
+                least = signature(found, factors)
+                signatures.append((least[:COORDINATES].astype(np.int64) << 5) | place if len(found) else None)
+                sketches.append(least[COORDINATES:].astype(np.uint8).tobytes() if len(found) else None)
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+            columns = [pa.array(c, k) for c, k in zip((sizes, digests, signatures, sketches), kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "digest", "sig", "sketch"])
 
     texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.mapInArrow(features, f"doc_id {kind}, n_shingles long, digest binary, sig array<long>")
+    return texts.mapInArrow(features, f"doc_id {kind}, n_shingles long, digest binary, sig array<long>, sketch binary")
 
 
 def posting_lists(classes: DataFrame) -> DataFrame:
@@ -72,14 +81,23 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
 
     Sets are built again from the texts, for the members of pairs that agree alone.
     """
-    sides = [classes.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}")) for s in "ab"]
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    met = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "pair-members")
+    held = classes.join(broadcast_if_small(met), "rep", "left_semi")
+    sides = [held.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
     near = (
-        pairs.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
+        pairs.join(sides[0], "a").join(sides[1], "b")
         .filter(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
         .filter(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)
-        .select("a", "b")
+        .select("a", "b", "sketch_a", "sketch_b")
     )
-    near = stored(near, "near-pairs")
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), np.uint8).reshape(-1, SKETCH) for s in "ab")
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= SKETCH_MATCHES, pa.bool_()))
+
+    near = stored(near.mapInArrow(agreeing, "a long, b long"), "near-pairs")
     members = stored(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-members")
     sets = shingle_sets(docs, members, width)
     both = near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(
@@ -112,8 +130,12 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
 
 def pivot_pairs(lists: DataFrame, turn: range) -> DataFrame:
     """Pairs of members with members of their list that are in another component: pivot 0 is the list's most
-    typical member, the others are drawn by a hash."""
-    several = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    typical member, the others are drawn by a hash. Late turns are for lists that a component has grown to fill in part."""
+    if turn.start < GROWN_TURN:
+        several = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    else:
+        shares = lists.groupBy("slot", "root").agg(F.count(F.lit(1)).alias("own"))
+        several = shares.groupBy("slot").agg(F.max("own").alias("most"), F.sum("own").alias("n")).filter("most < n and 4 * most >= n and most > 1")
     live = lists.join(several.select("slot"), "slot")
     drawn = [F.col("weight") if i == 0 else F.xxhash64("rep", F.lit(i)) for i in turn]
     picks = [F.max(F.struct(rank.alias("rank"), "rep", "root")).alias(f"p{i}") for i, rank in zip(turn, drawn)]
@@ -138,10 +160,10 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
     sides = [short.select("slot", F.col("rep").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"]
     joined = sides[0].join(sides[1], "slot").filter("a < b and root_a <> root_b").select("a", "b")
     rows = lists.select("slot", "rep", "root", "prefix").join(mixed.filter(F.col("n") > SHORT_LIST).drop("n"), "slot")
-    rows = rows.join(classes.select("rep", "n_shingles", "sig"), "rep")
+    rows = rows.join(classes.select("rep", "n_shingles", "sig", "sketch"), "rep")
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     rows = rows.withColumn("mine", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "prefix", "n_shingles", "sig")
+    rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "prefix", "n_shingles", "sig", "sketch")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         slot, i, j = key
@@ -152,7 +174,8 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
             coordinate = int(slot) & 31
             sig_r, n_r = np.stack(right["sig"].to_numpy()), right["n_shingles"].to_numpy()
             rep_r, root_r, mask_r = right["rep"].to_numpy(), right["root"].to_numpy(), right["prefix"].to_numpy()
-            for rep, root, mask, n, sig in zip(left["rep"], left["root"], left["prefix"], left["n_shingles"], left["sig"]):
+            sketches = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, SKETCH)
+            for rep, root, mask, n, sig, sketch in zip(*(left[c] for c in ("rep", "root", "prefix", "n_shingles", "sig", "sketch"))):
                 same = sig_r == sig[None, :]
                 good = (same.sum(axis=1) >= MATCHES) & (root_r != root)
                 good &= 100 * np.minimum(n, n_r) >= similarity * np.maximum(n, n_r)
@@ -161,7 +184,8 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
                 for t in range(coordinate):
                     if mask >> t & 1:
                         good &= ~(same[:, t] & ((mask_r >> t & 1) == 1))
-                hit = rep_r[good]
+                hit = np.flatnonzero(good)
+                hit = rep_r[hit[(sketches[hit] == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= SKETCH_MATCHES]]
                 a.extend([rep] * len(hit))
                 b.extend(hit.tolist())
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -179,8 +203,8 @@ def with_roots(lists: DataFrame, links: DataFrame) -> DataFrame:
 def near_links(docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame:
     """Links (a, b) between classes whose components are those of all similar pairs.
 
-    Members are compared with a list's most typical member first, then with three more; what is one component by
-    then needs no other link. Lists that still hold several components have all their crossing pairs compared, so no
+    Members are compared with a list's most typical member first, then with three more, then, where that has linked
+    much of the list, with dozens; what is one component by then needs no other link. Lists that still hold several components have all their crossing pairs compared, so no
     component is missed, and a large group of near copies costs a few comparisons for each copy.
     """
     lists = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists")
@@ -203,7 +227,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARIT
     classes = stored(
         features.filter("digest is not null and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")),
+        .agg(F.min("doc_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
         "classes",
     )
     links = near_links(docs, classes, width, similarity)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 from functools import lru_cache
 
 import sentencepiece
@@ -107,16 +108,20 @@ def pieces(path: str) -> Pieces:
 
 
 class WordTable(dict):
-    """word -> value, made once for each distinct word; bounded by starting anew, long words are not kept."""
+    """word -> value, made once for each distinct word; bounded in bytes by starting anew, long words are not kept."""
 
-    def __init__(self, make, words: int = 400_000, length: int = 48) -> None:
+    def __init__(self, make, size: int = 48 << 20, length: int = 48) -> None:
         super().__init__()
-        self.make, self.words, self.length = make, words, length
+        self.make, self.size, self.length = make, size, length
+        self.held = 0
 
     def __missing__(self, word: str):
         value = self.make(word)
         if len(word) <= self.length:
-            if len(self) >= self.words:
+            # An entry of the dictionary, the word, and the value with what it holds.
+            self.held += 120 + sys.getsizeof(word) + sys.getsizeof(value) + (36 * len(value) if isinstance(value, tuple) else 0)
+            if self.held > self.size:
                 self.clear()
+                self.held = 0
             self[word] = value
         return value

@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+# Shingles that are hashed by all functions at once.
+SLICE = 4096
+
 
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of the words: A-Z lower-cased, split at ASCII white space alone, as bytes do both."""
@@ -39,8 +42,12 @@ def multipliers(count: int, seed: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """For each factor the least 32-bit hash over the shingles."""
-    return ((shingles[None, :] * factors[:, None]) >> np.uint64(32)).min(axis=1)
+    """For each factor the least 32-bit hash over the shingles, some thousands of them at a time."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for first in range(0, len(shingles), SLICE):
+        part = shingles[None, first : first + SLICE] * factors[:, None]
+        np.minimum(least, part.min(axis=1), out=least)
+    return least >> np.uint64(32)
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:

@@ -23,6 +23,8 @@ BUCKETS = 1 << 16
 MIN_DOCUMENTS = 3
 FACTORS = 8
 THRESHOLD = 0.3
+# Texts whose terms are held at once.
+SCORED_ROWS = 128
 WORD = re.compile(r"\w+")
 PREFIXES = (4, 5)
 
@@ -180,7 +182,9 @@ def toxicity(model: FactorMachine, spark) -> Column:
         known = shared.value
         table = WordTable(known.terms)
         for batch in batches:
-            yield pd.Series(known.probability(*layout([text_terms(text or "", table) for text in batch])))
+            # The terms of so many texts at a time, however many rows a batch has.
+            parts = (batch.iloc[first : first + SCORED_ROWS] for first in range(0, max(1, len(batch)), SCORED_ROWS))
+            yield pd.Series(np.concatenate([known.probability(*layout([text_terms(text or "", table) for text in part])) for part in parts]))
 
     return F.pandas_udf(score, "double")(F.col("text").cast("string"))
 
