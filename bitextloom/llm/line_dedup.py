@@ -16,8 +16,12 @@ from bitextloom.llm.tables import broadcast_if_small, stored, text_or_empty
 
 MIN_LENGTH = 40
 MIN_DOCUMENTS = 5
-# 2^26 bits are 8 MB; a fuller filter only suspects more lines, which then shuffle for the exact count.
-FILTER_BITS = 1 << 26
+# Bits of the filters for each line, within 2^20 and 2^28 (32 MB) in all; a fuller filter only suspects more lines, which then
+# shuffle for the exact count.
+BITS_PER_LINE = 8
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+# Lost lines that are broadcast, at 16 bytes each.
+BROADCAST_LINES = 1_000_000
 
 
 def line_keys(text: str, min_length: int) -> list[bytes | None]:
@@ -40,7 +44,14 @@ def own_keys(text: str, min_length: int) -> set[bytes]:
     return keys
 
 
-def repeated_lines(docs: DataFrame, min_length: int, min_documents: int, bits: int) -> DataFrame:
+def filter_bits(texts: DataFrame) -> int:
+    """Bits for the number of lines, a power of two."""
+    ends = F.length("text") - F.length(F.replace("text", F.lit("\n")))
+    lines = texts.agg(F.coalesce(F.sum(ends + 1), F.lit(0))).first()[0]
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_LINE * lines).bit_length()))
+
+
+def repeated_lines(docs: DataFrame, min_length: int, min_documents: int, bits: int | None) -> DataFrame:
     """doc_id and the digests of the lines it loses, for each document that loses any.
 
     Two passes over the texts: the first fills the filters, the second sends the digests of lines suspected
@@ -53,7 +64,7 @@ def repeated_lines(docs: DataFrame, min_length: int, min_documents: int, bits: i
         found = [xxhash.xxh3_64_intdigest(key) for text in texts for key in own_keys(text, min_length)]
         return np.array(found, np.uint64)
 
-    twice = docs.sparkSession.sparkContext.broadcast(twice_seen(texts.select("text"), hashes, bits))
+    twice = docs.sparkSession.sparkContext.broadcast(twice_seen(texts.select("text"), hashes, bits or filter_bits(texts)))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = twice.value
@@ -72,23 +83,26 @@ def repeated_lines(docs: DataFrame, min_length: int, min_documents: int, bits: i
     lines = stored(texts.mapInArrow(suspects, f"doc_id {kind}, line binary"), "suspects")
     repeated = stored(
         lines.groupBy("line")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keep_id"))
+        .agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keep_id"))
         .filter(F.col("n") >= min_documents)
         .select("line", "keep_id"),
         "repeated",
     )
     lost = lines.join(broadcast_if_small(repeated), "line").filter(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    return lost.groupBy(F.col("doc_id").alias("loser")).agg(F.collect_set("line").alias("lost"))
+    lost = stored(lost.groupBy(F.col("doc_id").alias("loser")).agg(F.collect_set("line").alias("lost")), "lost-lines")
+    gone = lost.agg(F.coalesce(F.sum(F.size("lost")), F.lit(0))).first()[0]
+    return F.broadcast(lost) if gone <= BROADCAST_LINES else lost
 
 
 def dedup_lines(
-    docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, bits: int = FILTER_BITS
+    docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, bits: int | None = None
 ) -> DataFrame:
     """One row per row of `docs`: doc_id, text (what stays), n_lines, n_dropped.
 
     Lines whose key has `min_length` code points and is in `min_documents` documents stay only in the largest
-    doc_id that holds them. A null or empty text is one empty line. A null doc_id is smaller than any
-    other; repeated rows of one doc_id count as documents each and are treated alike.
+    doc_id that holds them. A null or empty text is one empty line. Rows of one doc_id are one document, and are treated alike; rows
+    without a doc_id are no document, but lose what they share with documents. `bits` is the size of the filters, by default from
+    the number of lines. While the lines lost are few enough to broadcast, no text is shuffled.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     lost = repeated_lines(docs, min_length, min_documents, bits)

@@ -35,13 +35,13 @@ def plain_lines(rows):
         kept = []
         for line in lines:
             k = key(line)
-            lost = len(k) >= 40 and len(holders[k]) >= 5 and low(doc_id) != max(map(low, holders[k]))
+            lost = len(k) >= 40 and len({i for i in holders[k] if i is not None}) >= 5 and low(doc_id) != max(map(low, holders[k]))
             kept += [] if lost else [line]
         out.append((doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bits", [1 << 8, BITS])
+@pytest.mark.parametrize("bits", [1 << 8, BITS, None])
 def test_line_dedup(edge, bits):
     """A saturated filter gives the same result."""
     rows = [(r.doc_id, r.text) for r in edge.collect()]
@@ -50,6 +50,18 @@ def test_line_dedup(edge, bits):
     assert sum(r[3] for r in got) > 10
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_line_dedup_counts_documents_not_rows(spark, monkeypatch, broadcast):
+    """Five rows of one id are one document; lost lines may also be joined by shuffle."""
+    if not broadcast:
+        monkeypatch.setattr("bitextloom.llm.line_dedup.BROADCAST_LINES", 0)
+    line, other = "x" * 40, "y" * 41
+    rows = [(1, line)] * 5 + [(2, f"{line}\n{other}")] + [(i, other) for i in (3, 4, 5, 6, None)]
+    got = [tuple(r) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=str) == plain_lines(rows)
+    assert (1, line, 1, 0) in got and (2, line, 2, 1) in got and (None, "", 1, 1) in got and (6, other, 1, 0) in got
+
+
 def test_line_dedup_clashing_and_empty(clashing, edge, none):
     left, right = dedup_lines(clashing, bits=BITS), dedup_lines(edge, bits=BITS)
     assert sorted(map(str, left.collect())) == sorted(map(str, right.collect()))
@@ -115,7 +127,7 @@ def test_license_scan(spark, none):
     ]
     got = {(r.doc_id, r.license, r.level) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {
-        (1, "MIT notice", "line"), (2, "MIT", "block"), (3, "Apache-2.0 header", "line"), (8, "MIT", "line"),
+        (1, "MIT notice", "line"), (2, "MIT", "block"), (2, "MIT", "text"), (3, "Apache-2.0 header", "line"), (8, "MIT", "line"),
     }
     assert scan_licenses(none).count() == 0
 
