@@ -20,7 +20,7 @@ from bitextloom.operators.enrich import (
     hybrid_enrich,
     rate_budgeted_enrich,
 )
-from bitextloom.operators.resume import existing_rows, reassemble_in_order, resume_pending
+from bitextloom.operators.resume import existing_rows, pending_ranges, reassemble_in_order, resume_pending
 from bitextloom.plans import (
     filter_corpus,
     profile_corpus,
@@ -196,6 +196,24 @@ def write_by_size_query(spark, sf_dir):
     return spark.read.parquet(out).select("doc_id", "text", *flags)
 
 
+@query(
+    "pending_ranges",
+    """WITH n AS (SELECT 30 * count(*) AS total FROM documents),
+       done AS (SELECT doc_id * 37 % total AS first, doc_id * 37 % total + n_chars % 40 AS last FROM documents, n),
+       open AS (SELECT pos FROM (SELECT unnest(generate_series(0, (SELECT total - 1 FROM n))) AS pos)
+                WHERE NOT EXISTS (SELECT 1 FROM done WHERE pos >= first AND pos < last)),
+       runs AS (SELECT pos, pos - row_number() OVER (ORDER BY pos) AS run FROM open),
+       cut AS (SELECT pos, run, (pos - min(pos) OVER (PARTITION BY run)) // 25 AS piece FROM runs)
+       SELECT min(pos) AS first, max(pos) + 1 AS last FROM cut GROUP BY run, piece""",
+)
+def pending_ranges_query(spark, sf_dir):
+    """What overlapping done ranges leave of thirty positions a document, in pieces of 25 at most."""
+    rows = documents(spark, sf_dir)
+    total = 30 * rows.count()
+    first = F.col("doc_id") * 37 % total
+    return pending_ranges(rows.select(first.alias("first"), (first + F.col("n_chars") % 40).alias("last")), total, 25)
+
+
 @query(
     "shard_manifest",
     f"""WITH {TENTHS}, n AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // (SELECT size FROM t) AS shard_id FROM documents)

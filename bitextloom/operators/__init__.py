@@ -53,6 +53,7 @@ from bitextloom.operators.rates import (
 from bitextloom.operators.resume import (
     existing_rows,
     next_shard_number,
+    pending_ranges,
     reassemble_in_order,
     resume_pending,
 )

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bitextloom.functions.shards import next_shard_id, shard_number
 from bitextloom.sources.counts import rows_per_file, unreadable_files
 from bitextloom.sources.paths import expand_paths, list_files, path_exists
 
+# Stretches of positions that done ranges are dealt by.
+STRETCHES = 4096
+
 
 def resume_pending(source: DataFrame, done: DataFrame, key: str = "row_id") -> DataFrame:
     """Rows of the source that the output does not hold yet; only keys of the output are read. A null key equals a null key."""
@@ -16,6 +19,32 @@ def resume_pending(source: DataFrame, done: DataFrame, key: str = "row_id") -> D
     return source.join(stored, F.col(key).eqNullSafe(F.col("_done")), "left_anti")
 
 
+def pending_ranges(done: DataFrame, end: int, size: int) -> DataFrame:
+    """Ranges `first, last` of at most `size` positions below `end` that no range of `done` (first, last) holds.
+
+    Done ranges may overlap, repeat, nest, be empty or reach beyond the end. A range is looked at with the
+    furthest end of all ranges that begin before it; where it begins later, there is a gap. Ranges are dealt by where they
+    begin; of each stretch only its furthest end is needed by the later ones, STRETCHES numbers in all, so no task sees the whole table.
+    """
+    stretch = max(1, -(-end // STRETCHES))
+    last_one = done.sparkSession.range(1).select(F.lit(end).cast("bigint").alias("first"), F.lit(end + 1).cast("bigint").alias("last"))
+    ranges = done.select(F.col("first").cast("bigint").alias("first"), F.col("last").cast("bigint").alias("last"))
+    ranges = ranges.where(f"last > first AND first < {end}").union(last_one)
+    # What begins before position 0 covers from there.
+    ranges = ranges.withColumn("stretch", F.expr(f"greatest(first, 0) div {stretch}"))
+    tops = ranges.groupBy("stretch").agg(F.max("last").alias("top"))
+    earlier = F.max("top").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
+    tops = tops.select("stretch", F.coalesce(earlier, F.lit(0)).alias("reached"))
+    inside = Window.partitionBy("stretch").orderBy("first", "last").rowsBetween(Window.unboundedPreceding, -1)
+    # At most STRETCHES + 1 rows.
+    met = ranges.join(F.broadcast(tops), "stretch").withColumn("low", F.greatest("reached", F.coalesce(F.max("last").over(inside), F.lit(0))))
+    gaps = met.where("first > low").select("low", F.col("first").alias("high"))
+    steps = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(high - low - 1) div {size}")))
+    cut = gaps.select("low", "high", steps.alias("step"))
+    first = F.col("low") + F.col("step") * size
+    return cut.select(first.alias("first"), F.least(first + size, F.col("high")).alias("last"))
+
+
 def reassemble_in_order(source: DataFrame, results: DataFrame, key: str = "row_id") -> DataFrame:
     """Every source row with its result, however the results arrived.
 

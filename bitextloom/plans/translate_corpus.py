@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 import os
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections import deque
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from threading import Lock
@@ -30,10 +31,10 @@ from bitextloom.defaults import (
 from bitextloom.functions.rates import Limits, resolve_limits
 from bitextloom.operators.backends import Backend, ChatBackend, api_chat, local_chat
 from bitextloom.operators.enrich import enrich_text, enrich_to_table, hybrid_enrich, rate_budgeted_enrich, sized_request
-from bitextloom.operators.resume import resume_pending
+from bitextloom.operators.resume import pending_ranges, resume_pending
 from bitextloom.session import scratch_path
 from bitextloom.sinks.parquet import write_ordered
-from bitextloom.sources.paths import expand_paths, fingerprint, path_exists, remove, scan_targets, split_list
+from bitextloom.sources.paths import expand_paths, fingerprint, list_files, path_exists, remove, scan_targets, split_list
 from bitextloom.sources.positions import file_offsets, first_jsonl_rows, rows_between, stage_jsonl
 from bitextloom.sources.readers import parse_jsonl
 from bitextloom.sources.state import StateLog
@@ -222,28 +223,28 @@ def translate_corpus(
         remove(spark, results)
         LOG.info("rows %s to %s of %s stored, %s failed", first, last, end, errors)
 
-    with ThreadPoolExecutor(1 if budgeted else max(1, in_flight)) as pool:
-        for finished in [pool.submit(run, piece) for piece in _gaps(done, end, size)]:
-            finished.result()
-    return sum(last - first for first, last in _committed(spark, manifest, out))
-
-
-def _gaps(done: list[tuple[int, int]], end: int, size: int) -> Iterator[tuple[int, int]]:
-    """Ranges of at most `size` positions below `end` that no done range holds."""
-    at = 0
-    for first, last in [*sorted(done), (end, end)]:
-        while at < min(first, end):
-            upto = min(at + size, first, end)
-            yield at, upto
-            at = upto
-        at = max(at, last)
-
-
-def _committed(spark: SparkSession, manifest: StateLog, out: str) -> list[tuple[int, int]]:
-    """Ranges of the manifest whose folder is there; a slice translated again counts once."""
-    folders = {int(path.rsplit("=", 1)[1]) for path in expand_paths(spark, f"{out.rstrip('/')}/slice=*/", suffix="")}
-    ranges = {row["first"]: row["last"] for row in manifest.read().orderBy("version").select("first", "last").collect()}
-    return sorted((first, last) for first, last in ranges.items() if first in folders)
+    # Stored, for the manifest grows while the slices run; the driver holds those in flight.
+    pending = scratch_path(spark, "pending")
+    pending_ranges(done, end, size).write.parquet(pending)
+    width, waiting = 1 if budgeted else max(1, in_flight), deque()
+    with ThreadPoolExecutor(width) as pool:
+        for piece in spark.read.parquet(pending).orderBy("first").toLocalIterator():
+            waiting.append(pool.submit(run, (piece["first"], piece["last"])))
+            while len(waiting) > 2 * width:
+                waiting.popleft().result()
+        while waiting:
+            waiting.popleft().result()
+    return _committed(spark, manifest, out).agg(F.coalesce(F.sum(F.col("last") - F.col("first")), F.lit(0))).first()[0]
+
+
+def _committed(spark: SparkSession, manifest: StateLog, out: str) -> DataFrame:
+    """Ranges `first, last` of the manifest whose folder is there; a slice translated again counts once."""
+    newest = manifest.read().groupBy("first").agg(F.max_by("last", "version").alias("last"))
+    if not path_exists(spark, out):
+        return newest.where(F.lit(False))
+    slices = list_files(spark, out, "*.parquet").select(F.regexp_extract("path", r"/slice=(\d+)/[^/]*$", 1).alias("name"))
+    there = slices.where("name <> ''").select(F.col("name").cast("bigint").alias("first")).distinct()
+    return newest.join(there, "first", "left_semi").select("first", "last")
 
 
 def translation_status(spark: SparkSession, state_path: str) -> DataFrame:

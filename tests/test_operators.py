@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.functions import byte_tokenizer
 from bitextloom.operators import (
+    pending_ranges,
     bucket_counts,
     filter_cap,
     filter_max_tokens,
@@ -131,3 +132,43 @@ def test_encoded_profile_classes(texts):
     row = profile_summary(token_frequencies(df, tokenizer=byte_tokenizer())).first()
     assert (row["samples"], row["missing_text"], row["empty_text"], row["skipped_special"]) == (4, 1, 1, 1)
     assert row["max_tokens"] == 4 and row["mean_tokens"] == 1.0
+
+
+def plain_gaps(done, end, size):
+    covered = bytearray(end)
+    for first, last in done:
+        first, last = max(0, first), min(end, last)
+        if last > first:
+            covered[first:last] = b"\1" * (last - first)
+    gaps, at = [], 0
+    while at < end:
+        if covered[at]:
+            at = covered.find(0, at)
+            at = end if at < 0 else at
+            continue
+        stop = covered.find(1, at)
+        stop = end if stop < 0 else stop
+        gaps += [(a, min(a + size, stop)) for a in range(at, stop, size)]
+        at = stop
+    return gaps
+
+
+@pytest.mark.parametrize(
+    ("done", "end", "size"),
+    [([], 10, 3), ([], 0, 3), ([(0, 10)], 10, 3), ([(2, 4), (2, 4), (3, 9)], 12, 2), ([(-5, 2), (20, 30), (4, 4), (7, 5)], 9, 100),
+     ([(0, 9000), (8000, 8001), (8999, 9001)], 20_000, 700), ([(5, 6)], 7, 1)],
+)
+def test_pending_ranges(spark, done, end, size):
+    rows = spark.createDataFrame(done, "first long, last long")
+    assert sorted(map(tuple, pending_ranges(rows, end, size).collect())) == plain_gaps(done, end, size)
+
+
+def test_a_million_overlapping_ranges(spark):
+    end = 30_000_000
+    start = F.pmod(F.xxhash64("id"), F.lit(end))
+    length = F.pmod(F.xxhash64("id", F.lit(1)), F.when(F.col("id") % 1000 == 0, 5000).otherwise(40))
+    rows = spark.range(1_000_000).select(start.alias("first"), (start + length).alias("last"))
+    found = pending_ranges(rows, end, 64)
+    table = rows.toPandas()
+    assert sorted(map(tuple, found.collect())) == plain_gaps(list(zip(table["first"], table["last"])), end, 64)
+    assert "CollectLimit" not in found._jdf.queryExecution().executedPlan().toString()
