@@ -33,7 +33,7 @@ from bitextloom.plans import (
 from bitextloom.session import scoped_conf, scratch_path
 from bitextloom.sinks import reshard_for_publish, shard_manifest, write_by_rows, write_by_size, write_ordered
 from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files, stream_jsonl
-from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files
+from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files, run_state, wait_for_stop
 
 BLANK = "coalesce(text, '') = ''"
 PAIR = f"coalesce(text, '') AS text_en, CASE WHEN {BLANK} THEN '' ELSE '[ja] ' || text END AS text_ja"
@@ -357,6 +357,23 @@ def live_progress_query(spark, sf_dir):
     return seen.agg(*(F.sum(name).alias(name) for name in ("processed", "skipped", "skipped_special", "kept")))
 
 
+@query(
+    "run_state",
+    """SELECT false AS alive, 4::BIGINT AS files_done, 0::BIGINT AS files_in_flight, 2::BIGINT AS files_pending,
+        count(*) AS rows_done, 0::BIGINT AS rows_in_flight, count(*) FILTER (WHERE doc_id % 5 = 0) AS rows_pending FROM documents""",
+)
+def run_state_query(spark, sf_dir):
+    """A watched run over four files of the table, and two files that came after it."""
+    source, watch = scratch_path(spark, "watched-source"), scratch_path(spark, "watch")
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    rows.repartition(4).write.parquet(source)
+    stream = read_new_files(spark, source, "doc_id bigint, text string", files_per_batch=2)
+    incremental_filter(stream, scratch_path(spark, "watched-kept"), scratch_path(spark, "watched-mark"), watch=watch).awaitTermination()
+    wait_for_stop(spark, watch)
+    rows.where("doc_id % 5 = 0").repartition(2).write.mode("append").parquet(source)
+    return run_state(spark, watch, source)
+
+
 @query(
     "filter_corpus",
     f"""SELECT count(*) AS processed, count(*) FILTER (WHERE {SPECIAL}) AS skipped_special,

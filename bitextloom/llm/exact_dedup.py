@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bitextloom.llm.tables import stored, text_or_empty, without_ids
+from bitextloom.llm.tables import kept_rows, stored, text_or_empty
 
 # Digests of more than this share of all rows are surely found, so at most 1 / SUPPORT are broadcast.
 SUPPORT = 1 / 1024
@@ -59,9 +59,10 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """`docs` without the copies that `exact_groups` does not keep; all columns stay as they are.
+    """`docs` without the copies that `exact_groups` does not keep, by doc_id and text; all columns stay as they are.
 
-    Rows without a doc_id stay: nothing names them.
+    One row of each text stays: of rows equal in doc_id and text any one, as they differ in other columns alone; of a text
+    that only rows without a doc_id have, any one of those.
     """
-    losers = exact_groups(docs, support).filter("not kept and doc_id is not null").select("doc_id")
-    return without_ids(docs, stored(losers, "exact-losers"))
+    decided = exact_groups(docs, support).select("doc_id", F.unhex("text_sha256").alias("digest"), "kept")
+    return kept_rows(docs, stored(decided, "exact-decided"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from bitextloom.llm.components import connected_components
 from bitextloom.llm.shingles import multipliers, shared, shingle_set, signature
-from bitextloom.llm.tables import broadcast_if_small, stored, text_or_empty, without_ids
+from bitextloom.llm.tables import broadcast_if_small, kept_rows, stored, text_digest, text_or_empty
 
 WIDTH = 5
 # Similarity in percent.
@@ -37,7 +37,7 @@ CHUNK = 1024
 
 
 def document_features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), signature (coordinate and value in one long each), sketch."""
+    """doc_id, digest of the text, n_shingles, digest of the set (null if empty), signature (coordinate and value in one long each), sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     factors = multipliers(COORDINATES + SKETCH, SEED)
     place = np.arange(COORDINATES, dtype=np.int64)
@@ -54,10 +54,11 @@ def document_features(docs: DataFrame, width: int) -> DataFrame:
                 sketches.append(least[COORDINATES:].astype(np.uint8).tobytes() if len(found) else None)
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
             columns = [pa.array(c, k) for c, k in zip((sizes, digests, signatures, sketches), kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "digest", "sig", "sketch"])
+            given = [batch.column("doc_id"), batch.column("text_digest")]
+            yield pa.RecordBatch.from_arrays([*given, *columns], ["doc_id", "text_digest", "n_shingles", "digest", "sig", "sketch"])
 
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    return texts.mapInArrow(features, f"doc_id {kind}, n_shingles long, digest binary, sig array<long>, sketch binary")
+    texts = docs.select("doc_id", text_or_empty().alias("text"), text_digest().alias("text_digest"))
+    return texts.mapInArrow(features, f"doc_id {kind}, text_digest binary, n_shingles long, digest binary, sig array<long>, sketch binary")
 
 
 def posting_lists(classes: DataFrame) -> DataFrame:
@@ -223,6 +224,11 @@ def near_groups(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARIT
     an empty set and are linked with nothing. Rows without a doc_id are linked with nothing either and stay, with
     a null component_id. Rows that share a doc_id are one document for links.
     """
+    return row_groups(docs, width, similarity).drop("text_digest")
+
+
+def row_groups(docs: DataFrame, width: int, similarity: int) -> DataFrame:
+    """`near_groups` with the digest of each row's text."""
     features = stored(document_features(docs, width), "features")
     classes = stored(
         features.filter("digest is not null and doc_id is not null")
@@ -234,14 +240,17 @@ def near_groups(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARIT
     found = connected_components(links).select(F.col("node").alias("rep"), "component")
     named = classes.select("digest", "rep", "copies").join(found, "rep", "left")
     named = named.filter("copies > 1 or component is not null").select("digest", F.coalesce("component", "rep").alias("component"))
-    joined = features.select("doc_id", "n_shingles", "digest").join(broadcast_if_small(stored(named, "named")), "digest", "left")
+    joined = features.select("doc_id", "text_digest", "n_shingles", "digest").join(broadcast_if_small(stored(named, "named")), "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", F.col("doc_id").cast("long")))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return joined.select("doc_id", "text_digest", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
 
 def drop_near_copies(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
-    """`docs` with one document of each group of near copies, that with the smallest doc_id."""
-    losers = near_groups(docs, width, similarity).filter("not kept").select("doc_id")
-    return without_ids(docs, stored(losers, "near-losers"))
+    """`docs` with one document of each group of near copies, that with the smallest doc_id, by doc_id and text.
+
+    Rows without a doc_id, and texts without words, stay; of rows equal in doc_id and text any one does.
+    """
+    decided = row_groups(docs, width, similarity).select("doc_id", F.col("text_digest").alias("digest"), "kept")
+    return kept_rows(docs, stored(decided, "near-decided"))

@@ -26,6 +26,32 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def text_digest():
+    return F.unhex(F.sha2(text_or_empty().cast("binary"), 256))
+
+
+def kept_rows(df: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of `df` that `decided` keeps: a row is known by its doc_id and the digest of its text, one row of equal ones stays.
+
+    `decided` (stored) has doc_id, digest and kept of every row. Null equals null. Columns of `df` may have any names. Texts are
+    shuffled only where the rows to drop are too many to broadcast, or are repeated rows.
+    """
+    names = [f"`{name}`" for name in df.columns]
+    mine = df.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), text_digest().alias("digest"))
+
+    def among(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = broadcast_if_small(keys.select(F.col("doc_id").alias("other_id"), F.col("digest").alias("other")))
+        return rows.join(keys, F.col("id").eqNullSafe(F.col("other_id")) & F.col("digest").eqNullSafe(F.col("other")), how)
+
+    lost = stored(decided.filter("not kept").select("doc_id", "digest").distinct(), "lost-rows")
+    stay = among(mine, lost, "left_anti")
+    again = decided.filter("kept").groupBy("doc_id", "digest").count().filter("count > 1")
+    again = stored(again.select("doc_id", "digest"), "repeated-rows")
+    if not again.isEmpty():
+        stay = among(stay, again, "left_anti").union(among(stay, again, "left_semi").dropDuplicates(["id", "digest"]))
+    return stay.select("row.*")
+
+
 def without_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of `df` whose doc_id is not among the (stored) `ids`; rows without an id stay.
 

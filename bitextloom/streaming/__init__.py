@@ -6,5 +6,6 @@ from bitextloom.streaming.incremental import (
     live_progress,
     read_new_files,
 )
+from bitextloom.streaming.watch import RunWatch, run_state, wait_for_stop
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -18,6 +18,7 @@ from bitextloom.operators.enrich import enrich_text
 from bitextloom.operators.filters import fate, fate_counters
 from bitextloom.sources.paths import path_exists
 from bitextloom.sources.state import StateLog
+from bitextloom.streaming.watch import RunWatch, with_files
 
 FILES_PER_BATCH = 1000
 COUNTERS = ("processed", "skipped", "skipped_special", "kept", "over_limit")
@@ -90,12 +91,14 @@ def incremental_filter(
     keep: tuple[str, ...] = (),
     tokenizer: Tokenizer | None = None,
     progress: str | None = None,
+    watch: str | None = None,
 ) -> StreamingQuery:
     """Filter new rows into `out/batch_id=<n>/`; returns the started query.
 
     A batch replaces its own folder, so a replay after a failure adds no rows.
     Its counters are observed while it is written and then stored in the table
-    `progress`, one row for each batch, for `live_progress`.
+    `progress`, one row for each batch, for `live_progress`. The table `watch` gets the events of the run, for
+    `run_state`; the stream must then be one of files.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
@@ -108,8 +111,13 @@ def incremental_filter(
             row = (batch_id, *(seen.get[name] for name in COUNTERS))
             batch.sparkSession.createDataFrame([row], BATCH_COUNTERS).coalesce(1).write.mode("append").parquet(progress)
 
+    each = save
+    if watch is not None:
+        listener = RunWatch(stream.sparkSession, watch)
+        stream, each = with_files(stream), listener.watched(save, stream.columns)
+        stream.sparkSession.streams.addListener(listener)
     return (
-        stream.writeStream.foreachBatch(save)
+        stream.writeStream.foreachBatch(each)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -13,9 +13,9 @@ import sentencepiece
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent.parent))
 
 import corpus_pipeline  # noqa: E402
-from bitextloom.llm.catalog import QUERIES  # noqa: E402
-from bitextloom.llm.source_mix import mix_sources  # noqa: E402
-from bitextloom.llm.toxicity import score_toxicity  # noqa: E402
+from bitextloom.llm.catalog import QUERIES, qualities  # noqa: E402
+from bitextloom.llm.source_mix import mix_sources, take_mix  # noqa: E402
+from bitextloom.llm.toxicity import drop_toxic, score_toxicity  # noqa: E402
 
 TABLES = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="no tables")
@@ -70,7 +70,7 @@ def test_stages_in_order(spark):
     assert kept.columns == texts.columns == single.columns == documents.columns
 
     mixed = mix(spark, documents, TABLES)
-    copies = Counter({r.doc_id: r.copies for r in mix_sources(documents).collect()})
+    copies = Counter({r.doc_id: r.copies for r in mix_sources(documents, qualities(spark, TABLES)).collect()})
     assert mixed.columns == documents.columns and Counter(r.doc_id for r in mixed.collect()) == +copies
 
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -101,4 +101,42 @@ def test_run_is_the_stages_one_after_another(spark):
 
 def test_queries_are_registered_once_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
+
+
+ROWS = "doc_id long, text string, source string, digest string, kept string, row string, id string"
+
+
+def test_dedup_stages_go_by_id_and_text(spark):
+    """One id on rows of several texts, rows without an id, repeated rows, empty texts, clashing columns."""
+    base = " ".join(f"word{i}" for i in range(60))
+    near = base.replace("word59", "other")
+    rows = [(1, "copied"), (1, "unique"), (9, "copied"), (9, base), (9, "alone here"), (2, near), (3, "twice"), (3, "twice"),
+            (None, "no id"), (None, "no id"), (None, "copied"), (4, None), (5, ""), (6, " "), (7, base)]
+    docs = spark.createDataFrame([(i, t, "s", "d", "k", "r", "x") for i, t in rows], ROWS)
+    exact, near_stage = (dict(corpus_pipeline.STAGES)[name] for name in ("exact dedup", "near dedup"))
+
+    def left(stage, docs):
+        kept = stage(spark, docs, TABLES)
+        assert kept.columns == docs.columns and {tuple(r)[2:] for r in kept.collect()} <= {("s", "d", "k", "r", "x")}
+        return sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+
+    want = [(1, "unique"), (9, "copied"), (9, base), (9, "alone here"), (2, near), (3, "twice"), (None, "no id"), (5, ""), (6, " ")]
+    assert left(exact, docs) == sorted(want, key=str)
+    want = [(1, "copied"), (1, "unique"), (9, "alone here"), (2, near), (3, "twice"), (None, "no id"), (None, "copied"), (4, None), (5, ""), (6, " ")]
+    assert left(near_stage, docs) == sorted(want, key=str)
+    for stage in (exact, near_stage):
+        assert left(stage, docs.limit(0)) == []
+
+
+def test_all_stages_on_awkward_tables(spark, edge, none, clashing):
+    """Every stage takes what the one before it left, and gives the columns it was given."""
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet").limit(0)
+    for docs in (edge, none, clashing):
+        for name, stage in corpus_pipeline.STAGES[1:3] + corpus_pipeline.STAGES[4:]:
+            kept = stage(spark, docs, TABLES)
+            assert (kept.columns == docs.columns) == (name != "encode")
+            assert kept.count() <= docs.count()
+        assert drop_toxic(docs, labels).columns == docs.columns and drop_toxic(docs, labels).count() == docs.count()
+        taken = take_mix(docs)
+        assert taken.columns == docs.columns and taken.count() <= 3 * docs.count()
