@@ -33,6 +33,8 @@ from bitextloom.operators.rates import (
     round_robin_assign,
     tier_plan,
 )
+from bitextloom.operators.sketches import rank_error, sketch_percentiles, store_sketches, stored_sketches, token_sketches
+from bitextloom.session import scratch_path
 
 COUNTERS = f"""count(*) AS processed, count(*) FILTER (WHERE text IS NULL) AS skipped,
   count(*) FILTER (WHERE text IS NOT NULL AND {SPECIAL}) AS skipped_special,
@@ -105,6 +107,31 @@ def profile_encoded_query(spark, sf_dir):
     return profile_summary(token_frequencies(edge_documents(spark, sf_dir), tokenizer=byte_tokenizer()))
 
 
+@query(
+    "sketch_percentiles",
+    f"""WITH {CLASSED} SELECT lang, count(*) AS samples, min(n) AS min_tokens, max(n) AS max_tokens, true AS p50_within, true AS p90_within,
+        true AS p99_within FROM counted GROUP BY lang""",
+)
+def sketch_percentiles_query(spark, sf_dir):
+    """Sketches of a fifth of each language, stored and merged; their percentiles lie within the bound of the exact ranks."""
+    path, rows = scratch_path(spark, "sketches"), edge_documents(spark, sf_dir)
+    part = F.concat_ws("/", F.coalesce("lang", F.lit("")), (F.col("doc_id") % 5).cast("string"))
+    store_sketches(token_sketches(rows, part), path)
+    lang = F.nullif(F.substring_index("part", "/", 1), F.lit("")).alias("lang")
+    merged = sketch_percentiles(stored_sketches(spark, path).select(lang, "samples", "sketch"), ("lang",))
+    freq = token_frequencies(rows, by=("lang",)).withColumnRenamed("lang", "_lang")
+    joined = freq.join(F.broadcast(merged), F.col("_lang").eqNullSafe(F.col("lang")))
+    names = ("p50", "p90", "p99")
+    ranks = [F.sum(F.when(F.col("n_tokens") < F.col(p), F.col("cnt")).otherwise(0)) for p in names]
+    upto = [F.sum(F.when(F.col("n_tokens") <= F.col(p), F.col("cnt")).otherwise(0)) for p in names]
+    slack = F.col("samples") * rank_error() + 1
+    checks = [
+        ((low <= F.col("samples") * int(p[1:]) / 100 + slack) & (high >= F.col("samples") * int(p[1:]) / 100 - slack)).alias(f"{p}_within")
+        for p, low, high in zip(names, ranks, upto)
+    ]
+    return joined.groupBy("lang", "samples", "min_tokens", "max_tokens").agg(*checks)
+
+
 BUCKETS = f"""{CLASSED}, filled AS (SELECT n // 200 AS bucket, count(*) AS cnt FROM counted GROUP BY 1),
   spine AS (SELECT unnest(generate_series(0::BIGINT, (SELECT max(bucket) FROM filled))) AS bucket),
   bars AS (SELECT bucket, coalesce(cnt, 0) AS cnt FROM spine LEFT JOIN filled USING (bucket))"""

@@ -57,6 +57,13 @@ from bitextloom.operators.resume import (
     reassemble_in_order,
     resume_pending,
 )
+from bitextloom.operators.sketches import (
+    rank_error,
+    sketch_percentiles,
+    store_sketches,
+    stored_sketches,
+    token_sketches,
+)
 from bitextloom.operators.word_tokens import token_counts, word_table
 
 __all__ = [name for name in dir() if not name.startswith("_")]
