@@ -77,12 +77,14 @@ def posting_lists(classes: DataFrame) -> DataFrame:
     return own.select("rep", "weight", "prefix", "one.slot", "one.n")
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
-    """Of the pairs (a, b) those whose signatures agree often enough and whose whole sets are similar enough.
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame | None:
+    """Of the pairs (a, b) those whose signatures agree often enough and whose whole sets are similar enough; None if there are none.
 
     Sets are built again from the texts, for the members of pairs that agree alone.
     """
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    if pairs.isEmpty():
+        return None
     met = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "pair-members")
     held = classes.join(broadcast_if_small(met), "rep", "left_semi")
     sides = [held.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
@@ -99,6 +101,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= SKETCH_MATCHES, pa.bool_()))
 
     near = stored(near.mapInArrow(agreeing, "a long, b long"), "near-pairs")
+    if near.isEmpty():
+        return None
     members = stored(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-members")
     sets = shingle_sets(docs, members, width)
     both = near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(
@@ -114,7 +118,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 keep.append(100 * common >= similarity * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "near-links")
+    links = stored(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "near-links")
+    return None if links.isEmpty() else links
 
 
 def shingle_sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
@@ -195,26 +200,46 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
     return joined.union(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
-def with_roots(lists: DataFrame, links: DataFrame) -> DataFrame:
+def merged_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """rep and root (the smallest rep of its component) of every rep that has been linked, after some more links.
+
+    Only links between different roots are contracted, so a late turn costs as little as it adds.
+    """
+    reps = links.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    if roots is None:
+        roots = reps.withColumn("root", F.col("rep"))
+        between = links
+    else:
+        roots = stored(roots.union(reps.join(roots, "rep", "left_anti").withColumn("root", F.col("rep"))), "all-roots")
+        ends = [roots.select(F.col("rep").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"]
+        between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    moved = connected_components(between).select(F.col("node").alias("root"), F.col("component").alias("found"))
+    return stored(roots.join(moved, "root", "left").select("rep", F.coalesce("found", "root").alias("root")), "roots")
+
+
+def with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
     """`lists` with the component of each member so far."""
-    found = connected_components(links).select(F.col("node").alias("rep"), F.col("component").alias("found"))
+    found = broadcast_if_small(roots.withColumnRenamed("root", "found"))
     return stored(lists.drop("root").join(found, "rep", "left").withColumn("root", F.coalesce("found", "rep")).drop("found"), "lists")
 
 
-def near_links(docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame:
-    """Links (a, b) between classes whose components are those of all similar pairs.
+def near_roots(docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame | None:
+    """`merged_roots` over links of classes whose components are those of all similar pairs; None if there is no link.
 
     Members are compared with a list's most typical member first, then with three more, then, where that has linked
-    much of the list, with dozens; what is one component by then needs no other link. Lists that still hold several components have all their crossing pairs compared, so no
-    component is missed, and a large group of near copies costs a few comparisons for each copy.
+    much of the list, with dozens; what is one component by then needs no other link. Lists that still hold several components
+    have all their crossing pairs compared, so no component is missed, and a large group of near copies costs a
+    few comparisons for each copy.
     """
-    lists = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists")
-    links = None
-    for turn in PIVOT_TURNS:
-        more = verified(pivot_pairs(lists, turn), classes, docs, width, similarity)
-        links = more if links is None else stored(links.union(more), "near-links")
-        lists = with_roots(lists, links)
-    return links.union(verified(crossing_pairs(lists, classes, similarity), classes, docs, width, similarity))
+    lists, roots = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists"), None
+    for turn in (*PIVOT_TURNS, None):
+        pairs = crossing_pairs(lists, classes, similarity) if turn is None else pivot_pairs(lists, turn)
+        links = verified(pairs, classes, docs, width, similarity)
+        if links is not None:
+            roots = merged_roots(roots, links)
+            if turn is not None:
+                lists = with_roots(lists, roots)
+    return roots
 
 
 def near_groups(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
@@ -236,9 +261,10 @@ def row_groups(docs: DataFrame, width: int, similarity: int) -> DataFrame:
         .agg(F.min("doc_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")),
         "classes",
     )
-    links = near_links(docs, classes, width, similarity)
-    found = connected_components(links).select(F.col("node").alias("rep"), "component")
-    named = classes.select("digest", "rep", "copies").join(found, "rep", "left")
+    roots = near_roots(docs, classes, width, similarity)
+    named = classes.select("digest", "rep", "copies").withColumn("component", F.lit(None).cast("long"))
+    if roots is not None:
+        named = named.drop("component").join(roots.withColumnRenamed("root", "component"), "rep", "left")
     named = named.filter("copies > 1 or component is not null").select("digest", F.coalesce("component", "rep").alias("component"))
     joined = features.select("doc_id", "text_digest", "n_shingles", "digest").join(broadcast_if_small(stored(named, "named")), "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", F.col("doc_id").cast("long")))
