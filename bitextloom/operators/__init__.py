@@ -18,6 +18,7 @@ from bitextloom.operators.caps import (
 from bitextloom.operators.enrich import (
     Budget,
     budget_slots,
+    calling_profile,
     enrich_report,
     enrich_text,
     enrich_to_table,

@@ -17,6 +17,7 @@ from queue import SimpleQueue
 from threading import Lock
 
 import pandas as pd
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -197,6 +198,7 @@ def _enrich(
     text: str,
     limits: dict[str, Limits] | None = None,
     on_error: str = "blank",
+    profile: ResourceProfile | None = None,
     **options,
 ) -> DataFrame:
     if df.sparkSession.sparkContext.getConf().get("spark.speculation", "false") == "true":
@@ -209,7 +211,22 @@ def _enrich(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _enrich_batches(batches, backends, limits or {}, options, SOURCE_COLUMN, columns)
 
-    return route_error_rows(source.mapInPandas(run, schema), on_error)
+    called = source.mapInPandas(run, schema, barrier=bool(limits) and _waves_allowed(source), profile=profile)
+    return route_error_rows(called, on_error)
+
+
+def _waves_allowed(df: DataFrame) -> bool:
+    """Whether tasks can be made to run all at once: not where executors come and go with the load."""
+    return df.sparkSession.sparkContext.getConf().get("spark.dynamicAllocation.enabled", "false") != "true"
+
+
+def calling_profile(cpus: int = 1, **resources: float) -> ResourceProfile:
+    """Resources that each task of a calling stage takes: with c cores a machine it runs c / `cpus` of them, whatever
+    the other stages do. Further resources by name, such as `gpu=0.25`. Local sessions have none."""
+    wanted = TaskResourceRequests().cpus(cpus)
+    for name, amount in resources.items():
+        wanted = wanted.resource(name, amount)
+    return ResourceProfileBuilder().require(wanted).build
 
 
 def enrich_text(
@@ -226,7 +243,8 @@ def enrich_text(
     status `error` and the run goes on; `on_error="keep_source"` keeps its text.
     The stage is narrow: rows are neither moved nor gathered. At most
     `tasks * max_in_flight` calls are open at a time; `tasks` merges partitions
-    to bound that, or deals rows out to more, before any call is made.
+    to bound that, or deals rows out to more, before any call is made. A `profile` (of `calling_profile`)
+    gives the calling stage task resources of its own.
     """
     source = _in_tasks(df, tasks) if tasks else df
     return _enrich(source, {backend.name: backend}, key, text, **options)
@@ -299,8 +317,9 @@ def rate_budgeted_enrich(
 ) -> DataFrame:
     """Translate within requests and tokens per minute.
 
-    The budget is split evenly over tasks that run in one wave. A rerun task
-    starts with an empty window and relies on the retry of rate-limit errors.
+    The budget is split evenly over tasks that run in one wave: a barrier stage starts all of them or, with fewer
+    slots than that, fails at once (so take no `limit` of the result before it is stored). A rerun starts with empty windows and
+    relies on the retry of rate-limit errors.
     """
     by_name = {backend.name: backend}
     dealt, shares = _deal(df, by_name, {backend.name: limits}, text, tasks)

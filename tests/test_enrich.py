@@ -10,6 +10,7 @@ from bitextloom.operators import (
     PrefixBackend,
     api_chat,
     budget_slots,
+    calling_profile,
     enrich_report,
     enrich_text,
     enrich_to_table,
@@ -186,6 +187,29 @@ def test_budget_is_split_over_one_wave(spark):
     assert sorted(r["row_id"] for r in done.where("text_ja = concat('[ja] ', text_en)").collect()) == list(range(50))
 
 
+def test_budgeted_calls_run_in_one_wave_or_not_at_all(spark):
+    df = spark.range(50).selectExpr("id AS row_id", "concat('t', id) AS text")
+    done = rate_budgeted_enrich(df, PrefixBackend(), Limits(3000, 30_000_000), tasks=3)
+    plans = done._jdf.queryExecution().optimizedPlan()
+    assert "true" in plans.toString().split("MapInPandas", 1)[1].splitlines()[0], "a barrier stage"
+
+    slots = spark.sparkContext.defaultParallelism
+    wave = df.repartition(slots + 1).mapInPandas(lambda batches: batches, df.schema, barrier=True)
+    with pytest.raises(Exception, match="slots"):
+        wave.collect()
+    plain = enrich_text(df, PrefixBackend())._jdf.queryExecution().optimizedPlan()
+    assert "true" not in plain.toString().split("MapInPandas", 1)[1].splitlines()[0]
+
+
+def test_the_calling_stage_has_resources_of_its_own(spark):
+    profile = calling_profile(2, gpu=0.25)
+    wanted = {name: request.amount for name, request in profile.taskResources.items()}
+    assert wanted == {"cpus": 2.0, "gpu": 0.25}
+    df = spark.range(5).selectExpr("id AS row_id", "'t' AS text")
+    for frame in (enrich_text(df, PrefixBackend(), profile=profile), hybrid_enrich(df, [PrefixBackend()], profile=profile)):
+        assert f"id = {profile.id}" in frame._jdf.queryExecution().logical().toString()
+
+
 def test_budget_is_spent_on_every_try():
     budget = Budget(Limits(100, 10**9))
     call_with_retries(failing(2), "a", False, budget, retry_step=0.0)
