@@ -33,7 +33,16 @@ from bitextloom.plans import (
 from bitextloom.session import scoped_conf, scratch_path
 from bitextloom.sinks import reshard_for_publish, shard_manifest, write_by_rows, write_by_size, write_ordered
 from bitextloom.sources import StateLog, expand_paths, global_ordinal, is_directory, list_files, stream_jsonl
-from bitextloom.streaming import incremental_enrich, incremental_filter, live_progress, read_new_files, run_state, wait_for_stop
+from bitextloom.sources.paths import remove, rename
+from bitextloom.streaming import (
+    incremental_enrich,
+    incremental_filter,
+    live_progress,
+    process_appended,
+    read_new_files,
+    run_state,
+    wait_for_stop,
+)
 
 BLANK = "coalesce(text, '') = ''"
 PAIR = f"coalesce(text, '') AS text_en, CASE WHEN {BLANK} THEN '' ELSE '[ja] ' || text END AS text_ja"
@@ -357,6 +366,34 @@ def live_progress_query(spark, sf_dir):
     return seen.agg(*(F.sum(name).alias(name) for name in ("processed", "skipped", "skipped_special", "kept")))
 
 
+def put_lines(spark, rows, target):
+    """Rows, in the order of their ids, as the one JSON-lines file `target`, in the place of what was there."""
+    folder = scratch_path(spark, "one-file")
+    rows.repartition(1).sortWithinPartitions("doc_id").write.option("ignoreNullFields", False).json(folder)
+    remove(spark, target)
+    rename(spark, list_files(spark, folder, "part-*").first()["path"], target)
+
+
+@query("appended_lines", "SELECT doc_id, text, CAST(CASE WHEN doc_id % 4 = 3 THEN 1 ELSE 0 END AS BIGINT) AS run FROM documents")
+def appended_lines_query(spark, sf_dir):
+    """Two files, of which one has grown before the second run, which takes what was appended and nothing else."""
+    rows, folder = documents(spark, sf_dir).select("doc_id", "text"), scratch_path(spark, "growing")
+    out, state = scratch_path(spark, "appended"), scratch_path(spark, "appended-state")
+    late = F.when(F.col("doc_id") % 4 == 3, F.col("doc_id") + 10**12).otherwise(F.col("doc_id"))
+    rows.limit(0).write.parquet(folder)
+    put_lines(spark, rows.where("doc_id % 4 = 0"), f"{folder}/a.json")
+    put_lines(spark, rows.where("doc_id % 4 IN (1, 2)"), f"{folder}/b.json")
+
+    def parse(lines):
+        return lines.select(F.from_json("value", "doc_id bigint, text string").alias("r")).select("r.*")
+
+    process_appended(spark, folder, out, state, parse)
+    put_lines(spark, rows.where("doc_id % 4 > 0").withColumn("doc_id", late), f"{folder}/b.json")
+    process_appended(spark, folder, out, state, parse)
+    taken = spark.read.parquet(out)
+    return taken.select((F.col("doc_id") % 10**12).alias("doc_id"), "text", F.col("run").cast("bigint").alias("run"))
+
+
 @query(
     "run_state",
     """SELECT false AS alive, 4::BIGINT AS files_done, 0::BIGINT AS files_in_flight, 2::BIGINT AS files_pending,

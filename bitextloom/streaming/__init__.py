@@ -1,5 +1,6 @@
 """Incremental runs on Structured Streaming."""
 
+from bitextloom.streaming.appended import AppendedLines, numbered_lines, process_appended
 from bitextloom.streaming.incremental import (
     incremental_enrich,
     incremental_filter,
