@@ -149,8 +149,22 @@ grams AS (
   SELECT doc_id, level, position,
          list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1])) AS g FROM units WHERE len(w) > 1),
 templates AS (
-  SELECT license, list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1])) AS t
-  FROM (SELECT license, regexp_extract_all(lower(body), '[0-9a-z]+') AS w FROM (VALUES {LICENSE_VALUES}) v(license, body)))
+  SELECT row_number() OVER () AS n, license, list_distinct(list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1])) AS t, len(w) AS m
+  FROM (SELECT license, regexp_extract_all(lower(body), '[0-9a-z]+') AS w FROM (VALUES {LICENSE_VALUES}) v(license, body))),
+-- Windows of as many words as a template, in texts that have two thirds of its bigrams.
+whole AS (
+  SELECT doc_id, list_transform(generate_series(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1]) AS b
+  FROM (SELECT doc_id, flatten(list(w ORDER BY i)) AS w FROM numbered GROUP BY doc_id) WHERE len(w) > 1),
+likely AS (SELECT doc_id, n, license, b, t, m FROM whole, templates WHERE len(b) + 1 > m AND len(list_intersect(b, t)) >= len(t) * 0.66),
+windows AS (
+  SELECT doc_id, n, license, i, t, m, list_distinct(b[i + 1:i + m - 1]) AS g FROM (SELECT *, unnest(generate_series(0, len(b) + 1 - m)) AS i FROM likely)),
+good AS (
+  SELECT *, i - lag(i) OVER (PARTITION BY doc_id, n ORDER BY i) AS step
+  FROM (SELECT doc_id, n, license, i, m, len(g) AS size, 2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice FROM windows) WHERE dice >= 0.8),
+grouped AS (SELECT *, sum(CASE WHEN step <= m THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, n ORDER BY i) AS island FROM good),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n, island ORDER BY dice DESC, i) AS place FROM grouped)
+SELECT doc_id, license, 'window' AS level, CAST(i AS INTEGER) AS position, CAST(size AS INTEGER) AS n_bigrams, dice FROM best WHERE place = 1
+UNION ALL
 SELECT * FROM (
   SELECT doc_id, license, level, CAST(position AS INTEGER) AS position, CAST(len(g) AS INTEGER) AS n_bigrams,
          2.0::DOUBLE * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice
