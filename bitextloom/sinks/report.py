@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+# The wording, order and widths of the report's lines, which readers of the reports rely on.
+
 
 def format_filter_report(row: Mapping) -> str:
     """Counters of the filter, one per line."""
