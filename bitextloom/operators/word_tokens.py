@@ -47,6 +47,12 @@ def pieces(text: str, tokenizer: Tokenizer):
     return F.regexp_extract_all(F.col(text), F.lit(tokenizer.split_pattern()), F.lit(0))
 
 
+def _widened(df: DataFrame) -> DataFrame:
+    """Rows of a few large splits dealt out to all cores; with as many splits as cores nothing moves."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small_enough(words: DataFrame) -> bool:
     rows, size = words.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(WORD)), F.lit(0))).first()
     return rows <= BROADCAST_WORDS and size <= BROADCAST_BYTES
@@ -60,8 +66,7 @@ def token_counts(
     The same counts as `functions.token_count`, for whole tables. Only distinct words reach Python. Where the word table
     is broadcast, a row's words meet their sizes and are summed in the task that reads them; one narrow row each is shuffled.
     """
-    content = F.col(text)
-    rows = df.select(*keep, content.alias("_text"), F.monotonically_increasing_id().alias(ROW))
+    rows = _widened(df.select(*keep, F.col(text).alias("_text"))).withColumn(ROW, F.monotonically_increasing_id())
     refused = has_special_token(F.col("_text"), tokenizer.special_names)
     rows = rows.select(*keep, ROW, F.when(refused, FAILED).when(F.col("_text").isNotNull(), 0).alias("_known"), F.when(~refused, F.col("_text")).alias("_text"))
     words = word_table(rows.where("_text <> ''"), "_text", tokenizer)

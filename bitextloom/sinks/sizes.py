@@ -53,8 +53,14 @@ def byte_runs(df: DataFrame, weight: Column) -> tuple[DataFrame, int, int]:
     shared = F.col("_size") * F.col("_sum") / F.greatest(F.col("_whole"), F.lit(1))
     runs = runs.join(whole, "_file").select("_file", "_run", "rows", shared.alias("bytes"))
     placed = running_total(runs, ["_file", "_run"], "bytes", "before", (RUNS_PER_FILE + 2) * files)
-    sizes = df.groupBy(file_path(), F.col("_metadata.file_size").alias("size")).agg(F.lit(1)).agg(F.coalesce(F.sum("size"), F.lit(0)))
-    return placed, length, sizes.first()[0]
+    total = shared_total(df)
+    return placed, length, total
+
+
+def shared_total(df: DataFrame) -> int:
+    """Bytes of all files of a scan that have rows; from footers."""
+    sizes = df.select(file_path().alias("_file"), F.col("_metadata.file_size").alias("_size")).distinct()
+    return sizes.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
 
 
 def write_shards(df: DataFrame, names: list[str], weight: Column, shard_bytes: int, target: str, mode: str, writer) -> None:
