@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bitextloom.llm.pieces import MARK, WordTable, pieces
+from bitextloom.llm.pieces import MARK, WordTable, pieces, row_parts
 from bitextloom.llm.tables import text_or_empty
 
 
@@ -27,7 +27,7 @@ def encode_texts(docs: DataFrame, model: str) -> DataFrame:
         vocabulary = pieces(model)
         table = WordTable(lambda word: np.array(vocabulary.encode(word), "<u4").tobytes())
         first, last = np.array(vocabulary.begin, "<u4").tobytes(), np.array(vocabulary.end, "<u4").tobytes()
-        for batch in batches:
+        for batch in row_parts(batches):
             ids = [
                 first + b"".join(map(table.__getitem__, vocabulary.split(text))) + last
                 for text in batch.column("text").to_pylist()
@@ -112,7 +112,7 @@ def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = piece_bytes(model)
-        for batch in batches:
+        for batch in row_parts(batches):
             texts = [table.decode(np.frombuffer(ids or b"", "<u4")) for ids in batch.column("ids").to_pylist()]
             columns = [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"])

@@ -5,8 +5,10 @@ from __future__ import annotations
 import heapq
 import re
 import sys
+from collections.abc import Iterator
 from functools import lru_cache
 
+import pyarrow as pa
 import sentencepiece
 
 MARK = "▁"
@@ -107,10 +109,21 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+# Rows of a batch that are worked on, and given on, at a time.
+PART_ROWS = 128
+
+
+def row_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of PART_ROWS rows, so that what a task makes of them is small however many rows a batch has."""
+    for batch in batches:
+        for first in range(0, max(1, batch.num_rows), PART_ROWS):
+            yield batch.slice(first, PART_ROWS)
+
+
 class WordTable(dict):
     """word -> value, made once for each distinct word; bounded in bytes by starting anew, long words are not kept."""
 
-    def __init__(self, make, size: int = 48 << 20, length: int = 48) -> None:
+    def __init__(self, make, size: int = 32 << 20, length: int = 48) -> None:
         super().__init__()
         self.make, self.size, self.length = make, size, length
         self.held = 0
