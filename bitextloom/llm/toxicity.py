@@ -17,9 +17,11 @@ from bitextloom.llm.tables import stored, text_or_empty
 
 # Labelled documents that the model is fitted on, at most; those with the smallest hashes of doc_id.
 SAMPLE_ROWS = 16_384
-# All terms share so many buckets: the size of the model, whatever the texts hold.
-BUCKETS = 1 << 16
-# Buckets of fewer sampled documents are left out.
+# Terms are hashed to so many buckets: with fewer, a word that tells shares its bucket with a common one here and there, and tells
+# nothing.
+BUCKETS = 1 << 24
+# Buckets that the model has places for, at most: those of the most sampled documents, and none of fewer than MIN_DOCUMENTS.
+PLACES = 1 << 16
 MIN_DOCUMENTS = 3
 FACTORS = 8
 THRESHOLD = 0.3
@@ -73,7 +75,7 @@ class FactorMachine:
                 raw, summed = self.parts(own, begins)
                 error = sigmoid(raw) - labels[batch]
                 row = np.repeat(np.arange(len(batch)), count)
-                # Places are below BUCKETS; of 16 bits they are sorted by counting.
+                # Places are below PLACES; of 16 bits they are sorted by counting.
                 order_of = np.argsort(own.astype(np.uint16), kind="stable")
                 ranked, row = own[order_of], row[order_of]
                 heads = np.flatnonzero(np.diff(ranked, prepend=-1))
@@ -137,7 +139,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
 
 
 def known_terms(rows: DataFrame) -> np.ndarray:
-    """Buckets of MIN_DOCUMENTS sampled documents or more, whatever their labels: a term may tell only beside another."""
+    """Buckets of the most sampled documents, whatever their labels: a term may tell only beside another."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,11 +147,12 @@ def known_terms(rows: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (found, n)], ["term", "n"])
 
     counts = rows.mapInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return np.array(sorted(r["term"] for r in counts.filter(F.col("n") >= MIN_DOCUMENTS).select("term").collect()), np.int64)
+    most = counts.filter(F.col("n") >= MIN_DOCUMENTS).orderBy(F.desc("n"), "term").limit(PLACES)
+    return np.array(sorted(r["term"] for r in most.select("term").collect()), np.int64)
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> FactorMachine:
-    """The model. Terms are counted by Spark tasks; what reaches the driver is at most `rows` rows of at most BUCKETS places.
+    """The model. Terms are counted by Spark tasks; what reaches the driver is at most `rows` rows of at most PLACES places.
 
     Without labels, or with one label only, the model is a constant rate.
     """
