@@ -123,7 +123,7 @@ def row_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class WordTable(dict):
     """word -> value, made once for each distinct word; bounded in bytes by starting anew, long words are not kept."""
 
-    def __init__(self, make, size: int = 96 << 20, length: int = 48) -> None:
+    def __init__(self, make, size: int = 128 << 20, length: int = 48) -> None:
         super().__init__()
         self.make, self.size, self.length = make, size, length
         self.held = 0

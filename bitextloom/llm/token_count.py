@@ -19,7 +19,7 @@ def count_tokens(docs: DataFrame, model: str, limit: int = TOKEN_LIMIT) -> DataF
 
     Counts are those of the sentencepiece BPE model at `model` (a path every executor can read), without begin
     and end. A null or empty text has 0 bytes and 0 tokens. One narrow pass, no shuffle: each worker keeps the
-    counts of distinct words in a table of 96 MB and merges any other word anew.
+    counts of distinct words in a table of 128 MB and merges any other word anew.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
