@@ -1,4 +1,4 @@
-"""MinHash near-deduplication by an inverted join over signature coordinates."""
+"""MinHash near-deduplication by an inverted join over bands of signature coordinates."""
 
 from __future__ import annotations
 
@@ -12,35 +12,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bitextloom.llm.components import connected_components
-from bitextloom.llm.shingles import multipliers, shared, shingle_set, signature
+from bitextloom.llm.shingles import mixed, multipliers, shared, shingle_set, signature
 from bitextloom.llm.tables import broadcast_if_small, kept_rows, stored, text_digest, text_or_empty
 
 WIDTH = 5
 # Similarity in percent.
 SIMILARITY = 80
-# Coordinates of a signature that are posted, and matches a candidate needs. At a similarity of 0.8, seven of twenty are
-# missed once in 500,000 pairs.
-COORDINATES = 20
-MATCHES = 7
-# Further coordinates, a byte each, that only colliding pairs compare, and the matches that they need. At a similarity of 0.8, fewer
+# Bands of a signature that are posted, and coordinates of a band. At a similarity of 0.8 no band agrees once in 150,000 pairs; at 0.1
+# one pair in 3,000 has a band in common, at 0.05 one in 100,000, so lists hold few texts that merely use the same words.
+BANDS = 30
+ROWS = 5
+# The first coordinates, a byte each, that only colliding pairs compare, and the matches that they need. At a similarity of 0.8, fewer
 # than 84 of 128 match once in 40,000 pairs; at 0.6 one pair in nine has as many, below 0.5 none.
 SKETCH = 128
 SKETCH_MATCHES = 84
 SEED = 5
 # Pivots of a list that its members are compared with, turn by turn, before its components are compared completely.
-PIVOT_TURNS = (range(0, 1), range(1, 4), range(4, 16), range(16, 40))
-# From this pivot on a list is compared only if a quarter of it is one component by then.
-GROWN_TURN = 4
+PIVOT_TURNS = (range(0, 1), range(1, 4))
 # Shorter posting lists are joined with themselves; of longer ones a task compares so many members with as many others.
 SHORT_LIST = 64
 CHUNK = 1024
+# Members whose sets a task of exact comparisons holds, twice.
+PART = 2048
 
 
 def document_features(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, digest of the text, n_shingles, digest of the set (null if empty), signature (coordinate and value in one long each), sketch."""
+    """doc_id, digest of the text, n_shingles, digest of the set (null if empty), slots (hash and number of a band in one long each), sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    factors = multipliers(COORDINATES + SKETCH, SEED)
-    place = np.arange(COORDINATES, dtype=np.int64)
+    factors = multipliers(BANDS * ROWS, SEED)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -50,8 +49,8 @@ def document_features(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 least = signature(found, factors)
-                signatures.append((least[:COORDINATES].astype(np.int64) << 5) | place if len(found) else None)
-                sketches.append(least[COORDINATES:].astype(np.uint8).tobytes() if len(found) else None)
+                signatures.append(band_slots(least) if len(found) else None)
+                sketches.append(least[:SKETCH].astype(np.uint8).tobytes() if len(found) else None)
             kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
             columns = [pa.array(c, k) for c, k in zip((sizes, digests, signatures, sketches), kinds)]
             given = [batch.column("doc_id"), batch.column("text_digest")]
@@ -61,37 +60,34 @@ def document_features(docs: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(features, f"doc_id {kind}, text_digest binary, n_shingles long, digest binary, sig array<long>, sketch binary")
 
 
+def band_slots(least: np.ndarray) -> np.ndarray:
+    """One long for each band: a hash of its coordinates, and its number in the low bits."""
+    bands, slots = least[: BANDS * ROWS].reshape(BANDS, ROWS), np.zeros(BANDS, np.uint64)
+    for column in bands.T:
+        slots = mixed(slots * np.uint64(0x9E3779B97F4A7C15) + column)
+    return ((slots << np.uint64(5)) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+
+
 def posting_lists(classes: DataFrame) -> DataFrame:
-    """slot, rep, n (length of the slot's list), weight, prefix (bit mask of coordinates), n_shingles, sig.
+    """slot, rep and weight (the lengths of all lists of rep).
 
-    Slots that one class alone has are left out; they hold no pair. The others of a class are put in one
-    order for all, shorter lists first. Two signatures that agree in MATCHES places share a slot among all but
-    their last MATCHES - 1, so only that prefix is posted: long lists are skipped wherever shorter ones decide.
+    Slots that one class alone has, which are nearly all, are left out; they hold no pair.
     """
     slots = classes.select("rep", F.explode("sig").alias("slot"))
     lengths = slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = slots.join(lengths, "slot").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "slot"))).alias("own"), F.sum("n").alias("weight"))
-    own = own.filter(F.size("own") >= MATCHES).withColumn("own", F.expr(f"slice(own, 1, size(own) - {MATCHES - 1})"))
-    mask = F.expr("aggregate(own, 0, (m, x) -> m | shiftleft(1, cast(x.slot & 31 as int)))")
-    own = own.select("rep", "weight", mask.alias("prefix"), F.explode("own").alias("one"))
-    return own.select("rep", "weight", "prefix", "one.slot", "one.n")
+    own = slots.join(lengths, "slot").groupBy("rep").agg(F.collect_list("slot").alias("own"), F.sum("n").alias("weight"))
+    return own.select("rep", "weight", F.explode("own").alias("slot"))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame | None:
-    """Of the pairs (a, b) those whose signatures agree often enough and whose whole sets are similar enough; None if there are none.
-
-    Sets are built again from the texts, for the members of pairs that agree alone.
-    """
+def agreeing_pairs(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
+    """Of the pairs (a, b) those whose sketches agree often enough, and whose sets are not too different in size."""
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    if pairs.isEmpty():
-        return None
     met = stored(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "pair-members")
     held = classes.join(broadcast_if_small(met), "rep", "left_semi")
-    sides = [held.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sig").alias(f"sig_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
+    sides = [held.select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
     near = (
         pairs.join(sides[0], "a").join(sides[1], "b")
         .filter(100 * F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-        .filter(F.size(F.array_intersect("sig_a", "sig_b")) >= MATCHES)
         .select("a", "b", "sketch_a", "sketch_b")
     )
 
@@ -100,25 +96,41 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
             x, y = (np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), np.uint8).reshape(-1, SKETCH) for s in "ab")
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= SKETCH_MATCHES, pa.bool_()))
 
-    near = stored(near.mapInArrow(agreeing, "a long, b long"), "near-pairs")
-    if near.isEmpty():
-        return None
-    members = stored(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-members")
-    sets = shingle_sets(docs, members, width)
-    both = near.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y")), "b"
-    )
+    return near.mapInArrow(agreeing, "a long, b long")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = shared(x, y)
-                keep.append(100 * common >= similarity * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    links = stored(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "near-links")
+
+def verified(near: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame | None:
+    """Of the pairs (a, b) those whose whole sets are similar enough; None if there are none.
+
+    Sets are built again from the texts, for the members of the pairs alone. Members are dealt into parts, and the pairs of two parts are
+    compared in one task, to which each of its members' sets goes once, in however many of the pairs it is.
+    """
+    near = stored(near.distinct(), "near-pairs")
+    members = stored(near.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "near-members")
+    count = members.count()
+    if not count:
+        return None
+    parts = -(-count // PART)
+    i, j = (F.pmod(F.xxhash64(side), F.lit(parts)).cast("int") for side in "ab")
+    dealt = stored(near.select("a", "b", i.alias("i"), j.alias("j")), "dealt-pairs")
+    wanted = dealt.select(F.col("i").alias("x"), F.col("j").alias("y"), F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sets = wanted.join(shingle_sets(docs, members, width), "rep").select("x", "y", "rep", "shingles")
+
+    def compare(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        # Rows that share a doc_id have several sets; a pair is linked by any of them.
+        found: dict[int, list[np.ndarray]] = {}
+        for rep, packed in zip(held["rep"], held["shingles"]):
+            found.setdefault(rep, []).append(np.frombuffer(packed, np.uint64))
+
+        def similar(x: np.ndarray, y: np.ndarray) -> bool:
+            common = shared(x, y)
+            return 100 * common >= similarity * (len(x) + len(y) - common)
+
+        keep = [any(similar(x, y) for x in found[a] for y in found[b]) for a, b in zip(pairs["a"], pairs["b"])]
+        return pairs.loc[np.array(keep, bool), ["a", "b"]]
+
+    links = dealt.groupBy("i", "j").cogroup(sets.groupBy("x", "y")).applyInPandas(compare, "a long, b long")
+    links = stored(links, "near-links")
     return None if links.isEmpty() else links
 
 
@@ -136,12 +148,8 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
 
 def pivot_pairs(lists: DataFrame, turn: range) -> DataFrame:
     """Pairs of members with members of their list that are in another component: pivot 0 is the list's most
-    typical member, the others are drawn by a hash. Late turns are for lists that a component has grown to fill in part."""
-    if turn.start < GROWN_TURN:
-        several = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    else:
-        shares = lists.groupBy("slot", "root").agg(F.count(F.lit(1)).alias("own"))
-        several = shares.groupBy("slot").agg(F.max("own").alias("most"), F.sum("own").alias("n")).filter("most < n and 4 * most >= n and most > 1")
+    typical member, the others are drawn by a hash."""
+    several = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     live = lists.join(several.select("slot"), "slot")
     drawn = [F.col("weight") if i == 0 else F.xxhash64("rep", F.lit(i)) for i in turn]
     picks = [F.max(F.struct(rank.alias("rank"), "rep", "root")).alias(f"p{i}") for i, rank in zip(turn, drawn)]
@@ -154,22 +162,22 @@ def pivot_pairs(lists: DataFrame, turn: range) -> DataFrame:
 
 
 def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """All candidate pairs (a, b) of different components that a list holds.
+    """All pairs (a, b) of different components that a list holds and whose sketches agree often enough.
 
     Only lists with several components are dealt. Short ones are joined with themselves. Longer ones are dealt in
-    chunks: a task compares one chunk with another by their signatures and gives the pairs that agree often enough, each
-    from one list only: the first common coordinate of both prefixes owns a pair.
+    chunks: a task compares one chunk with another by their sketches and gives the pairs that agree often enough, each
+    from one list only: the first band that both have in common owns a pair.
     """
     mixed = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     mixed = stored(mixed.filter("low <> high").select("slot", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "mixed")
     short = lists.join(mixed.filter(F.col("n") <= SHORT_LIST), "slot")
     sides = [short.select("slot", F.col("rep").alias(s), F.col("root").alias(f"root_{s}")) for s in "ab"]
     joined = sides[0].join(sides[1], "slot").filter("a < b and root_a <> root_b").select("a", "b")
-    rows = lists.select("slot", "rep", "root", "prefix").join(mixed.filter(F.col("n") > SHORT_LIST).drop("n"), "slot")
+    rows = lists.select("slot", "rep", "root").join(mixed.filter(F.col("n") > SHORT_LIST).drop("n"), "slot")
     rows = rows.join(classes.select("rep", "n_shingles", "sig", "sketch"), "rep")
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     rows = rows.withColumn("mine", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "prefix", "n_shingles", "sig", "sketch")
+    rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "n_shingles", "sig", "sketch")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         slot, i, j = key
@@ -177,19 +185,15 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
         right = left if i == j else frame[frame["mine"] == j]
         a, b = [], []
         if len(left) and len(right):
-            coordinate = int(slot) & 31
+            band = int(slot) & 31
             sig_r, n_r = np.stack(right["sig"].to_numpy()), right["n_shingles"].to_numpy()
-            rep_r, root_r, mask_r = right["rep"].to_numpy(), right["root"].to_numpy(), right["prefix"].to_numpy()
+            rep_r, root_r = right["rep"].to_numpy(), right["root"].to_numpy()
             sketches = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, SKETCH)
-            for rep, root, mask, n, sig, sketch in zip(*(left[c] for c in ("rep", "root", "prefix", "n_shingles", "sig", "sketch"))):
-                same = sig_r == sig[None, :]
-                good = (same.sum(axis=1) >= MATCHES) & (root_r != root)
-                good &= 100 * np.minimum(n, n_r) >= similarity * np.maximum(n, n_r)
+            for rep, root, n, sig, sketch in zip(*(left[c] for c in ("rep", "root", "n_shingles", "sig", "sketch"))):
+                good = (root_r != root) & (100 * np.minimum(n, n_r) >= similarity * np.maximum(n, n_r))
+                good &= ~(sig_r[:, :band] == sig[None, :band]).any(axis=1)
                 if i == j:
                     good &= rep_r > rep
-                for t in range(coordinate):
-                    if mask >> t & 1:
-                        good &= ~(same[:, t] & ((mask_r >> t & 1) == 1))
                 hit = np.flatnonzero(good)
                 hit = rep_r[hit[(sketches[hit] == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= SKETCH_MATCHES]]
                 a.extend([rep] * len(hit))
@@ -197,7 +201,7 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     found = rows.groupBy("slot", "i", "j").applyInPandas(compare, "a long, b long")
-    return joined.union(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    return agreeing_pairs(joined, classes, similarity).union(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
 
 
 def merged_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -226,18 +230,19 @@ def with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
 def near_roots(docs: DataFrame, classes: DataFrame, width: int, similarity: int) -> DataFrame | None:
     """`merged_roots` over links of classes whose components are those of all similar pairs; None if there is no link.
 
-    Members are compared with a list's most typical member first, then with three more, then, where that has linked
-    much of the list, with dozens; what is one component by then needs no other link. Lists that still hold several components
+    Members are compared with a list's most typical member first, then with three more; what is one component by then needs no
+    other link. Lists that still hold several components
     have all their crossing pairs compared, so no component is missed, and a large group of near copies costs a
     few comparisons for each copy.
     """
     lists, roots = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists"), None
     for turn in (*PIVOT_TURNS, None):
-        pairs = crossing_pairs(lists, classes, similarity) if turn is None else pivot_pairs(lists, turn)
-        links = verified(pairs, classes, docs, width, similarity)
+        crossing = turn is None
+        near = crossing_pairs(lists, classes, similarity) if crossing else agreeing_pairs(pivot_pairs(lists, turn), classes, similarity)
+        links = verified(near, docs, width, similarity)
         if links is not None:
             roots = merged_roots(roots, links)
-            if turn is not None:
+            if not crossing:
                 lists = with_roots(lists, roots)
     return roots
 

@@ -110,6 +110,32 @@ def test_near_group_of_many_variants(spark):
     assert got == want and len(set(want.values())) > 1
 
 
+def test_texts_of_common_words_are_no_candidates(spark, monkeypatch):
+    """Few of the pairs of unlike texts that share much of their words come to be compared, and those in parts of a few members."""
+    from bitextloom.llm import minhash_dedup
+
+    rng = np.random.default_rng(9)
+    common = [f"c{i}" for i in range(60)]
+    rows = [(i, " ".join(common[:20] + [f"o{i}.{k}" for k in range(60)])) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(0, 300, 30)]
+    text = [f"w{k}" for k in range(100)]
+    for i in range(2000, 2030):
+        copy = list(text)
+        copy[int(rng.integers(0, 100))] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    seen, agreeing = [], minhash_dedup.agreeing_pairs
+
+    def counted(pairs, *rest):
+        seen.append(pairs.select("a", "b").distinct().filter("a < 2000").count())
+        return agreeing(pairs, *rest)
+
+    monkeypatch.setattr(minhash_dedup, "agreeing_pairs", counted)
+    monkeypatch.setattr(minhash_dedup, "PART", 4)
+    got = {r.doc_id: r.component_id for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()}
+    assert all(got[1000 + i] == i for i in range(0, 300, 30)) and {got[i] for i in range(2000, 2030)} == {2000}
+    assert len(set(got.values())) == 301 and max(seen) < 4500
+
+
 def test_drop_near_copies_keeps_columns(clashing, none):
     kept = drop_near_copies(clashing)
     assert kept.columns == clashing.columns
