@@ -10,22 +10,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from bitextloom.llm.pieces import MARK, WordTable, pieces, row_parts
+from bitextloom.llm.pieces import MARK, TABLE_BYTES, WordTable, pieces, row_parts
 from bitextloom.llm.tables import text_or_empty
 
 
-def encode_texts(docs: DataFrame, model: str) -> DataFrame:
+def encode_texts(docs: DataFrame, model: str, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """One row per row of `docs`: doc_id and ids, the begin id, the pieces' ids and the end id, as
     little-endian unsigned 32-bit integers in one binary.
 
     Where no piece crosses a whitespace marker a marked word is segmented once for each worker's table and
-    the ids are joined back in the order of the words. A null or empty text has begin and end alone.
+    the ids are joined back in the order of the words. A null or empty text has begin and end alone. A worker's table
+    takes up to `table_bytes`; a smaller one segments more words again and changes no result.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model)
-        table = WordTable(lambda word: np.array(vocabulary.encode(word), "<u4").tobytes())
+        table = WordTable(lambda word: np.array(vocabulary.encode(word), "<u4").tobytes(), table_bytes)
         first, last = np.array(vocabulary.begin, "<u4").tobytes(), np.array(vocabulary.end, "<u4").tobytes()
         for batch in row_parts(batches):
             ids = [

@@ -111,6 +111,8 @@ def pieces(path: str) -> Pieces:
 
 # Rows of a batch that are worked on, and given on, at a time.
 PART_ROWS = 128
+# Bytes of the table of distinct words in each Python worker.
+TABLE_BYTES = 128 << 20
 
 
 def row_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +125,7 @@ def row_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class WordTable(dict):
     """word -> value, made once for each distinct word; bounded in bytes by starting anew, long words are not kept."""
 
-    def __init__(self, make, size: int = 128 << 20, length: int = 48) -> None:
+    def __init__(self, make, size: int = TABLE_BYTES, length: int = 48) -> None:
         super().__init__()
         self.make, self.size, self.length = make, size, length
         self.held = 0

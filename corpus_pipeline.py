@@ -22,6 +22,9 @@ from bitextloom.llm.toxicity import drop_toxic
 # A trained model and a learned vocabulary have no SQL; the tests compare every stage with a plain version.
 ORACLE_SQL = None
 
+# The workers of the stages before the encoder's still hold memory when it starts.
+WORD_BYTES = 32 << 20
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -47,7 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row, as op7 returns them."""
-    return decode_ids(encode_texts(docs, PIECE_MODEL), PIECE_MODEL).select(
+    return decode_ids(encode_texts(docs, PIECE_MODEL, WORD_BYTES), PIECE_MODEL).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -212,3 +212,14 @@ def test_kept_digest_is_of_the_text(edge):
     rows = dedup_lines(edge, bits=BITS).filter("doc_id = 2").collect()
     assert [(r.text, r.n_lines, r.n_dropped) for r in rows] == [("", 1, 0)]
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_codec_with_a_small_word_table(spark):
+    """A table that starts anew all the time changes no ids, and the pipeline's is smaller than op7's."""
+    import corpus_pipeline
+    from bitextloom.llm.pieces import TABLE_BYTES
+
+    rows = [(i, " ".join(f"word{k} same" for k in range(i, i + 40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    usual, small = (sorted((r.doc_id, bytes(r.ids)) for r in encode_texts(docs, MODEL, size).collect()) for size in (TABLE_BYTES, 1000))
+    assert usual == small and corpus_pipeline.WORD_BYTES < TABLE_BYTES
