@@ -61,3 +61,16 @@ def test_a_refused_word_fails_its_text(texts):
     tokenizer = Refusing(name="refusing", merges=())
     counts = token_counts(texts("good", "so bad", None), ("row_id",), tokenizer).collect()
     assert sorted(map(tuple, counts)) == [(0, 4), (1, -1), (2, None)]
+
+
+def test_a_frequent_word_is_not_shuffled(texts, monkeypatch):
+    """Beyond the limit of the broadcast the frequent words still are broadcast, and the others alone are joined by shuffle."""
+    from bitextloom.operators.word_tokens import frequent_from
+
+    monkeypatch.setattr("bitextloom.operators.word_tokens.BROADCAST_WORDS", 3)
+    values = [f"the w{i} the the v{i}" for i in range(40)]
+    assert frequent_from(word_table(texts(*values), "text", byte_tokenizer())) == 2
+    fast, plain = both(texts(*values, None, "", "the the", "w1 w1"), byte_tokenizer([b"th"]))
+    assert fast == plain and len(fast) == 44
+    plan = token_counts(texts(*values), ("row_id",), byte_tokenizer())._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_rare" in plan
