@@ -1,4 +1,4 @@
-"""Embedding near-deduplication by a pigeonhole join over rotated low-dimensional blocks."""
+"""Embedding near-deduplication: chunks against chunks by the leading half of rotated dimensions, then exactly."""
 
 from __future__ import annotations
 
@@ -14,82 +14,34 @@ from bitextloom.llm.components import connected_components
 from bitextloom.llm.tables import broadcast_if_small, stored
 
 COSINE = 0.9
-# Dimensions of a block; a pair is within its share of the squared distance in one block at least.
-BLOCK = 8
-# Leading dimensions of a block that the cells of the range join divide.
-GRID = 2
-# Width of a cell in radii.
-CELL = 2.0
-# Vectors of a cell that a task compares with as many others at a time.
-CHUNK = 8192
+# Vectors that a task compares with as many others at a time, at most, and bytes of one such chunk in double precision.
+CHUNK = 16384
+CHUNK_BYTES = 8 << 20
 TILE = 1024
 # Share of near pairs from which a tile is decided as a whole.
 DENSE = 0.02
 SEED = 3
-SLACK = 1e-9
-# What single precision may err by.
+# What single precision may err by in a squared distance, and for each of its terms.
 ROUGH_SLACK = 1e-5
+TERM_SLACK = 2.4e-7
 
 
 class Rotation:
-    """A fixed random rotation, its blocks, and the radius that each block's share of the distance allows."""
+    """A fixed random rotation, of which the leading half of the dimensions is taken: it holds about half of any squared distance,
+    and never more than the whole."""
 
     def __init__(self, size: int, cosine: float) -> None:
-        self.size, self.cosine = size, cosine
-        self.matrix = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, size)))[0] if size else np.zeros((0, 0))
-        edges = list(range(0, size, BLOCK))
-        self.blocks = [slice(a, min(a + BLOCK, size)) for a in edges]
-        # |x - y|^2 = 2 - 2 cos for unit vectors; a block of d among D dimensions has d / D of it.
-        self.budgets = [(2 - 2 * cosine) * (b.stop - b.start) / size + SLACK for b in self.blocks]
-
-    def rotated(self, vectors: np.ndarray) -> np.ndarray:
-        """Rounded, so that every task computes the same numbers for a vector."""
-        return np.round(vectors @ self.matrix, 9)
-
-    def width(self, block: int) -> float:
-        return CELL * float(np.sqrt(self.budgets[block]))
-
-    def cells(self, rotated: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) for all cells within half a radius of each vector: two vectors of a near pair share the
-        cell that holds the middle between them."""
-        width, half = self.width(block), float(np.sqrt(self.budgets[block])) / 2 + SLACK
-        rows, names = np.arange(len(rotated)), np.zeros(len(rotated), np.int64)
-        for d in range(self.blocks[block].start, min(self.blocks[block].start + GRID, self.blocks[block].stop)):
-            x = rotated[rows, d]
-            low, high = np.floor((x - half) / width).astype(np.int64), np.floor((x + half) / width).astype(np.int64)
-            spread = high > low
-            rows = np.concatenate([rows, rows[spread]])
-            names = np.concatenate([names * 64 + low + 32, names[spread] * 64 + high[spread] + 32])
-        return rows, names
-
-    def middle(self, a: np.ndarray, b: np.ndarray, block: int) -> np.ndarray:
-        """The cell of the middle of each pair (rows of a by rows of b)."""
-        width, name = self.width(block), 0
-        for d in range(self.blocks[block].start, min(self.blocks[block].start + GRID, self.blocks[block].stop)):
-            name = name * 64 + np.floor((a[:, None, d] + b[None, :, d]) / 2 / width).astype(np.int64) + 32
-        return name
-
-    def rough(self, rotated: np.ndarray, block: int, other: bool = False) -> np.ndarray:
-        """Rows whose products with the other side's are minus half the squared distances in the block."""
-        x = rotated[:, self.blocks[block]]
+        self.size, self.cosine, self.lead = size, cosine, -(-size // 2)
+        self.matrix = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, size)))[0][:, : self.lead]
+        # |x - y|^2 = 2 - 2 cos for unit vectors.
+        self.least = np.float32(-(2 - 2 * cosine + ROUGH_SLACK + TERM_SLACK * (self.lead + 2)) / 2)
+
+    def rough(self, vectors: np.ndarray, other: bool = False) -> np.ndarray:
+        """Rows whose products with the other side's are minus half the squared distances in the leading dimensions."""
+        x = vectors @ self.matrix
         half, one = -(x * x).sum(axis=1, keepdims=True) / 2, np.ones((len(x), 1))
         return np.hstack([x, one, half] if other else [x, half, one]).astype(np.float32)
 
-    def owned(self, a: np.ndarray, b: np.ndarray, block: int, cell: int) -> np.ndarray:
-        """Which pairs (row by row) are near in all, and owned by this block, the first whose share they keep to, and cell."""
-        squares = np.add.reduceat((a - b) ** 2, [x.start for x in self.blocks], axis=1)
-        keep = squares.sum(axis=1) <= 2 - 2 * self.cosine + ROUGH_SLACK
-        keep &= (squares[:, block] <= self.budgets[block]) & (squares[:, :block] > self.budgets[:block]).all(axis=1)
-        width, name = self.width(block), 0
-        for d in range(self.blocks[block].start, min(self.blocks[block].start + GRID, self.blocks[block].stop)):
-            name = name * 64 + np.floor((a[:, d] + b[:, d]) / 2 / width).astype(np.int64) + 32
-        return keep & (name == cell)
-
-    def within(self, a: np.ndarray, b: np.ndarray, block: int) -> np.ndarray:
-        """Which pairs keep to the block's share."""
-        x, y = a[:, self.blocks[block]], b[:, self.blocks[block]]
-        return (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * (x @ y.T) <= self.budgets[block]
-
 
 def unit(packed: list[bytes], size: int) -> np.ndarray:
     """Unit vectors in double precision; the largest component is taken out first, so huge and tiny ones stay finite."""
@@ -120,66 +72,30 @@ def read_vectors(vectors: DataFrame) -> DataFrame:
     return stored(vectors.select("vec_id", "embedding").mapInArrow(pack, f"vec_id {kind}, size int, vector binary"), "vectors")
 
 
-def block_cells(classes: DataFrame, cosine: float) -> DataFrame:
-    """rep, size, block, cell for every cell that a vector takes part in."""
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = batch.column("vector").to_pylist()
-            lengths = np.array(batch.column("size").to_pylist())
-            for size in np.unique(lengths):
-                own = np.flatnonzero(lengths == size)
-                rotation = Rotation(int(size), cosine)
-                rotated = rotation.rotated(unit([packed[i] for i in own], int(size)))
-                for block in range(len(rotation.blocks)):
-                    rows, cells = rotation.cells(rotated, block)
-                    n = len(rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("rep").take(pa.array(own[rows])), pa.array(np.full(n, size, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(cells)],
-                        ["rep", "size", "block", "cell"],
-                    )
-
-    return classes.select("rep", "size", "vector").mapInArrow(place, "rep long, size int, block int, cell long")
-
-
-def tile_links(left: pd.DataFrame, right: pd.DataFrame, rotation: Rotation, block: int, cell: int, same: bool):
-    """(rows of left, rows of right) of all links that this block and cell own, tile by tile.
+def tile_links(left: pd.DataFrame, right: pd.DataFrame, rotation: Rotation, same: bool):
+    """(rows of left, rows of right) of all links, tile by tile.
 
-    One product in single precision finds the pairs within the block's share; the few it leaves, or all of a
+    One product in single precision finds the pairs that are near in the leading dimensions; the few it leaves, or all of a
     crowded tile, are decided in double precision.
     """
-    a_unit, b_unit = (unit(side["vector"].tolist(), rotation.size) for side in (left, right))
-    a_rot, b_rot = rotation.rotated(a_unit), rotation.rotated(b_unit)
-    rough_a, rough_b = rotation.rough(a_rot, block), rotation.rough(b_rot, block, other=True)
-    least = np.float32(-(rotation.budgets[block] + ROUGH_SLACK) / 2)
+    a_unit = unit(left["vector"].tolist(), rotation.size)
+    b_unit = a_unit if same else unit(right["vector"].tolist(), rotation.size)
+    rough_a, rough_b = rotation.rough(a_unit), rotation.rough(b_unit, other=True)
     for i in range(0, len(left), TILE):
         for j in range(i if same else 0, len(right), TILE):
-            near = rough_a[i : i + TILE] @ rough_b[j : j + TILE].T >= least
+            near = rough_a[i : i + TILE] @ rough_b[j : j + TILE].T >= rotation.least
+            if same and i == j:
+                near = np.triu(near, 1)
             at = np.flatnonzero(near)
             if len(at) > DENSE * near.size:
-                if same and i == j:
-                    near = np.triu(near, 1)
-                r, c = dense_links(a_unit[i : i + TILE], b_unit[j : j + TILE], a_rot[i : i + TILE], b_rot[j : j + TILE], near, rotation, block, cell)
-            elif len(at):
+                near &= a_unit[i : i + TILE] @ b_unit[j : j + TILE].T >= rotation.cosine
+                r, c = np.nonzero(near)
+            else:
                 r, c = np.divmod(at, near.shape[1])
-                if same and i == j:
-                    r, c = r[r < c], c[r < c]
-                keep = rotation.owned(a_rot[r + i], b_rot[c + j], block, cell)
-                r, c = r[keep], c[keep]
                 exact = np.einsum("ij,ij->i", a_unit[r + i], b_unit[c + j]) >= rotation.cosine
                 r, c = r[exact], c[exact]
-            else:
-                continue
-            yield r + i, c + j
-
-
-def dense_links(a_unit, b_unit, a_rot, b_rot, near, rotation: Rotation, block: int, cell: int):
-    """The same for a crowded tile, whole matrices at a time."""
-    near = near & rotation.within(a_rot, b_rot, block) & (rotation.middle(a_rot, b_rot, block) == cell)
-    for earlier in range(block):
-        near &= ~rotation.within(a_rot, b_rot, earlier)
-    near &= a_unit @ b_unit.T >= rotation.cosine
-    return np.nonzero(near)
+            if len(r):
+                yield r + i, c + j
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -201,23 +117,22 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def block_links(classes: DataFrame, cosine: float) -> DataFrame:
-    """Partial results of all cells: (a, null, n): a has n more links; (a, b, 0): a and b are linked.
+def vector_links(classes: DataFrame, cosine: float) -> DataFrame:
+    """Partial results of all pairs of chunks: (a, null, n): a has n more links; (a, b, 0): a and b are linked.
 
-    Each link is counted in one block and cell. Cells larger than CHUNK are dealt in pairs of chunks, so a crowded
-    cell is many tasks, and a task gives at most two rows for each of its vectors, however many links it finds.
+    The vectors of one length are dealt in chunks by a hash and a task compares one chunk with another, so each pair is
+    compared once. It gives at most two rows for each of its vectors, however many links it finds.
     """
-    cells = stored(block_cells(classes, cosine), "cells")
-    counts = cells.groupBy("size", "block", "cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    counts = stored(counts.select("size", "block", "cell", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "cell-counts")
-    rows = cells.join(broadcast_if_small(counts), ["size", "block", "cell"])
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    counts = classes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    held = F.greatest(F.lit(1), F.least(F.lit(CHUNK), F.floor(CHUNK_BYTES / (8 * F.col("size")))))
+    counts = stored(counts.filter("n > 1").select("size", F.ceil(F.col("n") / held).cast("int").alias("chunks")), "size-chunks")
+    rows = classes.join(broadcast_if_small(counts), "size")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("rep", "vector"), F.col("chunks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("size", "block", "cell", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep")
-    rows = rows.join(classes.select("rep", "copies", "vector"), "rep")
+    rows = rows.select("size", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "copies", "vector")
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        size, block, cell, i, j = key
+        size, i, j = key
         left = frame[frame["mine"] == i]
         right = left if i == j else frame[frame["mine"] == j]
         if not len(left) or not len(right):
@@ -226,7 +141,7 @@ def block_links(classes: DataFrame, cosine: float) -> DataFrame:
         a_rep, b_rep = left["rep"].to_numpy(), right["rep"].to_numpy()
         a_n, b_n = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
         edges: list[tuple[int, int]] = []
-        for r, c in tile_links(left, right, rotation, int(block), int(cell), i == j):
+        for r, c in tile_links(left, right, rotation, i == j):
             a_n += np.bincount(r, right["copies"].to_numpy()[c], len(left)).astype(np.int64)
             b_n += np.bincount(c, left["copies"].to_numpy()[r], len(right)).astype(np.int64)
             edges = forest(*np.array([*edges, *zip(a_rep[r], b_rep[c])], np.int64).reshape(-1, 2).T)
@@ -235,7 +150,7 @@ def block_links(classes: DataFrame, cosine: float) -> DataFrame:
         linked = pd.DataFrame(edges, columns=["a", "b"], dtype="int64").assign(n=0)
         return pd.concat([counted, linked])[["a", "b", "n"]].astype({"a": "int64", "b": "Int64", "n": "int64"})
 
-    grouped = rows.groupBy("size", "block", "cell", "i", "j")
+    grouped = rows.groupBy("size", "i", "j")
     return stored(grouped.applyInPandas(compare, "a long, b long, n long"), "vector-links")
 
 
@@ -249,7 +164,7 @@ def vector_groups(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     packed = read_vectors(vectors)
     usable = packed.filter("vector is not null and vec_id is not null")
     classes = stored(usable.groupBy("size", "vector").agg(F.min("vec_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("copies")), "vector-classes")
-    partial = block_links(classes, cosine)
+    partial = vector_links(classes, cosine)
     counts = partial.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     found = connected_components(partial.filter("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "component")
     named = classes.join(counts, "rep", "left").join(found, "rep", "left")

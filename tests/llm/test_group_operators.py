@@ -354,6 +354,31 @@ def test_crowded_cell_is_dealt_in_chunks(spark, monkeypatch):
     assert got == {i: int(n) for i, n in enumerate(want)}
 
 
+def test_vectors_are_dealt_once_a_pair_of_chunks(spark, monkeypatch):
+    """Not once for every block and cell as well; links that only the last dimensions tell apart, and of long vectors, are right."""
+    from bitextloom.llm import embedding_dedup
+
+    monkeypatch.setattr(embedding_dedup, "CHUNK_BYTES", 8 * 64 * 100)
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(300, 64))
+    m[100:200, :32] = m[:100, :32]
+    m[200:] = m[:100] + rng.normal(0, 0.48, (100, 64))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    dealt, grouped = [], type(frame).groupBy
+
+    def counted(self, *keys):
+        if any(isinstance(key, str) and key == "j" for key in keys):
+            dealt.append(self.count())
+        return grouped(self, *keys)
+
+    monkeypatch.setattr(type(frame), "groupBy", counted)
+    got = {r.vec_id: r.n_links for r in vector_groups(frame).collect()}
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    want = (m @ m.T >= 0.9).sum(axis=1) - 1
+    assert got == {i: int(n) for i, n in enumerate(want)} and 0 < want.sum() < 200
+    assert dealt == [3 * 300]
+
+
 def test_toxicity_learns_pairs_and_edges(spark, edge, none, clashing):
     """An insult counts only where a group is named: no additive model can tell the four kinds apart."""
     rng = np.random.default_rng(9)
