@@ -99,6 +99,23 @@ def agreeing_pairs(pairs: DataFrame, classes: DataFrame, similarity: int) -> Dat
     return near.mapInArrow(agreeing, "a long, b long")
 
 
+def sets_by_rep(held: pd.DataFrame) -> dict[int, list[np.ndarray]]:
+    """Rows that share a doc_id have several sets; a pair is linked by any of them."""
+    found: dict[int, list[np.ndarray]] = {}
+    for rep, packed in zip(held["rep"], held["shingles"]):
+        found.setdefault(rep, []).append(np.frombuffer(packed, np.uint64))
+    return found
+
+
+def any_similar(left: list[np.ndarray], right: list[np.ndarray], similarity: int) -> bool:
+    for x in left:
+        for y in right:
+            common = shared(x, y)
+            if 100 * common >= similarity * (len(x) + len(y) - common):
+                return True
+    return False
+
+
 def verified(near: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame | None:
     """Of the pairs (a, b) those whose whole sets are similar enough; None if there are none.
 
@@ -117,16 +134,8 @@ def verified(near: DataFrame, docs: DataFrame, width: int, similarity: int) -> D
     sets = wanted.join(shingle_sets(docs, members, width), "rep").select("x", "y", "rep", "shingles")
 
     def compare(pairs: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        # Rows that share a doc_id have several sets; a pair is linked by any of them.
-        found: dict[int, list[np.ndarray]] = {}
-        for rep, packed in zip(held["rep"], held["shingles"]):
-            found.setdefault(rep, []).append(np.frombuffer(packed, np.uint64))
-
-        def similar(x: np.ndarray, y: np.ndarray) -> bool:
-            common = shared(x, y)
-            return 100 * common >= similarity * (len(x) + len(y) - common)
-
-        keep = [any(similar(x, y) for x in found[a] for y in found[b]) for a, b in zip(pairs["a"], pairs["b"])]
+        found = sets_by_rep(held)
+        keep = [any_similar(found[a], found[b], similarity) for a, b in zip(pairs["a"], pairs["b"])]
         return pairs.loc[np.array(keep, bool), ["a", "b"]]
 
     links = dealt.groupBy("i", "j").cogroup(sets.groupBy("x", "y")).applyInPandas(compare, "a long, b long")
@@ -161,12 +170,86 @@ def pivot_pairs(lists: DataFrame, turn: range) -> DataFrame:
     return pairs.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"))
 
 
-def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """All pairs (a, b) of different components that a list holds and whose sketches agree often enough.
+def list_sides(frame: pd.DataFrame, i: int, j: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The members of chunks i and j of a list, one frame twice if they are the same."""
+    left = frame[frame["mine"] == i]
+    return left, left if i == j else frame[frame["mine"] == j]
+
+
+def agreeing_members(left: pd.DataFrame, right: pd.DataFrame, slot: int, similarity: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row of left, rows of right) of the pairs of different components whose sketches agree often enough, each from one list
+    only: the first band that both have in common owns a pair."""
+    if not len(left) or not len(right):
+        return
+    band = int(slot) & 31
+    sig_r, n_r = np.stack(right["sig"].to_numpy()), right["n_shingles"].to_numpy()
+    rep_r, root_r = right["rep"].to_numpy(), right["root"].to_numpy()
+    sketches = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, SKETCH)
+    for at, (rep, root, n, sig, sketch) in enumerate(zip(*(left[c] for c in ("rep", "root", "n_shingles", "sig", "sketch")))):
+        good = (root_r != root) & (100 * np.minimum(n, n_r) >= similarity * np.maximum(n, n_r))
+        good &= ~(sig_r[:, :band] == sig[None, :band]).any(axis=1)
+        if left is right:
+            good &= rep_r > rep
+        hit = np.flatnonzero(good)
+        hit = hit[(sketches[hit] == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= SKETCH_MATCHES]
+        if len(hit):
+            yield at, hit
+
+
+def long_list_links(rows: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame:
+    """Links (a, b) that connect what the similar pairs of long lists connect; no pair leaves the task that compares it.
+
+    `rows` are the members dealt to pairs of chunks. A first pass finds by sketches which members of two chunks are in any pair; the second gets
+    these with their sets, and links a pair if its sets are similar and no earlier links of the task have connected it. So a
+    pair of chunks gives fewer rows than it has members, however many of their pairs nearly are similar.
+    """
+    rows = stored(rows, "dealt-members")
+
+    def meeting(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        slot, i, j = key
+        left, right = list_sides(frame, i, j)
+        in_left, in_right = np.zeros(len(left), bool), np.zeros(len(right), bool)
+        for at, hit in agreeing_members(left, right, slot, similarity):
+            in_left[at] = in_right[hit] = True
+        reps = np.unique(np.concatenate([left["rep"].to_numpy()[in_left], right["rep"].to_numpy()[in_right]]))
+        return pd.DataFrame({"slot": slot, "i": i, "j": j, "rep": reps}).astype({"rep": "int64"})
+
+    met = rows.groupBy("slot", "i", "j").applyInPandas(meeting, "slot long, i int, j int, rep long")
+    met = stored(met, "met-members")
+    sets = met.join(shingle_sets(docs, stored(met.select("rep").distinct(), "met"), width), "rep")
+    live = rows.join(met, ["slot", "i", "j", "rep"], "left_semi")
+
+    def connect(key: tuple, frame: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        slot, i, j = key
+        left, right = list_sides(frame, i, j)
+        found, top = sets_by_rep(held), {}
+
+        def highest(root: int) -> int:
+            while top.setdefault(root, root) != root:
+                top[root] = top[top[root]]
+                root = top[root]
+            return root
+
+        ends = [(side["rep"].to_numpy(), side["root"].to_numpy()) for side in (left, right)]
+        links = []
+        for at, hit in agreeing_members(left, right, slot, similarity):
+            a = ends[0][0][at]
+            for b, beyond in zip(ends[1][0][hit], ends[1][1][hit]):
+                root, other = highest(ends[0][1][at]), highest(beyond)
+                if root != other and any_similar(found[a], found[b], similarity):
+                    top[other] = root
+                    links.append((min(a, b), max(a, b)))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    linked = live.groupBy("slot", "i", "j").cogroup(sets.groupBy("slot", "i", "j")).applyInPandas(connect, "a long, b long")
+    return stored(linked, "long-links")
+
+
+def crossing_links(lists: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: int) -> DataFrame | None:
+    """Links (a, b) that connect what all similar pairs of different components in a common list connect; None if there are none.
 
     Only lists with several components are dealt. Short ones are joined with themselves. Longer ones are dealt in
-    chunks: a task compares one chunk with another by their sketches and gives the pairs that agree often enough, each
-    from one list only: the first band that both have in common owns a pair.
+    chunks: a task compares one chunk with another.
     """
     mixed = lists.groupBy("slot").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"))
     mixed = stored(mixed.filter("low <> high").select("slot", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "mixed")
@@ -178,30 +261,13 @@ def crossing_pairs(lists: DataFrame, classes: DataFrame, similarity: int) -> Dat
     chunk = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
     rows = rows.withColumn("mine", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select("slot", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "root", "n_shingles", "sig", "sketch")
-
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        slot, i, j = key
-        left = frame[frame["mine"] == i]
-        right = left if i == j else frame[frame["mine"] == j]
-        a, b = [], []
-        if len(left) and len(right):
-            band = int(slot) & 31
-            sig_r, n_r = np.stack(right["sig"].to_numpy()), right["n_shingles"].to_numpy()
-            rep_r, root_r = right["rep"].to_numpy(), right["root"].to_numpy()
-            sketches = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, SKETCH)
-            for rep, root, n, sig, sketch in zip(*(left[c] for c in ("rep", "root", "n_shingles", "sig", "sketch"))):
-                good = (root_r != root) & (100 * np.minimum(n, n_r) >= similarity * np.maximum(n, n_r))
-                good &= ~(sig_r[:, :band] == sig[None, :band]).any(axis=1)
-                if i == j:
-                    good &= rep_r > rep
-                hit = np.flatnonzero(good)
-                hit = rep_r[hit[(sketches[hit] == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= SKETCH_MATCHES]]
-                a.extend([rep] * len(hit))
-                b.extend(hit.tolist())
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    found = rows.groupBy("slot", "i", "j").applyInPandas(compare, "a long, b long")
-    return agreeing_pairs(joined, classes, similarity).union(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    links = verified(agreeing_pairs(joined, classes, similarity), docs, width, similarity)
+    if mixed.filter(F.col("n") > SHORT_LIST).isEmpty():
+        return links
+    more = long_list_links(rows, docs, width, similarity)
+    if links is None:
+        return None if more.isEmpty() else more
+    return links.select("a", "b").union(more).distinct()
 
 
 def merged_roots(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -238,8 +304,10 @@ def near_roots(docs: DataFrame, classes: DataFrame, width: int, similarity: int)
     lists, roots = stored(posting_lists(classes).withColumn("root", F.col("rep")), "lists"), None
     for turn in (*PIVOT_TURNS, None):
         crossing = turn is None
-        near = crossing_pairs(lists, classes, similarity) if crossing else agreeing_pairs(pivot_pairs(lists, turn), classes, similarity)
-        links = verified(near, docs, width, similarity)
+        if crossing:
+            links = crossing_links(lists, classes, docs, width, similarity)
+        else:
+            links = verified(agreeing_pairs(pivot_pairs(lists, turn), classes, similarity), docs, width, similarity)
         if links is not None:
             roots = merged_roots(roots, links)
             if not crossing:

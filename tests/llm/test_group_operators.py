@@ -136,6 +136,37 @@ def test_texts_of_common_words_are_no_candidates(spark, monkeypatch):
     assert len(set(got.values())) == 301 and max(seen) < 4500
 
 
+def near_misses(rng):
+    """150 texts with some 0.7 of their shingles in common, pair by pair, and a few real copies among them."""
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(150):
+        text = list(base)
+        for at in rng.choice(200, 9, replace=False):
+            text[at] = f"x{i}.{at}"
+        rows.append((i, " ".join(text)))
+    return rows + [(1000 + i, rows[i][1] + " more") for i in (3, 77, 140)] + [(7, "said by the same id " + rows[20][1]), (1003, rows[3][1])]
+
+
+@pytest.mark.parametrize("chunk", [1024, 40])
+def test_near_misses_of_a_long_list_leave_no_task(spark, monkeypatch, chunk):
+    """Of a crowded list's pairs that only nearly are similar none becomes a row; what is similar among them is linked."""
+    from bitextloom.llm import minhash_dedup
+
+    seen, verified, linked = [], minhash_dedup.verified, minhash_dedup.long_list_links
+    monkeypatch.setattr(minhash_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(minhash_dedup, "SHORT_LIST", 2)
+    monkeypatch.setattr(minhash_dedup, "PIVOT_TURNS", ())
+    monkeypatch.setattr(minhash_dedup, "verified", lambda near, *rest: (seen.append(near.count()), verified(near, *rest))[1])
+    monkeypatch.setattr(minhash_dedup, "long_list_links", lambda *given: (found := linked(*given), seen.append(found.count()))[0])
+    rows = near_misses(np.random.default_rng(12))
+    got = {r.doc_id: r.component_id for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()}
+    sets = [(i, plain_sets([(i, text)], 2)[i]) for i, text in rows]
+    links = [(a, b) for a, x in sets for b, y in sets if a != b and 100 * len(x & y) >= 80 * len(x | y)]
+    assert got == plain_components(sorted({i for i, _ in sets}), links) and 3 <= len(set(links)) // 2 < 20
+    assert sum(seen) < 150
+
+
 def test_drop_near_copies_keeps_columns(clashing, none):
     kept = drop_near_copies(clashing)
     assert kept.columns == clashing.columns
