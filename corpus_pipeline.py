@@ -18,12 +18,15 @@ from bitextloom.llm.piece_codec import decode_ids, encode_texts
 from bitextloom.llm.source_mix import take_mix
 from bitextloom.llm.tables import stored
 from bitextloom.llm.toxicity import drop_toxic
+from bitextloom.session import scoped_conf
 
 # A trained model and a learned vocabulary have no SQL; the tests compare every stage with a plain version.
 ORACLE_SQL = None
 
-# The workers of the stages before the encoder's still hold memory when it starts.
-WORD_BYTES = 32 << 20
+# The workers of the stages before the encoder's still hold memory when it starts: its own take smaller word tables and
+# batches, and encode and decode one after the other, not both in one task.
+WORD_BYTES = 16 << 20
+BATCH_ROWS = 256
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,12 +53,15 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row, as op7 returns them."""
-    return decode_ids(encode_texts(docs, PIECE_MODEL, WORD_BYTES), PIECE_MODEL).select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    with scoped_conf(spark, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        ids = stored(encode_texts(docs, PIECE_MODEL, WORD_BYTES), "encoded-ids")
+        encoded = decode_ids(ids, PIECE_MODEL).select(
+            "doc_id",
+            (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+            F.sha2("ids", 256).alias("ids_sha256"),
+            F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        )
+        return stored(encoded, "encoded")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -83,6 +83,22 @@ def test_stages_in_order(spark):
     assert got == want
 
 
+def test_encode_and_decode_run_one_after_the_other_on_small_batches(spark, small, monkeypatch):
+    """Their workers are added to those that earlier stages left: no task has both, and none a batch of thousands of texts."""
+    seen, name = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def stored(df, label, take=corpus_pipeline.stored):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((plan.count("MapInArrow"), int(spark.conf.get(name))))
+        return take(df, label)
+
+    before = spark.conf.get(name)
+    monkeypatch.setattr(corpus_pipeline, "stored", stored)
+    encoded = corpus_pipeline.encode(spark, small, TABLES)
+    assert encoded.count() == small.count() and spark.conf.get(name) == before
+    assert [python for python, _ in seen] == [1, 1] and max(rows for _, rows in seen) <= 256
+
+
 def test_mix_stage_weighs_by_quality(spark):
     documents = spark.read.parquet(f"{TABLES}/documents.parquet")
     mix = dict(corpus_pipeline.STAGES)["mix"]
