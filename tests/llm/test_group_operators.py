@@ -11,7 +11,7 @@ from bitextloom.llm.components import connected_components
 from bitextloom.llm.embedding_dedup import vector_groups
 from bitextloom.llm.exact_dedup import drop_exact_copies, exact_groups, heavy_groups
 from bitextloom.llm.minhash_dedup import drop_near_copies, near_groups
-from bitextloom.llm.passage_dedup import cartesian_spans, repeated_passages
+from bitextloom.llm.passage_dedup import CHUNK, MIN_WORDS, SIMILARITY, WIDTH, PassageJoin, cartesian_spans, repeated_passages
 from bitextloom.llm.source_mix import mix_sources, source_targets, take_mix
 from bitextloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, score_toxicity
 
@@ -304,6 +304,21 @@ def test_every_pair_of_a_shared_passage_is_linked(spark):
     assert sum(r.same_class for r in found) >= 10  # six plain copies nine words or more from the start are one class
 
 
+def test_texts_travel_to_cells_not_to_pairs(spark):
+    """300 different texts of one passage have 44,850 pairs; each text is sent once for each chunk it is compared with."""
+    rows = []
+    for i in range(300):
+        middle = [f"p{k}" for k in range(160)]
+        middle[3 + i // 2] = f"c{i}"
+        rows.append((i, " ".join([f"o{i}.{k}" for k in range(20)] + middle)))
+    join = PassageJoin(spark.createDataFrame(rows, "doc_id long, text string"), WIDTH, MIN_WORDS, SIMILARITY, BITS)
+    windows = join.windows(join.classes(join.units())[0])
+    dealt = join.cells(windows)
+    assert dealt.count() == dealt.distinct().count() <= 300 * -(-300 // CHUNK)
+    pairs = {(r.doc_id, r.other_id) for r in join.verified(windows).select("doc_id", "other_id").distinct().collect()}
+    assert len(pairs) == 300 * 299
+
+
 def test_targets_and_mix(spark, edge, none, clashing):
     rows = [(i, "w " * (i % 50), "hot" if i % 3 else f"s{i % 7}") for i in range(3000)] + [(9001, None, None), (9002, "a b", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
